@@ -361,3 +361,179 @@ def q_calendar_lag_yields(spark, sf_dir):
                           name=lambda n: f"yield_lag_{n}m")
     return r6(m.select("month").join(lagged, "month", "left"),
               "avg_yield_pct", "yield_lag_1m", "yield_lag_3m", "yield_lag_12m")
+
+
+# ----------------------------------------------------------------- sinks
+from .plans.incremental import run_monthly_incremental  # noqa: E402
+from .plans.marts import MONTHLY_COLUMNS  # noqa: E402
+from .quality import checks as Q  # noqa: E402
+from .quality import suites as S  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sinks import writers  # noqa: E402
+
+_MONTHLY_AVGS = ("avg_price", "avg_base_rate", "avg_gilt_yield_pct")
+
+
+def _monthly_where(g: ModelGraph, cond) -> DataFrame:
+    return marts.monthly_transactions_by_region(g.int_transactions_with_rates.filter(cond))
+
+
+@register("sink_append_then_dedup")
+def q_sink_append_then_dedup(spark, sf_dir):
+    """Two appends of the same daily load (a rerun) then staging dedup."""
+    from .plans.staging import stg_rates
+
+    path = scratch_path(spark, "rates_append")
+    raw = bindings.raw_rates(spark, sf_dir)
+    writers.append(raw, path)
+    writers.append(raw, path)
+    return stg_rates(spark.read.parquet(path))
+
+
+@register("sink_overwrite")
+def q_sink_overwrite(spark, sf_dir):
+    """Append, then a truncate-load replaces the whole table."""
+    path = scratch_path(spark, "rates_overwrite")
+    raw = bindings.raw_rates(spark, sf_dir)
+    writers.append(raw, path)
+    writers.overwrite(raw.filter(F.col("base_rate") <= 20), path)
+    return spark.read.parquet(path)
+
+
+@register("sink_merge_upsert")
+def q_sink_merge_upsert(spark, sf_dir):
+    """Old mart (sales before 2000) upserted with a delta mart (sales from
+    1999-10-15): overlapping keys replaced, others kept, new inserted."""
+    g = _g(spark, sf_dir)
+    path = scratch_path(spark, "monthly_upsert")
+    old = _monthly_where(g, F.col("transaction_date") < F.lit("2000-01-01").cast("date"))
+    delta = _monthly_where(g, F.col("transaction_date") >= F.lit("1999-10-15").cast("date"))
+    keys = ["month", "region", "property_type"]
+    writers.merge_upsert(spark, path, old.select(*MONTHLY_COLUMNS), keys)
+    writers.merge_upsert(spark, path, delta.select(*MONTHLY_COLUMNS), keys)
+    return r6(spark.read.parquet(path).select(*MONTHLY_COLUMNS), *_MONTHLY_AVGS)
+
+
+@register("sink_schema_sync")
+def q_sink_schema_sync(spark, sf_dir):
+    """Incremental write whose delta drops one column and adds another."""
+    g = _g(spark, sf_dir)
+    path = scratch_path(spark, "monthly_schema")
+    old = _monthly_where(g, F.col("transaction_month") < F.lit("2000-01-01").cast("date"))
+    delta = (_monthly_where(g, F.col("transaction_month") >= F.lit("2000-01-01").cast("date"))
+             .drop("avg_gilt_yield_pct")
+             .withColumn("price_range", F.col("max_price") - F.col("min_price")))
+    keys = ["month", "region", "property_type"]
+    writers.merge_upsert(spark, path, old.select(*MONTHLY_COLUMNS), keys)
+    writers.merge_upsert(spark, path, delta, keys)
+    return r6(spark.read.parquet(path), "avg_price", "avg_base_rate")
+
+
+@register("sink_partitioned")
+def q_sink_partitioned(spark, sf_dir):
+    """Mart written partitioned by month, clustered by region/type; read back."""
+    path = scratch_path(spark, "monthly_partitioned")
+    writers.write_partitioned(_g(spark, sf_dir).monthly_transactions_by_region, path, "month",
+                              ["region", "property_type"])
+    return r6(spark.read.parquet(path).select(*MONTHLY_COLUMNS), *_MONTHLY_AVGS)
+
+
+@register("monthly_incremental")
+def q_monthly_incremental(spark, sf_dir):
+    """History load (raw rows dated before 2000) then one incremental run
+    over all rows with a one-month overlap: equals the full mart."""
+    path = scratch_path(spark, "monthly_incremental")
+    raw = bindings.raw_transactions(spark, sf_dir)
+    hist = ModelGraph.from_testdata(spark, sf_dir)
+    hist.raw["transactions"] = raw.filter(F.left("transaction_date", F.lit(10)) < "2000-01-01")
+    run_monthly_incremental(spark, lambda since: hist.int_transactions_with_rates, path)
+
+    def enriched(since):
+        p = {"stg_transactions": {"since": str(since)}} if since else {}
+        return ModelGraph.from_testdata(spark, sf_dir, params=p).int_transactions_with_rates
+
+    run_monthly_incremental(spark, enriched, path, overlap_months=1)
+    return r6(spark.read.parquet(path).select(*MONTHLY_COLUMNS), *_MONTHLY_AVGS)
+
+
+@register("incremental_cutoff")
+def q_incremental_cutoff(spark, sf_dir):
+    """The delta an incremental run computes against a history target."""
+    from .plans.incremental import incremental_cutoff
+
+    path = scratch_path(spark, "monthly_cutoff")
+    g = _g(spark, sf_dir)
+    hist = _monthly_where(g, F.col("transaction_date") < F.lit("2000-01-01").cast("date"))
+    writers.write_partitioned(hist.select(*MONTHLY_COLUMNS), path, "month")
+    cutoff = incremental_cutoff(spark, path, overlap_months=1)
+    return r6(_monthly_where(g, F.col("transaction_month") >= F.lit(cutoff)), *_MONTHLY_AVGS)
+
+
+# ----------------------------------------------------------------- data quality
+DQ_QUERIES: dict[str, list] = {}
+
+
+def _dq_tables(spark, sf_dir):
+    g = _g(spark, sf_dir)
+    return {
+        "raw_transactions": g.raw["transactions"], "raw_rates": g.raw["rates"],
+        "raw_yields": g.raw["yields"], "raw_rate_events": g.raw["rate_events"],
+        "stg_transactions": g.stg_transactions, "stg_rates": g.stg_rates,
+        "stg_yields": g.stg_yields, "stg_rate_events": g.stg_rate_events,
+        "int_rates_reconciled": g.int_rates_reconciled,
+        "int_transactions_with_rates": g.int_transactions_with_rates,
+        "monthly_transactions_by_region": g.monthly_transactions_by_region,
+        "rate_change_events": g.rate_change_events,
+        "rate_lag_analysis": g.rate_lag_analysis,
+        "regional_sensitivity": g.regional_sensitivity,
+    }
+
+
+def _dq(key: str, spec: list[tuple[str, list]]):
+    """Register a check query: ``spec`` = [(table, checks), ...]."""
+    DQ_QUERIES[key] = spec
+
+    def run(spark, sf_dir):
+        tabs = _dq_tables(spark, sf_dir)
+        parts = [Q.run_checks(tabs[t], chks).select(F.lit(t).alias("table"), "*")
+                 for t, chks in spec]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    run.__name__ = f"q_{key}"
+    register(key)(run)
+
+
+_dq("dq_suite_transactions", [("raw_transactions", S.RAW_TRANSACTIONS)])
+_dq("dq_suite_rates", [("raw_rates", S.RAW_RATES)])
+_dq("dq_unique", [("raw_transactions", [Q.Unique("transaction_id"), Q.Unique("paon")]),
+                  ("stg_transactions", [Q.Unique("transaction_id")])])
+_dq("dq_between_mostly", [("raw_transactions", [
+    Q.Between("price", 1, 100_000_000, mostly=0.999),
+    Q.Between("price", 2000, 400_000, mostly=0.999),
+    Q.Between("price", 2000, 400_000, mostly=0.9)])])
+_dq("dq_accepted_values", [("raw_transactions", [
+    Q.InSet("property_type", S.PROPERTY_TYPES), Q.InSet("record_status", ("A", "C", "D")),
+    Q.InSet("record_status", ("A",), mostly=0.5), Q.InSet("ppd_category", ("A",))]),
+    ("rate_change_events", [Q.InSet("direction", ("hike", "cut"))])])
+_dq("dq_row_count", [("raw_transactions", [Q.RowCountBetween(None, 1000, 2_000_000)]),
+                     ("raw_rates", [Q.RowCountBetween(None, 1, 10)])])
+_dq("dq_accepted_range", [
+    ("stg_yields", [Q.AcceptedRange("yield_pct", 0, 25)]),
+    ("stg_rates", [Q.AcceptedRange("base_rate", 0, 20)]),
+    ("monthly_transactions_by_region", [Q.AcceptedRange("transaction_count", 0, None, False),
+                                        Q.AcceptedRange("avg_price", 0, None, False)])])
+_dq("dq_positive_prices", [("stg_transactions", [S.POSITIVE_PRICES])])
+_dq("dq_lag_completeness", [("rate_lag_analysis", [S.LAG_COMPLETENESS])])
+_dq("dq_model_suites", [(t, c) for t, c in S.SUITES.items() if t not in ("raw_rates",)
+                        and all(not isinstance(x, Q.NoRowsWhere) or "current_date" not in
+                                x.predicate for x in c)])
+
+
+@register("dq_no_future_dates")
+def q_dq_no_future_dates(spark, sf_dir):
+    """Offending rows of the no-future-dates assertion with 'today' = 2001-06-30."""
+    t = _g(spark, sf_dir).stg_transactions
+    return (t.filter(F.expr(S.no_future_dates("2001-06-30").predicate))
+             .select("transaction_id", "transaction_date"))

@@ -18,7 +18,7 @@ STG_TRANSACTION_COLUMNS = [
 
 
 def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSACTION_DATE,
-                     strict_dates: bool = True) -> DataFrame:
+                     strict_dates: bool = True, since: str | None = None) -> DataFrame:
     """One row per transaction: newest version wins, *then* only active rows
     dated on/after ``min_date`` are kept (a sale whose newest row is a
     change/delete disappears).
@@ -26,7 +26,15 @@ def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSA
     ``county_map``: dict (fixed county list, default) or DataFrame(key, value).
     Ingestion columns ``run_date``/``loaded_at`` on the raw rows, when
     present, break ties between reloads of the same version.
+
+    ``since`` (``yyyy-MM-dd``) keeps only transactions dated on/after it and
+    is applied *before* the dedup shuffle: the version order is the date
+    itself, so a transaction's newest version is >= ``since`` exactly when it
+    survives the pre-filter, and the result equals filtering afterwards.  An
+    incremental run thus shuffles only recent rows.
     """
+    if since is not None:
+        raw = raw.filter(F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(str(since)))
     order = ["transaction_date"] + [c for c in ("run_date", "loaded_at") if c in raw.columns]
     deduped = dedup_latest(raw, ["transaction_id"], order)
     kept = deduped.filter((F.col("record_status") == "A")

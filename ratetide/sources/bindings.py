@@ -83,13 +83,14 @@ def county_map(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.upper("n_name").alias("key"), F.col("r_name").alias("value")))
 
 
-_EPOCH = F.lit("1997-01-01").cast("date")
+def _epoch():
+    return F.lit("1997-01-01").cast("date")
 
 
 def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
     return e.select(
-        F.date_add(_EPOCH, (F.col("event_id") % 1600).cast("int")).alias("effective_date"),
+        F.date_add(_epoch(), (F.col("event_id") % 1600).cast("int")).alias("effective_date"),
         (F.col("value") / 10).alias("base_rate"),
         F.lit("events").alias("source"),
         F.col("ts").cast("timestamp").alias("loaded_at"),
@@ -100,7 +101,7 @@ def raw_rate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     return e.select(
         F.concat(F.lit("e"), (F.col("event_id") % 500).cast("string")).alias("event_id"),
-        F.date_add(_EPOCH, ((F.col("event_id") * 7) % 1600).cast("int")).alias("effective_date"),
+        F.date_add(_epoch(), ((F.col("event_id") * 7) % 1600).cast("int")).alias("effective_date"),
         F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double"))
          .otherwise(F.col("value") / 25).alias("previous_rate"),
         (F.col("value") / 20).alias("new_rate"),
