@@ -537,3 +537,92 @@ def q_dq_no_future_dates(spark, sf_dir):
     t = _g(spark, sf_dir).stg_transactions
     return (t.filter(F.expr(S.no_future_dates("2001-06-30").predicate))
              .select("transaction_id", "transaction_date"))
+
+
+# ----------------------------------------------------------------- streaming
+from .streaming import changes as SC  # noqa: E402
+from .streaming import events as SE  # noqa: E402
+
+DEFAULT_TS = "2024-02-01 00:00:00"
+
+
+def event_messages_from_events(spark, sf_dir) -> DataFrame:
+    """Rate-change messages derived from the events table, one per event:
+    'purchase' complete; 'view' with a numeric-string rate; 'click' without
+    published_at; 'signup' without new_rate; 'error' not JSON at all."""
+    e = bindings.table(spark, sf_dir, "events")
+    eid = F.concat(F.lit("e"), (F.col("event_id") % 500).cast("string")).alias("event_id")
+    eff = F.date_add(F.lit("1997-01-01").cast("date"),
+                     ((F.col("event_id") * 7) % 1600).cast("int")).alias("effective_date")
+    prev = (F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double"))
+             .otherwise(F.col("value") / 25).alias("previous_rate"))
+    new = (F.col("value") / 20).alias("new_rate")
+    pub = F.col("ts").cast("timestamp").alias("published_at")
+    opts = {"timestampFormat": SE.MESSAGE_TS_FORMAT}
+    t = F.col("event_type")
+    msg = (F.when(t == "error", F.concat(F.lit("not json "), F.col("event_id").cast("string")))
+            .when(t == "view", F.to_json(F.struct(
+                eid, eff, prev, (F.col("value") / 20).cast("string").alias("new_rate"), pub),
+                opts))
+            .when(t == "click", F.to_json(F.struct(eid, eff, prev, new), opts))
+            .when(t == "signup", F.to_json(F.struct(eid, eff, prev, pub), opts))
+            .otherwise(F.to_json(F.struct(eid, eff, prev, new, pub), opts)))
+    return e.select(msg.alias("value"))
+
+
+@register("stream_parse")
+def q_stream_parse(spark, sf_dir):
+    return SE.valid_events(SE.parse_messages(event_messages_from_events(spark, sf_dir),
+                                             default_ts=DEFAULT_TS))
+
+
+@register("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    bad = SE.bad_events(SE.parse_messages(event_messages_from_events(spark, sf_dir),
+                                          default_ts=DEFAULT_TS))
+    return bad.groupBy("error").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _run_ingest(spark, sf_dir) -> str:
+    root = scratch_path(spark, "stream")
+    event_messages_from_events(spark, sf_dir).write.text(f"{root}/in")
+    qs = SE.start_ingest(spark, f"{root}/in", f"{root}/events", f"{root}/quarantine",
+                         f"{root}/_checkpoints", available_now=True, default_ts=DEFAULT_TS)
+    for q in qs:
+        q.awaitTermination()
+    return root
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Messages landed as files, ingested by the streaming job (availableNow)
+    into the append-only event table; the table is read back."""
+    root = _run_ingest(spark, sf_dir)
+    return spark.read.parquet(f"{root}/events").select(*SE.EVENT_COLUMNS)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """Streamed events table -> staging dedup (latest published_at wins)."""
+    from .plans.staging import stg_rate_events
+
+    root = _run_ingest(spark, sf_dir)
+    return stg_rate_events(spark.read.parquet(f"{root}/events"))
+
+
+@register("stream_detect_changes")
+def q_stream_detect_changes(spark, sf_dir):
+    """Daily batch rates replayed as a stream through the stateful change
+    detector (state = last rate per series)."""
+    root = scratch_path(spark, "changes")
+    obs = (_g(spark, sf_dir).stg_rates
+           .select(F.lit("policy").alias("series"), "effective_date", "base_rate"))
+    obs.write.json(f"{root}/in")
+    stream = (spark.readStream.schema("series string, effective_date date, base_rate double")
+              .json(f"{root}/in"))
+    q = (SC.detect_changes_stream(stream).writeStream.format("parquet").outputMode("append")
+         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/_ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("effective_date", "previous_rate",
+                                                     "new_rate")
