@@ -626,3 +626,92 @@ def q_stream_detect_changes(spark, sf_dir):
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("effective_date", "previous_rate",
                                                      "new_rate")
+
+
+# ----------------------------------------------------------------- sources
+from .sources import files as SF  # noqa: E402
+
+LANDED_RUN = "2024-01-31"
+
+
+def _land_transactions(spark, sf_dir) -> str:
+    root = scratch_path(spark, "land_registry")
+    raw = bindings.raw_transactions(spark, sf_dir).withColumns({
+        "year": F.left("transaction_date", F.lit(4)), "run_date": F.lit(LANDED_RUN)})
+    SF.write_transactions_csv(raw, root, partition_by=["year", "run_date"])
+    return root
+
+
+@register("src_transactions_csv")
+def q_src_transactions_csv(spark, sf_dir):
+    """Raw transactions landed as headerless CSV under year=/run_date=, read back."""
+    root = _land_transactions(spark, sf_dir)
+    return SF.read_transactions_csv(spark, root).select(*SF.TRANSACTION_COLUMNS)
+
+
+@register("src_year_range")
+def q_src_year_range(spark, sf_dir):
+    """Backfill read of the years 1997..1999 from the landed yearly folders."""
+    root = _land_transactions(spark, sf_dir)
+    return SF.read_year_range(spark, root, 1997, 1999).select(*SF.TRANSACTION_COLUMNS, "year")
+
+
+@register("src_rates_json")
+def q_src_rates_json(spark, sf_dir):
+    root = scratch_path(spark, "boe_rates")
+    writers.write_ndjson(bindings.raw_rates(spark, sf_dir), f"{root}/run_date={LANDED_RUN}")
+    return SF.read_rates_json(spark, root).select("effective_date", "base_rate", "source",
+                                                  "loaded_at")
+
+
+@register("src_yields_json")
+def q_src_yields_json(spark, sf_dir):
+    """Yields landed under date=<run>/ with a data column `date` (name clash)."""
+    root = scratch_path(spark, "gilts")
+    writers.write_ndjson(bindings.raw_yields(spark, sf_dir), f"{root}/date={LANDED_RUN}")
+    return SF.read_yields_json(spark, root)
+
+
+def _daily_series_lines(spark, sf_dir) -> DataFrame:
+    """A public-series style file derived from events: a header, one line per
+    day (the day's largest value; '.' when that event is an error) and blank
+    lines."""
+    e = bindings.table(spark, sf_dir, "events")
+    day = F.to_date("ts").cast("string")
+    best = (e.groupBy(day.alias("d"))
+             .agg(F.max_by(F.struct("event_type", "value"),
+                           F.struct("value", "event_id")).alias("b")))
+    text = F.concat_ws(",", F.col("d"), F.when(F.col("b.event_type") == "error", F.lit("."))
+                       .otherwise(F.col("b.value").cast("string")))
+    lines = best.select(text.alias("value"))
+    extra = lines.sparkSession.createDataFrame([("observation_date,SERIES",), ("",)], "value string")
+    return lines.unionByName(extra)
+
+
+def _landed_series(spark, sf_dir) -> DataFrame:
+    root = scratch_path(spark, "series")
+    _daily_series_lines(spark, sf_dir).write.text(root)
+    return SF.read_series_lines(spark, root)
+
+
+@register("src_rate_series_latest")
+def q_src_rate_series_latest(spark, sf_dir):
+    return SF.latest_positive(_landed_series(spark, sf_dir))
+
+
+@register("src_yield_series_tail")
+def q_src_yield_series_tail(spark, sf_dir):
+    return SF.series_tail(_landed_series(spark, sf_dir), 5, "SERIES", loaded_at=DEFAULT_TS)
+
+
+@register("src_fallback_first_nonempty")
+def q_src_fallback_first_nonempty(spark, sf_dir):
+    """Primary source empty (no 'Z' return flags) -> fallback market table."""
+    li = bindings.table(spark, sf_dir, "lineitem")
+    primary = li.filter(F.col("l_returnflag") == "Z")
+    fallback = li.select("l_shipdate", (F.col("l_extendedprice") / 100).alias("close"))
+    chosen = SF.first_nonempty([
+        SF.normalise_market_data(primary.select("l_shipdate", F.col("l_tax").alias("close")),
+                                 "l_shipdate", "close", "PRIMARY", DEFAULT_TS),
+        SF.normalise_market_data(fallback, "l_shipdate", "close", "FALLBACK", DEFAULT_TS)])
+    return chosen
