@@ -715,3 +715,30 @@ def q_src_fallback_first_nonempty(spark, sf_dir):
                                  "l_shipdate", "close", "PRIMARY", DEFAULT_TS),
         SF.normalise_market_data(fallback, "l_shipdate", "close", "FALLBACK", DEFAULT_TS)])
     return chosen
+
+
+# ----------------------------------------------------------------- pipeline
+@register("pipeline_run")
+def q_pipeline_run(spark, sf_dir):
+    """The whole DAG written table by table (checks recorded: the bound data
+    has NULL counties, which the mart's not-null tests flag), then the
+    flagship table read back."""
+    from .plans.pipeline import run_pipeline
+
+    g = _g(spark, sf_dir)
+    res = run_pipeline(spark, g.raw, scratch_path(spark, "pipeline"),
+                       county_map=g.county_map, check=True, on_failure="warn")
+    return spark.read.parquet(res.paths["regional_sensitivity"])
+
+
+@register("pipeline_scheduled")
+def q_pipeline_scheduled(spark, sf_dir):
+    """A scheduled (daily) run: staging, reconciled rates and the change
+    events only; the change-event table is read back."""
+    from .plans.pipeline import SCHEDULED, run_pipeline
+
+    g = _g(spark, sf_dir)
+    res = run_pipeline(spark, g.raw, scratch_path(spark, "scheduled"), targets=SCHEDULED,
+                       county_map=g.county_map)
+    assert "monthly_transactions_by_region" not in res.paths
+    return spark.read.parquet(res.paths["rate_change_events"])

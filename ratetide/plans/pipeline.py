@@ -1,0 +1,148 @@
+"""Run the model DAG (or the dependency closure of some targets) as Spark jobs.
+
+Staging and intermediate models are lazy views except ``stg_transactions``,
+which is written once, partitioned by transaction month: every later read
+prunes months, and an incremental run reads only the recent partitions.
+Marts are written as tables (the monthly mart incrementally).  After each
+write the table's checks run on the written data and a failure raises
+``DataQualityError``, so no downstream model reads a bad table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.columns import month_start
+from ..quality.checks import DataQualityError, gate, run_checks
+from ..quality.suites import SUITES
+from ..sinks.writers import write_partitioned
+from . import enrich, marts, rates, staging
+from .incremental import run_monthly_incremental
+
+# model -> upstream models / raw inputs
+DAG: dict[str, tuple[str, ...]] = {
+    "stg_transactions": ("raw:transactions",),
+    "stg_rates": ("raw:rates",),
+    "stg_yields": ("raw:yields",),
+    "stg_rate_events": ("raw:rate_events",),
+    "int_rates_reconciled": ("stg_rates", "stg_rate_events"),
+    "int_transactions_with_rates": ("stg_transactions", "int_rates_reconciled", "stg_yields"),
+    "monthly_transactions_by_region": ("int_transactions_with_rates",),
+    "rate_change_events": ("int_rates_reconciled",),
+    "rate_lag_analysis": ("monthly_transactions_by_region", "int_rates_reconciled"),
+    "regional_sensitivity": ("rate_lag_analysis",),
+}
+TABLES = {"stg_transactions", "monthly_transactions_by_region", "rate_change_events",
+          "rate_lag_analysis", "regional_sensitivity"}
+# what the scheduled (daily / monthly) runs refresh; the rest only on full runs
+SCHEDULED = ("stg_transactions", "stg_rates", "stg_yields", "stg_rate_events",
+             "int_rates_reconciled", "rate_change_events")
+
+
+def closure(targets: Iterable[str] | None) -> list[str]:
+    """Targets plus everything upstream, in dependency order."""
+    wanted: set[str] = set()
+
+    def visit(m: str):
+        if m in wanted or m.startswith("raw:"):
+            return
+        for d in DAG[m]:
+            visit(d)
+        wanted.add(m)
+
+    for t in (targets or DAG):
+        visit(t)
+    return [m for m in DAG if m in wanted]
+
+
+@dataclass
+class PipelineResult:
+    paths: dict[str, str] = field(default_factory=dict)
+    checks: dict[str, list] = field(default_factory=dict)
+
+
+def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
+                 targets: Iterable[str] | None = None, county_map=None,
+                 raw_suites: dict | None = None, check: bool = True,
+                 lags=(1, 2, 3, 6), min_months: int = 12,
+                 incremental: bool = True, overlap_months: int = 1,
+                 on_failure: str = "raise") -> PipelineResult:
+    """Build ``targets`` (default: all models) and their upstream models.
+
+    ``raw``: DataFrames for ``transactions``, ``rates``, ``rate_events``,
+    ``yields`` (only those the closure needs).  ``raw_suites`` (e.g.
+    ``{"transactions": SUITES["raw_transactions"]}``) gates raw inputs
+    before staging.  ``on_failure='warn'`` records failed model checks in
+    the result instead of raising (like tests that run after the build).
+    Returns the written table paths and check results.
+    """
+    out_root = out_root.rstrip("/")
+    res = PipelineResult()
+    for name, suite in (raw_suites or {}).items():
+        gate(raw[name], suite)
+    frames: dict[str, DataFrame] = {}
+
+    def checked(name: str, df: DataFrame) -> DataFrame:
+        if check and name in SUITES:
+            rows = [r.asDict() for r in run_checks(df, SUITES[name]).collect()]
+            res.checks[name] = rows
+            bad = [r for r in rows if not r["success"]]
+            if bad and on_failure == "raise":
+                raise DataQualityError(bad)
+        return df
+
+    for m in closure(targets):
+        path = f"{out_root}/{m}"
+        if m == "stg_transactions":
+            df = staging.stg_transactions(raw["transactions"], county_map=county_map)
+            write_partitioned(df.withColumn("transaction_month", month_start("transaction_date")),
+                              path, "transaction_month", ["region", "property_type"])
+            frames[m] = checked(m, spark.read.parquet(path).drop("transaction_month"))
+        elif m == "stg_rates":
+            frames[m] = staging.stg_rates(raw["rates"])
+        elif m == "stg_yields":
+            frames[m] = staging.stg_yields(raw["yields"])
+        elif m == "stg_rate_events":
+            frames[m] = staging.stg_rate_events(raw["rate_events"])
+        elif m == "int_rates_reconciled":
+            frames[m] = rates.int_rates_reconciled(frames["stg_rates"], frames["stg_rate_events"])
+        elif m == "int_transactions_with_rates":
+            frames[m] = enrich.int_transactions_with_rates(
+                frames["stg_transactions"], frames["int_rates_reconciled"], frames["stg_yields"])
+        elif m == "monthly_transactions_by_region":
+            stg_path = f"{out_root}/stg_transactions"
+
+            def enriched(since):
+                t = spark.read.parquet(stg_path)
+                if since is not None:  # partition pruning on the staged table
+                    t = t.filter(F.col("transaction_month") >= F.lit(since))
+                return enrich.int_transactions_with_rates(
+                    t.drop("transaction_month"), frames["int_rates_reconciled"],
+                    frames["stg_yields"])
+
+            if incremental:
+                run_monthly_incremental(spark, enriched, path, overlap_months)
+            else:
+                write_partitioned(marts.monthly_transactions_by_region(enriched(None)), path,
+                                  "month", ["region", "property_type"])
+            frames[m] = checked(m, spark.read.parquet(path))
+        elif m == "rate_change_events":
+            frames[m] = rates.rate_change_events(frames["int_rates_reconciled"])
+            frames[m].write.mode("overwrite").parquet(path)
+            frames[m] = checked(m, spark.read.parquet(path))
+        elif m == "rate_lag_analysis":
+            df = marts.rate_lag_analysis(frames["monthly_transactions_by_region"],
+                                         frames["int_rates_reconciled"], lags)
+            write_partitioned(df, path, "month", ["region"])
+            frames[m] = checked(m, spark.read.parquet(path))
+        elif m == "regional_sensitivity":
+            df = marts.regional_sensitivity(frames["rate_lag_analysis"], min_months)
+            df.write.mode("overwrite").parquet(path)
+            frames[m] = checked(m, spark.read.parquet(path))
+        if m in TABLES:
+            res.paths[m] = path
+    return res
