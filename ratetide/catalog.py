@@ -742,3 +742,15 @@ def q_pipeline_scheduled(spark, sf_dir):
                        county_map=g.county_map)
     assert "monthly_transactions_by_region" not in res.paths
     return spark.read.parquet(res.paths["rate_change_events"])
+
+
+@register("win_lead_intervals")
+def q_win_lead_intervals(spark, sf_dir):
+    """Step-function intervals of the reconciled rate series:
+    [effective_month, next change month), the last one open-ended."""
+    from .operators.asof import step_intervals
+
+    rec = _g(spark, sf_dir).int_rates_reconciled
+    return step_intervals(rec, "effective_month", order=["effective_date"],
+                          end_col="next_change_month").select(
+        "effective_date", "effective_month", "base_rate", "next_change_month")
