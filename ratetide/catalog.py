@@ -105,7 +105,7 @@ def q_regional_sensitivity(spark, sf_dir):
 # ----------------------------------------------------------------- filters / projections
 @register("filter_active_after_dedup")
 def q_filter_active_after_dedup(spark, sf_dir):
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     latest = dedup_latest(raw, ["transaction_id"], ["transaction_date"])
     return (latest.filter(F.col("record_status") == "A")
                   .select("transaction_id", "transaction_date", "price", "record_status"))
@@ -113,21 +113,21 @@ def q_filter_active_after_dedup(spark, sf_dir):
 
 @register("filter_min_date")
 def q_filter_min_date(spark, sf_dir):
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     return (raw.filter(F.left("transaction_date", F.lit(10)) >= F.lit("1997-01-01"))
                .select("transaction_id", "transaction_date", "record_status"))
 
 
 @register("filter_between")
 def q_filter_between(spark, sf_dir):
-    return (bindings.raw_rates(spark, sf_dir)
+    return (bindings.landed(spark, sf_dir)["rates"]
             .filter(F.col("base_rate").between(0, 20))
             .select("effective_date", "base_rate", "loaded_at"))
 
 
 @register("case_label")
 def q_case_label(spark, sf_dir):
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     return (raw.groupBy("property_type", property_type_label("property_type")
                         .alias("property_type_label"))
                .agg(F.count(F.lit(1)).alias("n")))
@@ -135,14 +135,14 @@ def q_case_label(spark, sf_dir):
 
 @register("bucket_dimension")
 def q_bucket_dimension(spark, sf_dir):
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     b = bucket_dimension(raw, "county", bindings.county_map(spark, sf_dir), "broad_region")
     return b.groupBy("county", "broad_region").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("fn_parse_date")
 def q_fn_parse_date(spark, sf_dir):
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     return raw.select("transaction_id", "transaction_date",
                       parse_txn_date("transaction_date").alias("parsed_date"),
                       month_start(parse_txn_date("transaction_date")).alias("parsed_month"))
@@ -150,7 +150,7 @@ def q_fn_parse_date(spark, sf_dir):
 
 @register("fn_normalize")
 def q_fn_normalize(spark, sf_dir):
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     return (raw.select(normalize_key("county").alias("county_key"),
                        normalize_key("postcode").alias("postcode"))
                .groupBy("county_key", "postcode").agg(F.count(F.lit(1)).alias("n")))
@@ -307,7 +307,7 @@ def q_agg_having(spark, sf_dir):
 # ----------------------------------------------------------------- windows / sets
 @register("win_dedup_latest")
 def q_win_dedup_latest(spark, sf_dir):
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     return dedup_latest(raw, ["transaction_id"], ["transaction_date"])
 
 
@@ -345,7 +345,7 @@ def q_detect_changes(spark, sf_dir):
 def q_asof_partitioned(spark, sf_dir):
     """As-of per series: each (ticker, month) of the yield series gets the
     latest daily yield at or before the month start, per ticker."""
-    y = bindings.raw_yields(spark, sf_dir).filter(F.col("date").isNotNull())
+    y = bindings.landed(spark, sf_dir)["yields"].filter(F.col("date").isNotNull())
     daily = (y.groupBy("ticker", "date").agg(F.max("yield_pct").alias("yield_pct")))
     months = daily.select("ticker", month_start("date").alias("month"))
     return asof_lookup(months, "month", daily, "date", "yield_pct", how="left",
@@ -384,7 +384,7 @@ def q_sink_append_then_dedup(spark, sf_dir):
     from .plans.staging import stg_rates
 
     path = scratch_path(spark, "rates_append")
-    raw = bindings.raw_rates(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["rates"]
     writers.append(raw, path)
     writers.append(raw, path)
     return stg_rates(spark.read.parquet(path))
@@ -394,7 +394,7 @@ def q_sink_append_then_dedup(spark, sf_dir):
 def q_sink_overwrite(spark, sf_dir):
     """Append, then a truncate-load replaces the whole table."""
     path = scratch_path(spark, "rates_overwrite")
-    raw = bindings.raw_rates(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["rates"]
     writers.append(raw, path)
     writers.overwrite(raw.filter(F.col("base_rate") <= 20), path)
     return spark.read.parquet(path)
@@ -443,7 +443,7 @@ def q_monthly_incremental(spark, sf_dir):
     """History load (raw rows dated before 2000) then one incremental run
     over all rows with a one-month overlap: equals the full mart."""
     path = scratch_path(spark, "monthly_incremental")
-    raw = bindings.raw_transactions(spark, sf_dir)
+    raw = bindings.landed(spark, sf_dir)["transactions"]
     hist = ModelGraph.from_testdata(spark, sf_dir)
     hist.raw["transactions"] = raw.filter(F.left("transaction_date", F.lit(10)) < "2000-01-01")
     run_monthly_incremental(spark, lambda since: hist.int_transactions_with_rates, path)
@@ -636,7 +636,7 @@ LANDED_RUN = "2024-01-31"
 
 def _land_transactions(spark, sf_dir) -> str:
     root = scratch_path(spark, "land_registry")
-    raw = bindings.raw_transactions(spark, sf_dir).withColumns({
+    raw = bindings.landed(spark, sf_dir)["transactions"].withColumns({
         "year": F.left("transaction_date", F.lit(4)), "run_date": F.lit(LANDED_RUN)})
     SF.write_transactions_csv(raw, root, partition_by=["year", "run_date"])
     return root
@@ -659,7 +659,7 @@ def q_src_year_range(spark, sf_dir):
 @register("src_rates_json")
 def q_src_rates_json(spark, sf_dir):
     root = scratch_path(spark, "boe_rates")
-    writers.write_ndjson(bindings.raw_rates(spark, sf_dir), f"{root}/run_date={LANDED_RUN}")
+    writers.write_ndjson(bindings.landed(spark, sf_dir)["rates"], f"{root}/run_date={LANDED_RUN}")
     return SF.read_rates_json(spark, root).select("effective_date", "base_rate", "source",
                                                   "loaded_at")
 
@@ -668,7 +668,7 @@ def q_src_rates_json(spark, sf_dir):
 def q_src_yields_json(spark, sf_dir):
     """Yields landed under date=<run>/ with a data column `date` (name clash)."""
     root = scratch_path(spark, "gilts")
-    writers.write_ndjson(bindings.raw_yields(spark, sf_dir), f"{root}/date={LANDED_RUN}")
+    writers.write_ndjson(bindings.landed(spark, sf_dir)["yields"], f"{root}/date={LANDED_RUN}")
     return SF.read_yields_json(spark, root)
 
 

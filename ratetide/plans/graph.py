@@ -29,12 +29,9 @@ class ModelGraph:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "ModelGraph":
-        raw = {
-            "transactions": bindings.raw_transactions(spark, sf_dir),
-            "rates": bindings.raw_rates(spark, sf_dir),
-            "rate_events": bindings.raw_rate_events(spark, sf_dir),
-            "yields": bindings.raw_yields(spark, sf_dir),
-        }
+        """Graph over the raw tables bound from the driver's test tables
+        (landed once per session, see ``bindings.landed``)."""
+        raw = dict(bindings.landed(spark, sf_dir))
         return cls(spark, raw, county_map=bindings.county_map(spark, sf_dir), **kw)
 
     # ---- staging

@@ -128,3 +128,34 @@ def raw_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
         # 2002-01-01T00:00:00Z + l_orderkey seconds
         F.timestamp_seconds(F.lit(1009843200) + F.col("l_orderkey")).alias("loaded_at"),
     )
+
+
+_LANDED: dict = {}
+RAW_BUILDERS = {
+    "transactions": raw_transactions,
+    "rates": raw_rates,
+    "rate_events": raw_rate_events,
+    "yields": raw_yields,
+}
+
+
+def landed(spark: SparkSession, sf_dir: str, files: int | None = None) -> dict[str, DataFrame]:
+    """The four raw tables landed once per session as multi-file Parquet in
+    the shared checkpoint folder, like the load step that puts landed files
+    into raw tables; the models then scan them in parallel instead of
+    re-deriving them from the test tables in every query."""
+    from ..session import scratch_path
+
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    got = _LANDED.get(key)
+    if got is not None:
+        return got
+    n = files or max(8, spark.sparkContext.defaultParallelism)
+    root = scratch_path(spark, "landed")
+    out = {}
+    for name, build in RAW_BUILDERS.items():
+        path = f"{root}/{name}"
+        build(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(path)
+        out[name] = spark.read.parquet(path)
+    _LANDED[key] = out
+    return out
