@@ -1,0 +1,29 @@
+"""Broadcast only behind a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+# a month-grain or dimension table far below this is the expected case
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+                    name: str = "small") -> DataFrame:
+    """Materialise a small side once and broadcast it only if it really is small.
+
+    The frame is written as a table in the shared checkpoint folder (lineage
+    cut, survives executor loss) while its row count is observed during that
+    same write (no second job).  It is hinted for broadcast when it holds at
+    most ``max_rows`` rows; beyond that it is returned unhinted, so the join
+    falls back to a shuffle join planned by AQE.
+    """
+    from ..session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    obs = Observation(f"rows_{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    small = spark.read.parquet(path)
+    return F.broadcast(small) if int(obs.get["n"]) <= max_rows else small

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_start, parse_txn_date
+from ..operators.broadcast import sized_broadcast
 from .rates import rate_for_month
 
 
@@ -38,16 +39,18 @@ def int_transactions_with_rates(stg_txn: DataFrame, reconciled: DataFrame,
     The as-of lookup runs on distinct months only (``months``: any superset
     of the transaction months, default derived from ``stg_txn``); the fact
     side then needs two equi-joins against month-grain tables.  Those are
-    bounded by the calendar (12 rows a year), so they are broadcast and the
-    fact rows are never shuffled here.
+    bounded by the calendar (12 rows a year); ``sized_broadcast`` checks the
+    materialised size before hinting, so the fact rows are not shuffled here.
     """
     if months is None:
         months = transaction_months(stg_txn)
     rfm = rate_for_month(months, "transaction_month", reconciled)
     gilts = monthly_yields(stg_yields).withColumnRenamed("yield_month", "transaction_month")
+    # one month-grain context (rfm covers every transaction month): written
+    # once, broadcast after a size check, joined once to the fact rows
+    ctx = sized_broadcast(rfm.join(gilts, "transaction_month", "left"), name="month_ctx")
     t = stg_txn.withColumn("transaction_month", month_start("transaction_date"))
-    joined = (t.join(F.broadcast(rfm), "transaction_month", "left")
-               .join(F.broadcast(gilts), "transaction_month", "left"))
+    joined = t.join(ctx, "transaction_month", "left")
     return joined.select(
         "transaction_id", "price", "transaction_date", "transaction_month", "postcode",
         "property_type", "old_new", "duration", "town_city", "region", "broad_region",
