@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import concat_key, property_type_label, safe_corr, safe_divide
 from ..functions.fixed_values import CATCH_ALL_REGION
-from ..operators.broadcast import sized_broadcast
 from ..operators.calendar import calendar_lag
 from .rates import rate_for_month
 
@@ -54,10 +53,12 @@ def rate_lag_analysis(monthly: DataFrame, reconciled: DataFrame,
                       lags: Sequence[int] = (1, 2, 3, 6)) -> DataFrame:
     """Monthly aggregates with the rate at the month and at 1/2/3/6 calendar
     months before it, and the changes over those spans.  The context table is
-    month-grain (bounded by the calendar), materialised and joined once,
-    broadcast after a size check."""
+    month-grain (bounded by the calendar) and joined once.  Both sides are
+    aggregates here (no fact rows), so no hint is given: AQE picks a
+    broadcast from the measured runtime sizes and falls back to a
+    sort-merge join beyond its threshold."""
     ctx = rate_context(monthly, "month", reconciled, lags)
-    joined = monthly.join(sized_broadcast(ctx, name="rate_ctx"), "month", "left")
+    joined = monthly.join(ctx, "month", "left")
     lag_cols = [F.col(f"rate_lag_{n}m") for n in lags]
     change_cols = [(F.col("base_rate") - F.col(f"rate_lag_{n}m")).alias(f"rate_change_{n}m")
                    for n in lags]
