@@ -474,19 +474,14 @@ DQ_QUERIES: dict[str, list] = {}
 
 
 def _dq_tables(spark, sf_dir):
+    """Table name -> zero-argument builder (only the checked tables are built)."""
     g = _g(spark, sf_dir)
-    return {
-        "raw_transactions": g.raw["transactions"], "raw_rates": g.raw["rates"],
-        "raw_yields": g.raw["yields"], "raw_rate_events": g.raw["rate_events"],
-        "stg_transactions": g.stg_transactions, "stg_rates": g.stg_rates,
-        "stg_yields": g.stg_yields, "stg_rate_events": g.stg_rate_events,
-        "int_rates_reconciled": g.int_rates_reconciled,
-        "int_transactions_with_rates": g.int_transactions_with_rates,
-        "monthly_transactions_by_region": g.monthly_transactions_by_region,
-        "rate_change_events": g.rate_change_events,
-        "rate_lag_analysis": g.rate_lag_analysis,
-        "regional_sensitivity": g.regional_sensitivity,
-    }
+    raw = {f"raw_{k}": (lambda k=k: g.raw[k]) for k in g.raw}
+    models = ["stg_transactions", "stg_rates", "stg_yields", "stg_rate_events",
+              "int_rates_reconciled", "int_transactions_with_rates",
+              "monthly_transactions_by_region", "rate_change_events", "rate_lag_analysis",
+              "regional_sensitivity"]
+    return {**raw, **{m: (lambda m=m: getattr(g, m)) for m in models}}
 
 
 def _dq(key: str, spec: list[tuple[str, list]]):
@@ -495,7 +490,7 @@ def _dq(key: str, spec: list[tuple[str, list]]):
 
     def run(spark, sf_dir):
         tabs = _dq_tables(spark, sf_dir)
-        parts = [Q.run_checks(tabs[t], chks).select(F.lit(t).alias("table"), "*")
+        parts = [Q.run_checks(tabs[t](), chks).select(F.lit(t).alias("table"), "*")
                  for t, chks in spec]
         out = parts[0]
         for p in parts[1:]:

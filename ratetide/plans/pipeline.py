@@ -100,7 +100,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
         if m == "stg_transactions":
             df = staging.stg_transactions(raw["transactions"], county_map=county_map)
             write_partitioned(df.withColumn("transaction_month", month_start("transaction_date")),
-                              path, "transaction_month", ["region", "property_type"])
+                              path, "transaction_month", ["region", "property_type"],
+                              split_cols=["transaction_id"])
             frames[m] = checked(m, spark.read.parquet(path).drop("transaction_month"))
         elif m == "stg_rates":
             frames[m] = staging.stg_rates(raw["rates"])

@@ -33,15 +33,29 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str,
-                      cluster_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Partition by ``partition_col``; rows are clustered inside each file by
-    ``cluster_cols`` so Parquet min/max statistics prune row groups (the
-    analogue of warehouse clustering).  Repartitioning by the partition
-    column gives one writer task (and one file) per partition value."""
-    out = df.repartition(F.col(partition_col))
-    if cluster_cols:
-        out = out.sortWithinPartitions(*cluster_cols)
-    out.write.mode(mode).partitionBy(partition_col).parquet(path)
+                      cluster_cols: Sequence[str] = (), mode: str = "overwrite",
+                      split_cols: Sequence[str] = (), num_files: int | None = None,
+                      dynamic: bool = False) -> None:
+    """Partition the table by ``partition_col``; inside each file rows are
+    clustered by ``cluster_cols`` so Parquet min/max statistics prune row
+    groups (the analogue of warehouse clustering).
+
+    Rows are range-partitioned on (partition, cluster..., split...) before
+    the write: boundaries come from a sample, so a big partition value is
+    spread over several writer tasks instead of one, and ``split_cols``
+    (e.g. a unique id) split even a single hot cluster key.  Range
+    partitioning is a deterministic function of the data, so a recomputed
+    task writes the same rows.  ``dynamic`` replaces only the partitions
+    present in ``df``.
+    """
+    keys = [partition_col, *cluster_cols, *split_cols]
+    out = (df.repartitionByRange(num_files, *keys) if num_files
+           else df.repartitionByRange(*keys))
+    out = out.sortWithinPartitions(partition_col, *cluster_cols)
+    w = out.write.mode(mode).partitionBy(partition_col)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -74,6 +88,17 @@ def schema_sync(existing: DataFrame, delta: DataFrame) -> DataFrame:
     return existing.select(*present).unionByName(delta)
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a table in the shared checkpoint folder and read
+    it back: lineage is cut (a lost executor re-reads the files) and, unlike
+    an unpersisted ``checkpoint()``, the input is computed only once."""
+    from ..session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -89,9 +114,9 @@ def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys:
 
     Only partitions present in ``delta`` are read and rewritten (dynamic
     partition overwrite); every other partition is untouched.  The merged
-    rows of the touched partitions are checkpointed to the shared checkpoint
-    folder first, so the overwrite never reads the files it replaces and a
-    lost executor recomputes from the checkpoint.  ``replace_partitions``
+    rows of the touched partitions are first written to a staging table in
+    the shared checkpoint folder, so the overwrite never reads the files it
+    replaces and a lost executor re-reads the staged files.  ``replace_partitions``
     drops old keys of touched partitions instead of keeping them.  ``since``
     (a literal lower bound of the delta's partitions) adds static partition
     pruning of the target scan.
@@ -104,10 +129,8 @@ def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys:
         # column set changed: every partition must carry the new schema, so
         # the whole table is rewritten (lineage cut by the checkpoint first).
         merged = upsert_rows(spark.read.parquet(target_path), delta, keys)
-        out = merged.checkpoint(eager=True).repartition(F.col(partition_col))
-        if cluster_cols:
-            out = out.sortWithinPartitions(*cluster_cols)
-        out.write.mode("overwrite").partitionBy(partition_col).parquet(target_path)
+        write_partitioned(materialize(merged, "upsert_full"), target_path, partition_col,
+                          cluster_cols)
         return
     if replace_partitions:
         merged = delta
@@ -119,9 +142,5 @@ def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys:
         # touched partitions are bounded by the calendar: broadcast semi join
         # lets the scan skip untouched partitions' rows before the anti join.
         old = existing.join(F.broadcast(touched), partition_col, "left_semi")
-        merged = upsert_rows(old, delta, keys).checkpoint(eager=True)
-    out = merged.repartition(F.col(partition_col))
-    if cluster_cols:
-        out = out.sortWithinPartitions(*cluster_cols)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col).parquet(target_path))
+        merged = materialize(upsert_rows(old, delta, keys), "upsert_delta")
+    write_partitioned(merged, target_path, partition_col, cluster_cols, dynamic=True)
