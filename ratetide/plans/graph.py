@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import bindings
 from . import enrich, marts, rates, staging
@@ -59,7 +60,11 @@ class ModelGraph:
 
     @cached_property
     def transaction_months(self) -> DataFrame:
-        return enrich.raw_transaction_months(self.raw["transactions"])
+        raw = self.raw["transactions"]
+        since = self.params.get("stg_transactions", {}).get("since")
+        if since is not None:  # same pre-filter as staging: only recent months
+            raw = raw.filter(F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(str(since)))
+        return enrich.raw_transaction_months(raw)
 
     @cached_property
     def int_transactions_with_rates(self) -> DataFrame:

@@ -183,3 +183,37 @@ def test_stream_change_detection_state_across_batches(spark, tmp_dir):
     out = sorted((r.effective_date, r.previous_rate, r.new_rate)
                  for r in spark.read.parquet(f"{tmp_dir}/out").collect())
     assert out == [(D(2024, 1, 1), None, 5.0), (D(2024, 1, 4), 5.0, 4.75)]
+
+
+def test_sized_broadcast_falls_back_to_shuffle_join(spark):
+    from ratetide.operators.broadcast import sized_broadcast
+
+    facts = spark.range(1000).withColumn("k", F.col("id") % 10)
+    dim = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    small = facts.join(sized_broadcast(dim), "k")
+    big = facts.join(sized_broadcast(dim, max_rows=5), "k")
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(small.collect()) == sorted(big.collect())
+
+
+def test_gate_on_newest_landed_batch(spark):
+    from ratetide.quality import newest_partition
+
+    df = spark.createDataFrame([("1", 0, "2024-01-01"), ("2", 5, "2024-02-01")],
+                               "id string, price int, run_date string")
+    newest = newest_partition(df, "run_date")
+    assert [r.id for r in newest.collect()] == ["2"]
+    gate(newest, [Between("price", 1, 10)])
+    with pytest.raises(DataQualityError):
+        gate(df, [Between("price", 1, 10)])
+
+
+def test_partitioned_write_spreads_hot_partition(spark, tmp_dir):
+    from ratetide.sinks import write_partitioned
+
+    df = (spark.range(4000).withColumn("month", F.lit("2020-01-01").cast("date"))
+          .withColumn("region", (F.col("id") % 3).cast("string")))
+    write_partitioned(df, f"{tmp_dir}/t", "month", ["region"], split_cols=["id"], num_files=4)
+    files = [f for f in os.listdir(f"{tmp_dir}/t/month=2020-01-01") if f.endswith(".parquet")]
+    assert len(files) == 4  # one hot month written by four tasks
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == 4000
