@@ -619,8 +619,14 @@ def q_stream_detect_changes(spark, sf_dir):
          .option("path", f"{root}/out").option("checkpointLocation", f"{root}/_ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("effective_date", "previous_rate",
-                                                     "new_rate")
+    return spark.read.parquet(f"{root}/out").select("event_id", "effective_date",
+                                                     "previous_rate", "new_rate")
+
+
+@register("detect_changes_ids")
+def q_detect_changes_ids(spark, sf_dir):
+    """Batch twin of the stream detector, with the same deterministic ids."""
+    return rates.latest_change_events(_g(spark, sf_dir).stg_rates).drop("series")
 
 
 # ----------------------------------------------------------------- sources

@@ -76,10 +76,18 @@ def concat_key(*cols: Column | str) -> Column:
 
 
 def deterministic_id(*cols: Column | str) -> Column:
-    """Rerun-safe id: sha2 over the parts (a replay maps to the same id)."""
+    """Rerun-safe id: sha256 over ``|``-joined parts (a replay maps to the
+    same id).  Doubles are rendered with 6 decimals so the id does not
+    depend on float-to-text conventions (the streaming detector uses the
+    same form)."""
     return F.sha2(F.concat_ws("|", *[_c(c).cast("string") for c in cols]), 256)
 
 
+def fixed6(col: Column | str) -> Column:
+    """A double as text with 6 decimals (``%.6f``)."""
+    return F.format_string("%.6f", _c(col))
+
+
 def safe_corr(x: Column | str, y: Column | str) -> Column:
     """Pearson correlation over pairs where both are non-NULL.
 

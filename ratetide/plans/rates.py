@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_start, rate_direction
+from ..functions.columns import deterministic_id, fixed6, month_start, rate_direction
 from ..functions.fixed_values import RATE_HISTORY
 from ..operators.asof import asof_lookup
 from ..operators.changes import detect_changes
@@ -41,21 +41,44 @@ def rate_for_month(months: DataFrame, month_col: str, rates: DataFrame,
                        order=["effective_date"], how=how)
 
 
-def rate_change_events(reconciled: DataFrame) -> DataFrame:
+def rate_change_events(reconciled: DataFrame, include_true_bp: bool = False) -> DataFrame:
     """One row per actual rate change, ordered by date.
 
     ``rate_change_bps`` keeps the reference's value (a difference in
-    percentage points, despite the name); ``direction`` is hike/cut."""
+    percentage points, despite the name); ``direction`` is hike/cut.
+    ``include_true_bp`` adds ``rate_change_bp_true`` (the difference in basis
+    points, rounded to 4 dp)."""
     changes = detect_changes(reconciled, "effective_date", "base_rate", emit_first=False)
-    return (changes.select(
-                "effective_date", "effective_month", "base_rate", "previous_rate",
-                (F.col("base_rate") - F.col("previous_rate")).alias("rate_change_bps"),
-                rate_direction("base_rate", "previous_rate").alias("direction"),
-                "source_type")
-            .orderBy("effective_date"))
+    cols = ["effective_date", "effective_month", "base_rate", "previous_rate",
+            (F.col("base_rate") - F.col("previous_rate")).alias("rate_change_bps"),
+            rate_direction("base_rate", "previous_rate").alias("direction"),
+            "source_type"]
+    if include_true_bp:
+        cols.append(F.round((F.col("base_rate") - F.col("previous_rate")) * 100, 4)
+                    .alias("rate_change_bp_true"))
+    return changes.select(*cols).orderBy("effective_date")
 
 
-def latest_change_events(series: DataFrame) -> DataFrame:
+def latest_change_events(series: DataFrame, series_name: str = "policy") -> DataFrame:
     """Batch twin of the streaming change detector: the first observation and
-    every observation whose rate differs from the previous one."""
-    return detect_changes(series, "effective_date", "base_rate", emit_first=True)
+    every observation whose rate differs from the previous one, with the
+    same deterministic event id the streaming detector assigns."""
+    ev = detect_changes(series, "effective_date", "base_rate", emit_first=True)
+    return ev.select(
+        F.lit(series_name).alias("series"),
+        deterministic_id(F.lit(series_name), F.col("effective_date").cast("string"),
+                         fixed6("base_rate")).alias("event_id"),
+        "effective_date", "previous_rate", F.col("base_rate").alias("new_rate"))
+
+
+def current_rate(spark: SparkSession, series: DataFrame | None = None) -> DataFrame:
+    """The current policy rate: the latest positive observation of a landed
+    public series when there is one, else the last entry of the fixed
+    history.  One row ``(effective_date, base_rate)``."""
+    from ..sources.files import first_nonempty, latest_positive
+
+    hist = rate_history(spark)
+    last = hist.orderBy(F.col("effective_date").desc()).limit(1).select(
+        "effective_date", "base_rate")
+    candidates = ([latest_positive(series)] if series is not None else []) + [last]
+    return first_nonempty(candidates)

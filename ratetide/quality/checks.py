@@ -30,6 +30,8 @@ class Check:
     """Base: ``name`` identifies the check kind in results."""
 
     column: str | None = None
+    # "warn": reported by run_checks, never fails the gate
+    severity: str = field(default="error", kw_only=True)
 
     @property
     def name(self) -> str:
@@ -169,6 +171,12 @@ class Unique(Check):
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    return _run_checks(df, checks).drop("ord")
+
+
+def _run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """As ``run_checks`` plus ``ord``: the index of the check in ``checks``."""
+    index = {id(c): i for i, c in enumerate(checks)}
     row_checks = [c for c in checks if not isinstance(c, Unique)]
     parts: list[DataFrame] = []
     if row_checks:
@@ -179,7 +187,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                       ok.alias(f"s{i}")]
         one = df.agg(*exprs)
         rows = F.array(*[
-            F.struct(F.lit(i).alias("ord"), F.lit(chk.name).alias("check"),
+            F.struct(F.lit(index[id(chk)]).alias("ord"), F.lit(chk.name).alias("check"),
                      F.lit(chk.column).cast("string").alias("column"),
                      F.col(f"e{i}").alias("evaluated"), F.col(f"f{i}").alias("failed"),
                      F.col(f"s{i}").alias("success"))
@@ -191,18 +199,19 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         agg = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("evaluated"),
                          F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
                          .cast("bigint").alias("failed"))
-        parts.append(agg.select(F.lit(len(row_checks) + j).alias("ord"),
+        parts.append(agg.select(F.lit(index[id(chk)]).alias("ord"),
                                 F.lit(chk.name).alias("check"),
                                 F.lit(chk.column).alias("column"), "evaluated", "failed",
                                 (F.col("failed") == 0).alias("success")))
-    return reduce(DataFrame.unionByName, parts).drop("ord")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def gate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Raise ``DataQualityError`` if any check fails; otherwise return ``df``
     unchanged so it can be written (``gate(df, suite).write...``)."""
-    results = run_checks(df, checks).collect()  # one row per check
-    failures = [r.asDict() for r in results if not r["success"]]
+    results = _run_checks(df, checks).collect()  # one row per check
+    failures = [r.asDict() for r in results
+                if not r["success"] and checks[r["ord"]].severity != "warn"]
     if failures:
         raise DataQualityError(failures)
     return df

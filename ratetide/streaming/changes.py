@@ -38,7 +38,7 @@ def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
         if r is None or pd.isna(r):
             continue
         if last is None or float(r) != last:
-            eid = hashlib.sha256(f"{series}|{d}|{float(r)!r}".encode()).hexdigest()
+            eid = hashlib.sha256(f"{series}|{d}|{float(r):.6f}".encode()).hexdigest()
             out.append((series, eid, d, last, float(r)))
             last = float(r)
     state.update((last,))

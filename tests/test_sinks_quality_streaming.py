@@ -217,3 +217,20 @@ def test_partitioned_write_spreads_hot_partition(spark, tmp_dir):
     files = [f for f in os.listdir(f"{tmp_dir}/t/month=2020-01-01") if f.endswith(".parquet")]
     assert len(files) == 4  # one hot month written by four tasks
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 4000
+
+
+def test_warn_severity_does_not_fail_gate(spark):
+    df = spark.createDataFrame([("1",), ("1",)], "transaction_id string")
+    gate(df, [Unique("transaction_id", severity="warn"), NotNull("transaction_id")])
+    with pytest.raises(DataQualityError):
+        gate(df, [Unique("transaction_id")])
+
+
+def test_current_rate_falls_back_to_history(spark):
+    from ratetide.plans.rates import current_rate
+
+    assert tuple(current_rate(spark).first()) == (D(2025, 12, 18), 3.75)
+    lines = spark.createDataFrame([("observation_date,X",), ("2026-01-01,3.5",)], "value string")
+    assert tuple(current_rate(spark, SF.series_from_lines(lines)).first()) == (D(2026, 1, 1), 3.5)
+    empty = SF.series_from_lines(spark.createDataFrame([("2026-01-01,.",)], "value string"))
+    assert current_rate(spark, empty).first().base_rate == 3.75
