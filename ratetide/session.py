@@ -66,3 +66,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
+                           minimum: int = 8) -> int:
+    """Shuffle partitions so each holds about ``target_bytes`` of input
+    (e.g. 100 TB -> ~400k).  With AQE on, set this as the initial count and
+    let ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` coalesce."""
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))

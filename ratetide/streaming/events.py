@@ -103,3 +103,20 @@ def start_ingest(spark: SparkSession, source_dir: str, sink_path: str, quarantin
 
     return (sink(valid_events(parsed), sink_path, "events"),
             sink(bad_events(parsed), quarantine_path, "quarantine"))
+
+
+def read_kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,
+                        starting_offsets: str = "earliest",
+                        max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Kafka source for the same pipeline (needs the Kafka connector on the
+    classpath; not available in the test image).  Returns ``value`` text,
+    so ``parse_messages`` applies unchanged.  ``max_offsets_per_trigger``
+    bounds a micro-batch (and with it the per-series group the change
+    detector sees at once)."""
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap_servers)
+         .option("subscribe", topic)
+         .option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load().select(F.col("value").cast("string").alias("value"))

@@ -234,3 +234,23 @@ def test_current_rate_falls_back_to_history(spark):
     assert tuple(current_rate(spark, SF.series_from_lines(lines)).first()) == (D(2026, 1, 1), 3.5)
     empty = SF.series_from_lines(spark.createDataFrame([("2026-01-01,.",)], "value string"))
     assert current_rate(spark, empty).first().base_rate == 3.75
+
+
+def test_pipeline_closure_and_idempotent_rerun(spark, tmp_dir):
+    from ratetide.plans.graph import ModelGraph
+    from ratetide.plans.pipeline import SCHEDULED, closure, run_pipeline
+
+    assert closure(["rate_change_events"]) == ["stg_rates", "stg_rate_events",
+                                               "int_rates_reconciled", "rate_change_events"]
+    g = ModelGraph.from_testdata(spark, "/root/testdata/sf0.001")
+    sched = run_pipeline(spark, g.raw, f"{tmp_dir}/s", targets=SCHEDULED,
+                         county_map=g.county_map, on_failure="warn")
+    assert "monthly_transactions_by_region" not in sched.paths
+    out = f"{tmp_dir}/w"
+    first = run_pipeline(spark, g.raw, out, county_map=g.county_map, on_failure="warn")
+    m1 = sorted(map(tuple, spark.read.parquet(first.paths["monthly_transactions_by_region"])
+                    .collect()), key=repr)
+    run_pipeline(spark, g.raw, out, county_map=g.county_map, on_failure="warn")
+    m2 = sorted(map(tuple, spark.read.parquet(first.paths["monthly_transactions_by_region"])
+                    .collect()), key=repr)
+    assert m1 == m2 and len(m1) > 0
