@@ -652,9 +652,13 @@ def q_src_transactions_csv(spark, sf_dir):
 
 @register("src_year_range")
 def q_src_year_range(spark, sf_dir):
-    """Backfill read of the years 1997..1999 from the landed yearly folders."""
+    """Backfill read over the landed yearly folders, first to last year."""
     root = _land_transactions(spark, sf_dir)
-    return SF.read_year_range(spark, root, 1997, 1999).select(*SF.TRANSACTION_COLUMNS, "year")
+    span = (bindings.landed(spark, sf_dir)["transactions"]
+            .agg(F.min(F.left("transaction_date", F.lit(4))).alias("lo"),
+                 F.max(F.left("transaction_date", F.lit(4))).alias("hi")).first())
+    return (SF.read_year_range(spark, root, int(span["lo"]), int(span["hi"]))
+            .select(*SF.TRANSACTION_COLUMNS, "year"))
 
 
 @register("src_rates_json")
