@@ -195,7 +195,7 @@ def q_join_left_month(spark, sf_dir):
 @register("join_calendar_lag")
 def q_join_calendar_lag(spark, sf_dir):
     g = _g(spark, sf_dir)
-    months = g.monthly_transactions_by_region.select("month").distinct()
+    months = g.monthly_table.select("month").distinct()
     ctx = marts.rate_context(months, "month", g.int_rates_reconciled)
     return (months.join(F.broadcast(ctx), "month", "left")
                   .withColumnRenamed("base_rate", "rate_at_month"))

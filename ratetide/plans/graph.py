@@ -81,10 +81,18 @@ class ModelGraph:
     def monthly_transactions_by_region(self) -> DataFrame:
         return marts.monthly_transactions_by_region(self.int_transactions_with_rates)
 
+    @cached_property
+    def monthly_table(self) -> DataFrame:
+        """The monthly mart written once (it is read twice by the lag model:
+        rows and distinct months), so the fact-side dedup and aggregation
+        run once instead of once per use."""
+        from ..sinks.writers import materialize
+
+        return materialize(self.monthly_transactions_by_region, "monthly")
+
     @cached_property
     def rate_lag_analysis(self) -> DataFrame:
-        return marts.rate_lag_analysis(self.monthly_transactions_by_region,
-                                       self.int_rates_reconciled, self.lags)
+        return marts.rate_lag_analysis(self.monthly_table, self.int_rates_reconciled, self.lags)
 
     @cached_property
     def regional_sensitivity(self) -> DataFrame:
