@@ -581,10 +581,9 @@ def q_stream_quarantine(spark, sf_dir):
 def _run_ingest(spark, sf_dir) -> str:
     root = scratch_path(spark, "stream")
     event_messages_from_events(spark, sf_dir).write.text(f"{root}/in")
-    qs = SE.start_ingest(spark, f"{root}/in", f"{root}/events", f"{root}/quarantine",
-                         f"{root}/_checkpoints", available_now=True, default_ts=DEFAULT_TS)
-    for q in qs:
-        q.awaitTermination()
+    q = SE.start_ingest(spark, f"{root}/in", f"{root}/events", f"{root}/quarantine",
+                        f"{root}/_checkpoints", available_now=True, default_ts=DEFAULT_TS)
+    q.awaitTermination()
     return root
 
 

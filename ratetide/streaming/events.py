@@ -6,8 +6,8 @@ Messages are JSON objects with ``event_id`` (required), ``effective_date``
 when the key is absent).  Anything else goes to a quarantine sink with a
 reason instead of being redelivered forever.
 
-Delivery is at-least-once; the sink is an append-only Parquet table written
-by a checkpointed file sink (exactly-once per micro-batch).  Replays are
+Delivery is at-least-once; the sink is an append-only Parquet table with one
+folder per micro-batch (rewritten on replay, so exactly-once per batch).  Replays are
 removed downstream by ``stg_rate_events`` (latest ``published_at`` wins).
 """
 
@@ -83,26 +83,38 @@ def read_message_stream(spark: SparkSession, source_dir: str,
     return r.load(source_dir)
 
 
-def start_ingest(spark: SparkSession, source_dir: str, sink_path: str, quarantine_path: str,
-                 checkpoint_root: str, available_now: bool = True,
-                 processing_time: str = "10 seconds", default_ts: str | None = None):
-    """Start the two sink queries (valid events, quarantine); returns them.
+def start_ingest(spark: SparkSession, source_dir: str | None, sink_path: str,
+                 quarantine_path: str, checkpoint_root: str, available_now: bool = True,
+                 processing_time: str = "10 seconds", default_ts: str | None = None,
+                 source: DataFrame | None = None):
+    """Start the ingest query: one read of the source per micro-batch, two
+    outputs (valid events, quarantine).
 
-    Each has its own checkpoint under ``checkpoint_root`` (a shared folder),
-    so a restart resumes exactly where the file-sink log stopped.
+    Each micro-batch is parsed once, persisted, and written to
+    ``<sink>/batch_id=N`` and ``<quarantine>/batch_id=N`` with overwrite: a
+    batch replayed after a failure rewrites its own folders, so the tables
+    stay exactly-once.  The checkpoint (in a shared folder) records which
+    source files / offsets are done, so a restart resumes where it stopped.
+    ``source`` overrides the file source (e.g. ``read_kafka_messages``).
     """
-    parsed = parse_messages(read_message_stream(spark, source_dir), default_ts=default_ts)
-
-    def sink(df: DataFrame, path: str, name: str):
-        w = (df.writeStream.format("parquet").outputMode("append")
-               .option("path", path)
-               .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{name}"))
-        w = w.trigger(availableNow=True) if available_now else w.trigger(
-            processingTime=processing_time)
-        return w.start()
-
-    return (sink(valid_events(parsed), sink_path, "events"),
-            sink(bad_events(parsed), quarantine_path, "quarantine"))
+    stream = source if source is not None else read_message_stream(spark, source_dir)
+    parsed = parse_messages(stream, default_ts=default_ts)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            valid_events(batch).write.mode("overwrite").parquet(
+                f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+            bad_events(batch).write.mode("overwrite").parquet(
+                f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = (parsed.writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/ingest"))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(
+        processingTime=processing_time)
+    return w.start()
 
 
 def read_kafka_messages(spark: SparkSession, bootstrap_servers: str, topic: str,

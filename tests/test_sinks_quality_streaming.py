@@ -144,14 +144,12 @@ def test_stream_ingest_restart_and_replay(spark, tmp_dir):
         f.write('{"event_id":"e1","effective_date":"2024-01-01","new_rate":5.0,'
                 '"published_at":"2024-01-01T00:00:00Z"}\nnot json\n')
     args = (spark, src, f"{tmp_dir}/events", f"{tmp_dir}/bad", f"{tmp_dir}/ckpt")
-    for q in start_ingest(*args):
-        q.awaitTermination()
+    start_ingest(*args).awaitTermination()
     time.sleep(1.1)
     with open(f"{src}/2.json", "w") as f:  # replay with a later publish time
         f.write('{"event_id":"e1","effective_date":"2024-01-01","new_rate":5.25,'
                 '"published_at":"2024-01-01T01:00:00Z"}\n')
-    for q in start_ingest(*args):
-        q.awaitTermination()
+    start_ingest(*args).awaitTermination()
     ev = spark.read.parquet(f"{tmp_dir}/events")
     assert ev.count() == 2  # restart processed only the new file
     assert spark.read.parquet(f"{tmp_dir}/bad").count() == 1
