@@ -239,21 +239,7 @@ def q_agg_distinct_months(spark, sf_dir):
 
 def _rs_frames(spark, sf_dir):
     """The intermediate frames of the sensitivity model, for operator keys."""
-    lag = _g(spark, sf_dir).rate_lag_analysis
-    lag_data = lag.filter(F.col("property_type").isin("D", "S", "T", "F")
-                          & (F.col("broad_region") != "Other England"))
-    broad = (lag_data.groupBy("month", "broad_region", "property_type",
-                              "rate_change_1m", "rate_change_3m")
-             .agg(F.sum("transaction_count").alias("transaction_count")))
-    w = (Window.partitionBy("broad_region", "property_type")
-         .orderBy("month", "rate_change_1m", "rate_change_3m"))
-    smoothed = broad.withColumn("rolling_3m_avg_txns",
-                                F.avg("transaction_count").over(w.rowsBetween(-2, 0)))
-    prev3 = F.lag("rolling_3m_avg_txns", 3).over(w)
-    pct = (smoothed.filter(F.col("rate_change_1m").isNotNull())
-           .withColumn("pct_vol_change_3m",
-                       safe_divide(F.col("rolling_3m_avg_txns") - prev3, prev3) * 100))
-    return broad, smoothed, pct
+    return marts.sensitivity_steps(_g(spark, sf_dir).rate_lag_analysis)
 
 
 @register("agg_rollup_broad")

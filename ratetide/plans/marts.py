@@ -70,18 +70,16 @@ def rate_lag_analysis(monthly: DataFrame, reconciled: DataFrame,
     )
 
 
-def regional_sensitivity(lag: DataFrame, min_months: int = 12,
-                         property_types: Sequence[str] = ("D", "S", "T", "F"),
-                         exclude_region: str = CATCH_ALL_REGION) -> DataFrame:
-    """Rank broad regions x property types by how volumes move after rate changes.
-
-    Order of steps matters: roll counties up to broad regions; smooth with a
-    3-row rolling mean over *all* months; drop months without a 1-month rate
-    change; then the 3-row lag (counting surviving rows); drop NULL changes;
-    require ``min_months`` observations; score from unrounded averages.
-    Windows are partitioned by (broad_region, property_type): one partition
-    per series, each bounded by the number of months.
-    """
+def sensitivity_steps(lag: DataFrame,
+                      property_types: Sequence[str] = ("D", "S", "T", "F"),
+                      exclude_region: str = CATCH_ALL_REGION):
+    """The intermediate frames of the sensitivity model, in order:
+    ``broad`` (counties rolled up to broad regions), ``smoothed`` (3-row
+    rolling mean over *all* months) and ``with_pct`` (months with a 1-month
+    rate change only, then the 3-row lag of the rolling mean, so the lag
+    counts surviving rows).  Windows are partitioned by (broad_region,
+    property_type): one partition per series, each bounded by the number of
+    months."""
     lag_data = lag.filter(F.col("property_type").isin(*property_types)
                           & (F.col("broad_region") != exclude_region))
     broad = (lag_data.groupBy("month", "broad_region", "property_type",
@@ -96,6 +94,21 @@ def regional_sensitivity(lag: DataFrame, min_months: int = 12,
     prev3 = F.lag("rolling_3m_avg_txns", 3).over(by_month)
     with_pct = kept.withColumn(
         "pct_vol_change_3m", safe_divide(F.col("rolling_3m_avg_txns") - prev3, prev3) * 100)
+    return broad, smoothed, with_pct
+
+
+def regional_sensitivity(lag: DataFrame, min_months: int = 12,
+                         property_types: Sequence[str] = ("D", "S", "T", "F"),
+                         exclude_region: str = CATCH_ALL_REGION) -> DataFrame:
+    """Rank broad regions x property types by how volumes move after rate changes.
+
+    Order of steps matters (see ``sensitivity_steps``): roll up, smooth over
+    all months, drop months without a 1-month change, lag 3 surviving rows;
+    then drop NULL changes, require ``min_months`` observations and score
+    from unrounded averages (NULL when a series never saw a hike or a cut).
+    """
+    series = ["broad_region", "property_type"]
+    with_pct = sensitivity_steps(lag, property_types, exclude_region)[2]
     pct = F.col("pct_vol_change_3m")
     sens = (with_pct.filter(pct.isNotNull())
             .groupBy(*series)
