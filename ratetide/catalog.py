@@ -427,7 +427,10 @@ def q_sink_partitioned(spark, sf_dir):
 @register("monthly_incremental")
 def q_monthly_incremental(spark, sf_dir):
     """History load (raw rows dated before 2000) then one incremental run
-    over all rows with a one-month overlap: equals the full mart."""
+    over all rows with a one-month overlap.  The result is the history with
+    every reprocessed month upserted; groups that vanished on reprocessing
+    (a reload moved the sale into a later month) are kept, as a MERGE
+    keeps them."""
     path = scratch_path(spark, "monthly_incremental")
     raw = bindings.landed(spark, sf_dir)["transactions"]
     hist = ModelGraph.from_testdata(spark, sf_dir)
