@@ -192,3 +192,44 @@ def test_sensitivity_lag_counts_surviving_rows(spark):
     df = _lag_rows(spark, 24, lambda i: None if i in (5, 6) else (0.25 if i % 2 else -0.25))
     out = marts.regional_sensitivity(df).first()
     assert out.months_observed == 22 - 3
+
+
+def _monthly(spark, months):
+    rows = [(m, "KENT", "South East", "D", 10, 100.0, 100, 90, 110) for m in months]
+    return spark.createDataFrame(rows, "month date, region string, broad_region string, "
+                                       "property_type string, transaction_count bigint, "
+                                       "avg_price double, median_price bigint, "
+                                       "min_price bigint, max_price bigint")
+
+
+def test_rate_lag_analysis_month_quirks(spark):
+    rec = _rates(spark, [("2020-01-10", 1.0), ("2020-02-05", 2.0), ("2020-04-11", 0.25),
+                         ("2020-04-19", 0.10)])
+    months = [D(2019, 12, 1), D(2020, 1, 1), D(2020, 2, 1), D(2020, 4, 1)]
+    out = {r.month: r for r in marts.rate_lag_analysis(_monthly(spark, months), rec).collect()}
+    # before the first rate: everything NULL
+    assert out[D(2019, 12, 1)].rate_at_month is None
+    assert out[D(2019, 12, 1)].property_type_label == "Detached"
+    # two changes in April: the later one applies
+    assert out[D(2020, 4, 1)].rate_at_month == 0.10
+    # March has no transactions: April's 1-month lag is NULL (calendar, not row)
+    assert out[D(2020, 4, 1)].rate_lag_1m is None
+    assert out[D(2020, 4, 1)].rate_lag_2m == 2.0
+    assert out[D(2020, 4, 1)].rate_change_2m == pytest.approx(0.10 - 2.0)
+    # February: lag 1 month = January's rate
+    assert out[D(2020, 2, 1)].rate_lag_1m == 1.0 and out[D(2020, 2, 1)].rate_change_1m == 1.0
+
+
+def test_monthly_mart_key_and_null_county(spark):
+    e = spark.createDataFrame(
+        [(D(2020, 1, 1), None, "Other England", "D", 100, 1.0, 2.0),
+         (D(2020, 1, 1), "KENT", "South East", "D", 300, 1.0, None),
+         (D(2020, 1, 1), "KENT", "South East", "D", 200, 1.0, None)],
+        "transaction_month date, region string, broad_region string, property_type string, "
+        "price bigint, base_rate double, gilt_yield_pct double")
+    out = {r.region: r for r in marts.monthly_transactions_by_region(e).collect()}
+    assert out[None].month_region_key is None
+    k = out["KENT"]
+    assert k.month_region_key == "2020-01-01_KENT_D"
+    assert (k.transaction_count, k.min_price, k.max_price, k.median_price) == (2, 200, 300, 200)
+    assert k.avg_gilt_yield_pct is None
