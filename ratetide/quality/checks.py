@@ -1,11 +1,18 @@
 """Declarative data-quality checks evaluated as Spark aggregations.
 
 ``run_checks(df, checks)`` returns a DataFrame
-``(check, column, evaluated, failed, success)``: every row-level check of a
-table is one aggregate expression of a **single** aggregation pass (partial
-aggregation, one tiny shuffle); each uniqueness check adds one
-``groupBy(column)``.  Nothing is collected except by ``gate``, which reads the
-result (one row per check) and raises before a write.
+``(check, column, evaluated, failed, success)``.  Every row-level check is a
+pair of per-row 0/1 indicators (evaluated, failed) whose sums decide it, so
+all checks of a table share **one** scan:
+
+* without a uniqueness check: one global aggregation (partial per task);
+* with one: the indicators ride along in the ``groupBy(column)`` the
+  uniqueness check needs (partial aggregation per key, so a hot value is
+  collapsed map-side), then a one-row sum.  Each further uniqueness check
+  adds one group-by.
+
+Nothing is collected except by ``gate``, which reads the result (one row per
+check) and raises before a write.
 """
 
 from __future__ import annotations
@@ -25,6 +32,18 @@ class DataQualityError(RuntimeError):
         super().__init__(f"data quality gate failed: {names}")
 
 
+def _flag(cond: Column) -> Column:
+    """1 where ``cond`` is true, else 0 (NULL counts as false)."""
+    return F.when(F.coalesce(cond, F.lit(False)), 1).otherwise(0)
+
+
+def _mostly_ok(failed: Column, evaluated: Column, mostly: float) -> Column:
+    if mostly >= 1.0:
+        return failed == 0
+    share = F.try_divide((evaluated - failed).cast("double"), evaluated.cast("double"))
+    return (evaluated == 0) | (share >= F.lit(mostly))
+
+
 @dataclass(frozen=True)
 class Check:
     """Base: ``name`` identifies the check kind in results."""
@@ -37,38 +56,41 @@ class Check:
     def name(self) -> str:
         raise NotImplementedError
 
-    def aggregates(self, df: DataFrame) -> tuple[Column, Column, Column]:
-        """(evaluated, failed, success) aggregate expressions."""
+    def indicators(self, df: DataFrame) -> tuple[Column, Column]:
+        """Per-row (evaluated, failed) 0/1 indicators."""
         raise NotImplementedError
 
+    def outcome(self, df: DataFrame, evaluated: Column,
+                failed: Column) -> tuple[Column, Column]:
+        """(failed, success) from the summed indicators."""
+        return failed, failed == 0
 
-def _count_if(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
-
-
-def _mostly_ok(failed: Column, evaluated: Column, mostly: float) -> Column:
-    if mostly >= 1.0:
-        return failed == 0
-    share = F.try_divide((evaluated - failed).cast("double"), evaluated.cast("double"))
-    return (evaluated == 0) | (share >= F.lit(mostly))
+    def reported(self, evaluated: Column) -> Column:
+        """The ``evaluated`` value shown in results."""
+        return evaluated
 
 
 @dataclass(frozen=True)
 class ColumnExists(Check):
     name = "column_exists"
 
-    def aggregates(self, df):
+    def indicators(self, df):
+        return F.lit(0), F.lit(0)
+
+    def outcome(self, df, evaluated, failed):
         ok = self.column in df.columns
-        return F.lit(1).cast("bigint"), F.lit(0 if ok else 1).cast("bigint"), F.lit(ok)
+        return F.lit(0 if ok else 1).cast("bigint"), F.lit(ok)
+
+    def reported(self, evaluated):
+        return F.lit(1)  # one schema checked
 
 
 @dataclass(frozen=True)
 class NotNull(Check):
     name = "not_null"
 
-    def aggregates(self, df):
-        failed = _count_if(F.col(self.column).isNull())
-        return F.count(F.lit(1)), failed, failed == 0
+    def indicators(self, df):
+        return F.lit(1), _flag(F.col(self.column).isNull())
 
 
 @dataclass(frozen=True)
@@ -81,16 +103,17 @@ class Between(Check):
     mostly: float = 1.0
     name = "between"
 
-    def aggregates(self, df):
+    def indicators(self, df):
         c = F.col(self.column)
         bad = F.lit(False)
         if self.min_value is not None:
             bad = bad | (c < F.lit(self.min_value))
         if self.max_value is not None:
             bad = bad | (c > F.lit(self.max_value))
-        evaluated = F.count(c)
-        failed = _count_if(c.isNotNull() & bad)
-        return evaluated, failed, _mostly_ok(failed, evaluated, self.mostly)
+        return _flag(c.isNotNull()), _flag(c.isNotNull() & bad)
+
+    def outcome(self, df, evaluated, failed):
+        return failed, _mostly_ok(failed, evaluated, self.mostly)
 
 
 @dataclass(frozen=True)
@@ -102,7 +125,7 @@ class AcceptedRange(Check):
     inclusive: bool = True
     name = "accepted_range"
 
-    def aggregates(self, df):
+    def indicators(self, df):
         c = F.col(self.column)
         bad = F.lit(False)
         if self.min_value is not None:
@@ -111,8 +134,7 @@ class AcceptedRange(Check):
         if self.max_value is not None:
             bad = bad | ((c > F.lit(self.max_value)) if self.inclusive
                          else (c >= F.lit(self.max_value)))
-        failed = _count_if(c.isNotNull() & bad)
-        return F.count(F.lit(1)), failed, failed == 0
+        return F.lit(1), _flag(c.isNotNull() & bad)
 
 
 @dataclass(frozen=True)
@@ -123,11 +145,12 @@ class InSet(Check):
     mostly: float = 1.0
     name = "accepted_values"
 
-    def aggregates(self, df):
+    def indicators(self, df):
         c = F.col(self.column)
-        evaluated = F.count(c)
-        failed = _count_if(c.isNotNull() & ~c.isin(*self.values))
-        return evaluated, failed, _mostly_ok(failed, evaluated, self.mostly)
+        return _flag(c.isNotNull()), _flag(c.isNotNull() & ~c.isin(*self.values))
+
+    def outcome(self, df, evaluated, failed):
+        return failed, _mostly_ok(failed, evaluated, self.mostly)
 
 
 @dataclass(frozen=True)
@@ -136,14 +159,16 @@ class RowCountBetween(Check):
     max_value: int | None = None
     name = "row_count_between"
 
-    def aggregates(self, df):
-        n = F.count(F.lit(1))
+    def indicators(self, df):
+        return F.lit(1), F.lit(0)
+
+    def outcome(self, df, evaluated, failed):
         ok = F.lit(True)
         if self.min_value is not None:
-            ok = ok & (n >= self.min_value)
+            ok = ok & (evaluated >= self.min_value)
         if self.max_value is not None:
-            ok = ok & (n <= self.max_value)
-        return n, F.when(ok, 0).otherwise(1).cast("bigint"), ok
+            ok = ok & (evaluated <= self.max_value)
+        return F.when(ok, 0).otherwise(1).cast("bigint"), ok
 
 
 @dataclass(frozen=True)
@@ -158,9 +183,8 @@ class NoRowsWhere(Check):
     def name(self):
         return self.label
 
-    def aggregates(self, df):
-        failed = _count_if(F.expr(self.predicate))
-        return F.count(F.lit(1)), failed, failed == 0
+    def indicators(self, df):
+        return F.lit(1), _flag(F.expr(self.predicate))
 
 
 @dataclass(frozen=True)
@@ -174,35 +198,65 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return _run_checks(df, checks).drop("ord")
 
 
+def _result(ord_: int, chk: Check, evaluated: Column, failed: Column,
+            success: Column) -> Column:
+    return F.struct(F.lit(ord_).alias("ord"), F.lit(chk.name).alias("check"),
+                    F.lit(chk.column).cast("string").alias("column"),
+                    evaluated.cast("bigint").alias("evaluated"),
+                    failed.cast("bigint").alias("failed"), success.alias("success"))
+
+
+def _sum0(name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+
+
 def _run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """As ``run_checks`` plus ``ord``: the index of the check in ``checks``."""
-    index = {id(c): i for i, c in enumerate(checks)}
-    row_checks = [c for c in checks if not isinstance(c, Unique)]
+    row = [(i, c) for i, c in enumerate(checks) if not isinstance(c, Unique)]
+    uniq = [(i, c) for i, c in enumerate(checks) if isinstance(c, Unique)]
+    inds = []
+    for i, c in row:
+        e, f = c.indicators(df)
+        inds += [e.alias(f"e{i}"), f.alias(f"f{i}")]
+    sums = [f"{p}{i}" for i, _ in row for p in "ef"]
+
+    def row_results() -> list[Column]:
+        out = []
+        for i, c in row:
+            ev = F.col(f"e{i}")
+            fa, ok = c.outcome(df, ev, F.col(f"f{i}"))
+            out.append(_result(i, c, c.reported(ev), fa, ok))
+        return out
+
     parts: list[DataFrame] = []
-    if row_checks:
-        exprs = []
-        for i, chk in enumerate(row_checks):
-            ev, fa, ok = chk.aggregates(df)
-            exprs += [ev.cast("bigint").alias(f"e{i}"), fa.cast("bigint").alias(f"f{i}"),
-                      ok.alias(f"s{i}")]
-        one = df.agg(*exprs)
-        rows = F.array(*[
-            F.struct(F.lit(index[id(chk)]).alias("ord"), F.lit(chk.name).alias("check"),
-                     F.lit(chk.column).cast("string").alias("column"),
-                     F.col(f"e{i}").alias("evaluated"), F.col(f"f{i}").alias("failed"),
-                     F.col(f"s{i}").alias("success"))
-            for i, chk in enumerate(row_checks)])
-        parts.append(one.select(F.inline(rows)))
-    for j, chk in enumerate(c for c in checks if isinstance(c, Unique)):
+    if uniq:
+        # the first uniqueness check's group-by also carries the row checks
+        i0, u0 = uniq[0]
+        per_key = (df.select(F.col(u0.column).alias("_k"), *inds)
+                   .groupBy("_k")
+                   .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s).alias(s) for s in sums]))
+        nn = F.col("_k").isNotNull()
+        totals = per_key.agg(
+            F.coalesce(F.sum(F.when(nn, F.col("_n"))), F.lit(0)).alias("_ue"),
+            F.coalesce(F.sum(F.when(nn & (F.col("_n") > 1), F.col("_n"))), F.lit(0))
+             .alias("_uf"),
+            *[_sum0(s) for s in sums])
+        first = _result(i0, u0, F.col("_ue"), F.col("_uf"), F.col("_uf") == 0)
+        parts.append(totals.select(F.inline(F.array(first, *row_results()))))
+        rest = uniq[1:]
+    else:
+        if row:
+            totals = df.select(*inds).agg(*[_sum0(s) for s in sums])
+            parts.append(totals.select(F.inline(F.array(*row_results()))))
+        rest = []
+    for i, chk in rest:
         counts = (df.filter(F.col(chk.column).isNotNull())
                     .groupBy(chk.column).agg(F.count(F.lit(1)).alias("n")))
-        agg = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("evaluated"),
+        agg = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("ev"),
                          F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
-                         .cast("bigint").alias("failed"))
-        parts.append(agg.select(F.lit(index[id(chk)]).alias("ord"),
-                                F.lit(chk.name).alias("check"),
-                                F.lit(chk.column).alias("column"), "evaluated", "failed",
-                                (F.col("failed") == 0).alias("success")))
+                         .alias("fa"))
+        parts.append(agg.select(F.inline(F.array(
+            _result(i, chk, F.col("ev"), F.col("fa"), F.col("fa") == 0)))))
     return reduce(DataFrame.unionByName, parts)
 
 
