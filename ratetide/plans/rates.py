@@ -31,6 +31,19 @@ def rate_history(spark: SparkSession) -> DataFrame:
               .withColumn("effective_month", month_start("effective_date")))
 
 
+def backfill_rates(spark: SparkSession, path: str, loaded_at: str | None = None,
+                   source: str = "history backfill") -> int:
+    """Truncate-load the fixed history into the batch rate table at ``path``
+    (raw-rates schema).  Replaces the whole table, daily rows included, as a
+    backfill does; returns the number of rows written."""
+    from ..sinks.writers import overwrite
+
+    ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
+    rows = rate_history(spark).select("effective_date", "base_rate",
+                                      F.lit(source).alias("source"), ts.alias("loaded_at"))
+    return overwrite(rows, path)
+
+
 def rate_for_month(months: DataFrame, month_col: str, rates: DataFrame,
                    how: str = "left") -> DataFrame:
     """Rate in force for each distinct month: the rate of the latest change

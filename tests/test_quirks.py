@@ -233,3 +233,17 @@ def test_monthly_mart_key_and_null_county(spark):
     assert k.month_region_key == "2020-01-01_KENT_D"
     assert (k.transaction_count, k.min_price, k.max_price, k.median_price) == (2, 200, 300, 200)
     assert k.avg_gilt_yield_pct is None
+
+
+def test_backfill_truncates_daily_rows(spark, tmp_path):
+    from ratetide.sinks import append
+
+    path = str(tmp_path / "rates")
+    daily = spark.createDataFrame([(D(2026, 1, 5), 3.5, "daily", None)],
+                                  "effective_date date, base_rate double, source string, "
+                                  "loaded_at timestamp")
+    append(daily, path)
+    assert rates.backfill_rates(spark, path, loaded_at="2026-01-06 00:00:00") == 69
+    got = spark.read.parquet(path)
+    assert got.count() == 69 and got.filter(F.col("source") == "daily").count() == 0
+    assert staging.stg_rates(got).count() == 69
