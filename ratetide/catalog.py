@@ -710,25 +710,25 @@ def q_src_fallback_first_nonempty(spark, sf_dir):
     return chosen
 
 
-# ----------------------------------------------------------------- pipeline
-@register("pipeline_run")
-def q_pipeline_run(spark, sf_dir):
+# ----------------------------------------------------------------- DAG runs
+@register("dag_full_run")
+def q_dag_full_run(spark, sf_dir):
     """The whole DAG written table by table (checks recorded: the bound data
     has NULL counties, which the mart's not-null tests flag), then the
     flagship table read back."""
-    from .plans.pipeline import run_pipeline
+    from .plans.runner import run_pipeline
 
     g = _g(spark, sf_dir)
-    res = run_pipeline(spark, g.raw, scratch_path(spark, "pipeline"),
+    res = run_pipeline(spark, g.raw, scratch_path(spark, "dag_run"),
                        county_map=g.county_map, check=True, on_failure="warn")
     return spark.read.parquet(res.paths["regional_sensitivity"])
 
 
-@register("pipeline_scheduled")
-def q_pipeline_scheduled(spark, sf_dir):
+@register("dag_scheduled_run")
+def q_dag_scheduled_run(spark, sf_dir):
     """A scheduled (daily) run: staging, reconciled rates and the change
     events only; the change-event table is read back."""
-    from .plans.pipeline import SCHEDULED, run_pipeline
+    from .plans.runner import SCHEDULED, run_pipeline
 
     g = _g(spark, sf_dir)
     res = run_pipeline(spark, g.raw, scratch_path(spark, "scheduled"), targets=SCHEDULED,

@@ -236,7 +236,7 @@ def test_current_rate_falls_back_to_history(spark):
 
 def test_pipeline_closure_and_idempotent_rerun(spark, tmp_dir):
     from ratetide.plans.graph import ModelGraph
-    from ratetide.plans.pipeline import SCHEDULED, closure, run_pipeline
+    from ratetide.plans.runner import SCHEDULED, closure, run_pipeline
 
     assert closure(["rate_change_events"]) == ["stg_rates", "stg_rate_events",
                                                "int_rates_reconciled", "rate_change_events"]
