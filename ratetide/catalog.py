@@ -624,7 +624,7 @@ LANDED_RUN = "2024-01-31"
 
 
 def _land_transactions(spark, sf_dir) -> str:
-    root = scratch_path(spark, "land_registry")
+    root = scratch_path(spark, "landed_transactions")
     raw = bindings.landed(spark, sf_dir)["transactions"].withColumns({
         "year": F.left("transaction_date", F.lit(4)), "run_date": F.lit(LANDED_RUN)})
     SF.write_transactions_csv(raw, root, partition_by=["year", "run_date"])
@@ -651,7 +651,7 @@ def q_src_year_range(spark, sf_dir):
 
 @register("src_rates_json")
 def q_src_rates_json(spark, sf_dir):
-    root = scratch_path(spark, "boe_rates")
+    root = scratch_path(spark, "landed_rates")
     writers.write_ndjson(bindings.landed(spark, sf_dir)["rates"], f"{root}/run_date={LANDED_RUN}")
     return SF.read_rates_json(spark, root).select("effective_date", "base_rate", "source",
                                                   "loaded_at")
@@ -660,7 +660,7 @@ def q_src_rates_json(spark, sf_dir):
 @register("src_yields_json")
 def q_src_yields_json(spark, sf_dir):
     """Yields landed under date=<run>/ with a data column `date` (name clash)."""
-    root = scratch_path(spark, "gilts")
+    root = scratch_path(spark, "landed_yields")
     writers.write_ndjson(bindings.landed(spark, sf_dir)["yields"], f"{root}/date={LANDED_RUN}")
     return SF.read_yields_json(spark, root)
 

@@ -45,10 +45,10 @@ def int_transactions_with_rates(stg_txn: DataFrame, reconciled: DataFrame,
     if months is None:
         months = transaction_months(stg_txn)
     rfm = rate_for_month(months, "transaction_month", reconciled)
-    gilts = monthly_yields(stg_yields).withColumnRenamed("yield_month", "transaction_month")
+    yields = monthly_yields(stg_yields).withColumnRenamed("yield_month", "transaction_month")
     # one month-grain context (rfm covers every transaction month): written
     # once, broadcast after a size check, joined once to the fact rows
-    ctx = sized_broadcast(rfm.join(gilts, "transaction_month", "left"), name="month_ctx")
+    ctx = sized_broadcast(rfm.join(yields, "transaction_month", "left"), name="month_ctx")
     t = stg_txn.withColumn("transaction_month", month_start("transaction_date"))
     joined = t.join(ctx, "transaction_month", "left")
     return joined.select(

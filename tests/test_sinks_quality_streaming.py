@@ -98,8 +98,8 @@ def test_csv_quoted_newline_doubled_quote_empty(spark, tmp_dir):
 def test_yields_date_folder_does_not_clobber_data(spark, tmp_dir):
     df = spark.createDataFrame([(D(2024, 1, 2), 4.1, "T", None)],
                                "date date, yield_pct double, ticker string, loaded_at timestamp")
-    write_ndjson(df, f"{tmp_dir}/gilts/date=2024-01-31")
-    assert SF.read_yields_json(spark, f"{tmp_dir}/gilts").first().date == D(2024, 1, 2)
+    write_ndjson(df, f"{tmp_dir}/yields/date=2024-01-31")
+    assert SF.read_yields_json(spark, f"{tmp_dir}/yields").first().date == D(2024, 1, 2)
 
 
 def test_series_latest_and_tail(spark):
