@@ -28,7 +28,8 @@ def asof_lookup(probe: DataFrame, probe_col: str, series: DataFrame, series_col:
     """
     out_col = out_col or value_col
     parts = [F.col(c) for c in partition_by]
-    s = series.select(
+    # a NULL series key matches no probe key (as in a `>=` join condition)
+    s = series.filter(F.col(series_col).isNotNull()).select(
         *parts,
         F.col(series_col).alias("_k"),
         F.lit(0).alias("_t"),

@@ -26,7 +26,7 @@ def bucket_dimension(df: DataFrame, source_col: str | Column, mapping, out_col:
     key = normalize_key(source_col if isinstance(source_col, Column) else F.col(source_col))
     if isinstance(mapping, dict):
         lit_map = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-        return df.withColumn(out_col, F.coalesce(F.element_at(lit_map, key), F.lit(default)))
+        return df.withColumn(out_col, F.coalesce(F.try_element_at(lit_map, key), F.lit(default)))
     dim = (mapping.groupBy(F.col(map_key).alias("_bk"))
                   .agg(F.min(F.col(map_value)).alias("_bv")))
     joined = df.join(F.broadcast(dim), key == F.col("_bk"), "left")

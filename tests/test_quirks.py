@@ -247,3 +247,10 @@ def test_backfill_truncates_daily_rows(spark, tmp_path):
     got = spark.read.parquet(path)
     assert got.count() == 69 and got.filter(F.col("source") == "daily").count() == 0
     assert staging.stg_rates(got).count() == 69
+
+
+def test_asof_ignores_null_series_keys(spark):
+    s = spark.createDataFrame([(None, 9.0), (D(2020, 2, 1), 1.0)], "m date, v double")
+    p = spark.createDataFrame([(D(2020, 1, 1),), (D(2020, 3, 1),)], "m date")
+    got = {r.m: r.v for r in asof_lookup(p, "m", s, "m", "v").collect()}
+    assert got == {D(2020, 1, 1): None, D(2020, 3, 1): 1.0}
