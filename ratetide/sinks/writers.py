@@ -124,6 +124,9 @@ def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys:
     if not _path_exists(spark, target_path):
         write_partitioned(delta, target_path, partition_col, cluster_cols)
         return
+    # the delta is used three times below (touched partitions, anti-join
+    # keys, union): write it once so its upstream plan runs once
+    delta = materialize(delta, "upsert_delta_in")
     existing_cols = spark.read.parquet(target_path).columns
     if sorted(existing_cols) != sorted(delta.columns):
         # column set changed: every partition must carry the new schema, so
