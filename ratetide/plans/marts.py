@@ -56,7 +56,11 @@ def rate_lag_analysis(monthly: DataFrame, reconciled: DataFrame,
     month-grain (bounded by the calendar) and joined once.  Both sides are
     aggregates here (no fact rows), so no hint is given: AQE picks a
     broadcast from the measured runtime sizes and falls back to a
-    sort-merge join beyond its threshold."""
+    sort-merge join beyond its threshold.
+
+    ``monthly`` is read twice (rows and distinct months): pass the written
+    mart (``ModelGraph.monthly_table``, the runner's table), not a lazy plan
+    over the facts, or the fact-side work runs twice."""
     ctx = rate_context(monthly, "month", reconciled, lags)
     joined = monthly.join(ctx, "month", "left")
     lag_cols = [F.col(f"rate_lag_{n}m") for n in lags]
