@@ -254,3 +254,16 @@ def test_asof_ignores_null_series_keys(spark):
     p = spark.createDataFrame([(D(2020, 1, 1),), (D(2020, 3, 1),)], "m date")
     got = {r.m: r.v for r in asof_lookup(p, "m", s, "m", "v").collect()}
     assert got == {D(2020, 1, 1): None, D(2020, 3, 1): 1.0}
+
+
+def test_hot_null_key_collapses_to_one_row(spark):
+    # a third of all rows share one (NULL) id: the partial top-1 before the
+    # shuffle reduces it per task, and it ends as a single staged row
+    rows = [tx(i, f"2020-{i % 12 + 1:02d}-01", price=100 + i) for i in range(2000)]
+    hot = [dict(tx(0, f"2021-{i % 12 + 1:02d}-0{i % 9 + 1}", price=i), transaction_id=None)
+           for i in range(1000)]
+    df = raw_tx(spark, rows + hot).repartition(8)
+    out = staging.stg_transactions(df)
+    assert out.count() == 2000 + 1
+    kept = out.filter(F.col("transaction_id").isNull()).collect()
+    assert len(kept) == 1 and kept[0].transaction_date == D(2021, 12, 9)
