@@ -1,3 +1,4 @@
 from .writers import (  # noqa: F401
-    append, merge_upsert, overwrite, schema_sync, upsert_rows, write_ndjson, write_partitioned,
+    append, materialize, merge_upsert, overwrite, schema_sync, upsert_rows, write_ndjson,
+    write_partitioned,
 )

@@ -1 +1 @@
-
+"""Landed-file readers (``files``) and the test-data bindings (``bindings``)."""
