@@ -189,7 +189,9 @@ def q_join_left_month(spark, sf_dir):
     rfm = rates.rate_for_month(g.transaction_months, "transaction_month", g.int_rates_reconciled)
     t = g.stg_transactions.select("transaction_id",
                                   month_start("transaction_date").alias("transaction_month"))
-    return t.join(F.broadcast(rfm), "transaction_month", "left")
+    from .operators.broadcast import sized_broadcast
+
+    return t.join(sized_broadcast(rfm, name="rfm"), "transaction_month", "left")
 
 
 @register("join_calendar_lag")
@@ -197,7 +199,7 @@ def q_join_calendar_lag(spark, sf_dir):
     g = _g(spark, sf_dir)
     months = g.monthly_table.select("month").distinct()
     ctx = marts.rate_context(months, "month", g.int_rates_reconciled)
-    return (months.join(F.broadcast(ctx), "month", "left")
+    return (months.join(ctx, "month", "left")
                   .withColumnRenamed("base_rate", "rate_at_month"))
 
 
