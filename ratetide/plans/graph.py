@@ -33,7 +33,7 @@ class ModelGraph:
         """Graph over the raw tables bound from the driver's test tables
         (landed once per session, see ``bindings.landed``)."""
         raw = dict(bindings.landed(spark, sf_dir))
-        return cls(spark, raw, county_map=bindings.county_map(spark, sf_dir), **kw)
+        return cls(spark, raw, county_map=bindings.county_lookup_dict(spark, sf_dir), **kw)
 
     # ---- staging
     @cached_property

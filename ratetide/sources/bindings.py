@@ -159,3 +159,20 @@ def landed(spark: SparkSession, sf_dir: str, files: int | None = None) -> dict[s
         out[name] = spark.read.parquet(path)
     _LANDED[key] = out
     return out
+
+
+_COUNTY_DICTS: dict = {}
+
+
+def county_lookup_dict(spark: SparkSession, sf_dir: str, max_rows: int = 10_000) -> dict:
+    """The bound county map as a literal lookup (like the fixed county list):
+    nation is a fixed 25-row table, so it is read once per session, with a
+    guard on its size, and the staging projection needs no join."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    got = _COUNTY_DICTS.get(key)
+    if got is None:
+        rows = county_map(spark, sf_dir).limit(max_rows + 1).collect()
+        if len(rows) > max_rows:
+            raise ValueError("county map larger than a dimension; pass it as a DataFrame")
+        got = _COUNTY_DICTS[key] = {r["key"]: r["value"] for r in rows}
+    return got
