@@ -267,3 +267,11 @@ def test_hot_null_key_collapses_to_one_row(spark):
     assert out.count() == 2000 + 1
     kept = out.filter(F.col("transaction_id").isNull()).collect()
     assert len(kept) == 1 and kept[0].transaction_date == D(2021, 12, 9)
+
+
+def test_shuffle_partitions_for():
+    from ratetide.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(100 * 2**40) == 100 * 2**40 // (256 * 2**20)  # 100 TiB
+    assert shuffle_partitions_for(300 * 2**20) == 8
