@@ -28,6 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--scheduled", action="store_true", help="the daily/monthly subset")
     r.add_argument("--warn", action="store_true", help="record failed checks, do not abort")
     r.add_argument("--no-checks", action="store_true")
+    r.add_argument("--gate-raw", action="store_true",
+                   help="gate the newest landed transaction and rate batches first")
     r.add_argument("--full-refresh", action="store_true", help="rebuild the monthly mart")
     i = sub.add_parser("ingest", help="stream rate-change messages into the event table")
     for name in ("source", "sink", "quarantine", "checkpoint"):
@@ -56,7 +58,12 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         }
         targets = (SCHEDULED if args.scheduled
                    else args.targets.split(",") if args.targets else None)
+        from .quality.suites import SUITES
+
+        raw_suites = ({"transactions": SUITES["raw_transactions"],
+                       "rates": SUITES["raw_rates"]} if args.gate_raw else None)
         res = run_pipeline(spark, raw, args.out, targets=targets, check=not args.no_checks,
+                           raw_suites=raw_suites,
                            on_failure="warn" if args.warn else "raise",
                            incremental=not args.full_refresh)
         out = {"tables": res.paths,

@@ -272,3 +272,6 @@ def test_command_line_run_over_landed_files(spark, tmp_dir):
     # the fixed county list maps none of the test counties: everything is catch-all
     assert spark.read.parquet(out["tables"]["regional_sensitivity"]).count() == 0
     assert main(["backfill-rates", "--out", f"{tmp_dir}/hist"], spark=spark)["rows"] == 69
+    # landed files gated first: the bound data has NULL counties -> abort
+    with pytest.raises(DataQualityError):
+        main(args[:-1] + ["--gate-raw"], spark=spark)
