@@ -10,7 +10,8 @@ at growing lengths; whatever is unique at a length leaves the search:
    that every ``span``-byte window owns one);
 2. about ``2/3 span`` bytes to the left and right of the surviving anchors,
    and the whole block of windows that an anchor owns: a block that starts in
-   a smaller document is settled at once;
+   a smaller document is settled at once, and sides that lie in equal blocks
+   only leave;
 3. the ``span``-byte windows that are left.
 
 Documents stay in shards by hash, packed as compressed Arrow batches; a shard
@@ -34,7 +35,7 @@ from . import repeats_np as R
 from .common import free_name, quoted
 
 SHARD_BYTES = 8 << 20
-_ASK = "bucket int, shard int, grams binary, multi binary, keys binary, low binary"
+_ASK = "bucket int, shard int, grams binary, tags binary, multi binary, keys binary, low binary"
 _REPLY = "shard int, round int, bucket int, gram_bits binary, key_bits binary"
 
 
@@ -115,20 +116,20 @@ class _Shard:
         self.doc, self.lo, self.hi, self.at = (np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _unique(names: np.ndarray, docs: np.ndarray):
-    """Distinct names, whether each is in several documents, and the index of
-    each name among the distinct ones."""
+def _unique(names: np.ndarray, tags: np.ndarray):
+    """Distinct names, one tag of each, whether it has several tags, and the
+    index of each name among the distinct ones."""
     order = np.argsort(names)
-    n, d = names[order], docs[order]
+    n, t = names[order], tags[order]
     new = np.ones(len(n), bool)
     new[1:] = n[1:] != n[:-1]
     group = np.cumsum(new) - 1
     index = np.empty(len(n), np.int64)
     index[order] = group
-    # equal names stand together: two documents show as a change next to each other
+    # equal names stand together: several tags show as a change next to each other
     multi = np.zeros(int(group[-1]) + 1 if len(n) else 0, bool)
-    multi[group[1:][(~new[1:]) & (d[1:] != d[:-1])]] = True
-    return n[new], multi, index
+    multi[group[1:][(~new[1:]) & (t[1:] != t[:-1])]] = True
+    return n[new], t[new], multi, index
 
 
 def _unique_keys(k1, k2, ids):
@@ -142,61 +143,63 @@ def _unique_keys(k1, k2, ids):
     return a[new], b[new], i[new], index
 
 
-def _grams48(names):
+def _low48(names: np.ndarray) -> bytes:
     return np.ascontiguousarray(names.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
-def _ask_rows(shard: int, bits: int, grams=None, keys=None) -> pa.Table:
+def _from48(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).ravel()
+
+
+_NO_GRAMS = (np.zeros(0, np.uint64), None, np.zeros(0, bool))
+_NO_KEYS = (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+
+def _ask_rows(shard: int, bits: int, grams=_NO_GRAMS, keys=_NO_KEYS) -> pa.Table:
     """One row per bucket with names to ask; a bucket is the top ``bits``."""
     edges = (np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
     cut = lambda names: np.append(np.searchsorted(names, edges), len(names))
-    names, multi = grams if grams is not None else (np.zeros(0, np.uint64), np.zeros(0, bool))
-    k1, k2, low = keys if keys is not None else (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    (names, tags, multi), (k1, k2, low) = grams, keys
     g, k = cut(names), cut(k1)
-    out = {c: [] for c in ("bucket", "shard", "grams", "multi", "keys", "low")}
+    out = {c: [] for c in ("bucket", "shard", "grams", "tags", "multi", "keys", "low")}
     for b in range(1 << bits):
         gs, ks = slice(g[b], g[b + 1]), slice(k[b], k[b + 1])
         if g[b] == g[b + 1] and k[b] == k[b + 1]:
             continue
         out["bucket"].append(b)
         out["shard"].append(shard)
-        out["grams"].append(_grams48(names[gs]))
+        out["grams"].append(_low48(names[gs]))
+        out["tags"].append(b"" if tags is None else _low48(tags[gs]))
         out["multi"].append(np.packbits(multi[gs]).tobytes())
         out["keys"].append(k1[ks].tobytes() + k2[ks].tobytes())
         out["low"].append(low[ks].tobytes())
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    kinds = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
     return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), kinds, strict=True)})
 
 
 def _answer(round_no: int):
     def answer(asked):
-        """For each asked name: is it in two documents or more; for each key:
-        does a smaller id than the asker's own smallest have it."""
+        """For each asked name: has it several tags (shards, where none is
+        given); for each key: does a smaller id than the asker's own have it."""
         bucket = asked.column("bucket")[0].as_py()
         shards = asked.column("shard").to_pylist()
         get = lambda c: asked.column(c).to_pylist()
-        names, multi, sizes, k1, k2, low, kn = [], [], [], [], [], [], []
-        for g, m, k, lo in zip(get("grams"), get("multi"), get("keys"), get("low"), strict=True):
-            n = len(g) // 6
-            wide = np.zeros((n, 8), np.uint8)
-            wide[:, :6] = np.frombuffer(g, np.uint8).reshape(n, 6)
-            names.append(wide.view(np.uint64).ravel())
+        names, tags, multi, sizes, k1, k2, low, kn = [], [], [], [], [], [], [], []
+        for shard, g, t, m, k, lo in zip(shards, *map(get, ("grams", "tags", "multi", "keys", "low")), strict=True):
+            n, c = len(g) // 6, len(k) // 12
+            names.append(_from48(g))
+            tags.append(_from48(t) if t else np.full(n, shard, np.uint64))
             multi.append(np.unpackbits(np.frombuffer(m, np.uint8), count=n).astype(bool) if n else np.zeros(0, bool))
             sizes.append(n)
-            c = len(k) // 12
             k1.append(np.frombuffer(k, np.uint64, count=c))
             k2.append(np.frombuffer(k, np.uint32, offset=8 * c))
             low.append(np.frombuffer(lo, np.int64))
             kn.append(c)
-        names, multi = np.concatenate(names), np.concatenate(multi)
-        order = np.argsort(names)
-        n = names[order]
-        new = np.ones(len(n), bool)
-        new[1:] = n[1:] != n[:-1]
-        group = np.cumsum(new) - 1
-        count = np.bincount(group, weights=1 + multi[order], minlength=1)
-        live = np.zeros(len(n), bool)
-        live[order] = count[group] >= 2
+        _, _, several, index = _unique(np.concatenate(names), np.concatenate(tags))
+        several[index[np.concatenate(multi)]] = True
+        live = several[index]
         k1, k2, low = np.concatenate(k1), np.concatenate(k2), np.concatenate(low)
         _, _, least, index = _unique_keys(k1, k2, low)
         taken = least[index] < low if len(low) else np.zeros(0, bool)
@@ -236,32 +239,34 @@ class _Search:
         return _unique(shard.grams[shard.at], shard.doc)
 
     def ask_grams(self, key, packed):
-        names, multi, _ = self._round1(self.open(packed))
-        return _ask_rows(key[0].as_py(), self.bits, grams=(names, multi))
+        names, _, multi, _ = self._round1(self.open(packed))
+        return _ask_rows(key[0].as_py(), self.bits, grams=(names, None, multi))
 
     # round 2: both sides of live anchors, and whole blocks
     def _round2(self, shard: _Shard, replies: pa.Table):
         """Live blocks; the names of their sides (windows whose anchor is
         ``half`` or more bytes in lie over the left side, the others over the
-        right one); the names of whole blocks."""
-        asked, _, index = self._round1(shard)
+        right one), tagged with their block; the names of whole blocks.  A side
+        that lies in equal blocks only has no open windows: what they share is
+        settled with the block."""
+        asked, _, _, index = self._round1(shard)
         live = self._bits(replies, 1, "gram_bits", asked)[index]
         doc, lo, hi, at = (x[live] for x in (shard.doc, shard.lo, shard.hi, shard.at))
         left, right = lo <= at - shard.half, hi > at - shard.half
         sides = R.names_at(shard.grams, np.concatenate((at[left] + R.GRAM - shard.side, at[right])), shard.side)
-        grams = _unique(sides, np.concatenate((doc[left], doc[right])))
         b1, b2 = R.check_names(shard.grams, lo, hi + self.span, 2 * self.span)
+        grams = _unique(sides, np.concatenate((b1[left], b1[right])))
         keys = _unique_keys(b1, b2, shard.ids[doc])
         return (doc, lo, hi, at), left, right, grams, keys
 
     def ask_sides(self, key, packed, replies):
-        _, _, _, (names, multi, _), (k1, k2, low, _) = self._round2(self.open(packed), replies)
-        return _ask_rows(key[0].as_py(), self.bits, grams=(names, multi), keys=(k1, k2, low))
+        _, _, _, grams, keys = self._round2(self.open(packed), replies)
+        return _ask_rows(key[0].as_py(), self.bits, grams=grams[:3], keys=keys[:3])
 
     # round 3: windows that are still open
     def _round3(self, shard: _Shard, replies: pa.Table):
         """Settled blocks, and the windows that are open by name."""
-        (doc, lo, hi, at), left, right, (names, _, gi), (k1, _, low, ki) = self._round2(shard, replies)
+        (doc, lo, hi, at), left, right, (names, _, _, gi), (k1, _, low, ki) = self._round2(shard, replies)
         side_live = self._bits(replies, 2, "gram_bits", names)[gi]
         settled = self._bits(replies, 2, "key_bits", k1)[ki] | (low[ki] < shard.ids[doc])
         left[left], right[right] = side_live[:left.sum()] & ~settled[left], side_live[left.sum():] & ~settled[right]
@@ -275,8 +280,8 @@ class _Search:
         return (lo[settled], hi[settled]), _unique_keys(w1, w2, ids), ids, window
 
     def ask_windows(self, key, packed, replies):
-        _, (k1, k2, low, _), _, _ = self._round3(self.open(packed), replies)
-        return _ask_rows(key[0].as_py(), self.bits, keys=(k1, k2, low))
+        _, keys, _, _ = self._round3(self.open(packed), replies)
+        return _ask_rows(key[0].as_py(), self.bits, keys=keys[:3])
 
     # end: cover the bytes of repeated windows
     def cut(self, key, packed, replies):
