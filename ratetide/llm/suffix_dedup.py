@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import repeats_np as R
 from .common import free_name, quoted
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20  # of text in a shard, about; a task holds some 20 times as much
 _ASK = "bucket int, shard int, grams binary, tags binary, multi binary, keys binary, low binary"
 _REPLY = "shard int, round int, bucket int, gram_bits binary, key_bits binary"
 
@@ -98,7 +98,7 @@ class _Shard:
         document, first and last window and anchor (positions in ``data``)."""
         n, found = len(self.data), [(np.zeros(0, np.int64),) * 4]
         self.grams = np.empty(max(n - R.GRAM + 1, 0), np.uint64)
-        doc_of = np.repeat(np.arange(len(self.lens)), self.lens)
+        doc_of = np.repeat(np.arange(len(self.lens), dtype=np.int32), self.lens)
         last = self.starts + self.lens - self.span
         for s in range(0, max(n - self.span + 1, 0), R.CHUNK):
             e = min(s + R.CHUNK, n - self.span + 1)
@@ -289,9 +289,10 @@ class _Search:
         settled, (k1, _, low, ki), ids, at = self._round3(shard, replies)
         hit = self._bits(replies, 3, "key_bits", k1)[ki] | (low[ki] < ids)
         n = len(shard.data) + 1
-        opened = np.bincount(np.concatenate((settled[0], at[hit])), minlength=n)
-        closed = np.bincount(np.concatenate((settled[1], at[hit])) + self.span, minlength=n)
-        gone = np.cumsum(opened - closed)[:-1] > 0
+        depth = np.bincount(np.concatenate((settled[0], at[hit])), minlength=n)
+        depth -= np.bincount(np.concatenate((settled[1], at[hit])) + self.span, minlength=n)
+        gone = np.cumsum(depth, out=depth)[:-1] > 0
+        del depth
         spans, kept = [], []
         for s, n in zip(shard.starts.tolist(), shard.lens.tolist(), strict=True):
             g = gone[s:s + n]
