@@ -82,6 +82,11 @@ def check_names(grams: np.ndarray, lo: np.ndarray, hi: np.ndarray, longest: int)
     return a, (b >> U(32)).astype(np.uint32)
 
 
+def spread(names: np.ndarray) -> np.ndarray:
+    """Names anew, over the whole range: those of anchors are small ones."""
+    return _mix(names * _M3)
+
+
 def anchors(grams: np.ndarray, windows: int, width: int) -> np.ndarray:
     """For each of ``windows`` window starts, the start of its smallest-named
     gram (leftmost of equals); a window holds ``width`` grams."""

@@ -164,10 +164,8 @@ def _ask_rows(shard: int, bits: int, grams=_NO_GRAMS, keys=_NO_KEYS) -> pa.Table
     (names, tags, multi), (k1, k2, low) = grams, keys
     g, k = cut(names), cut(k1)
     out = {c: [] for c in ("bucket", "shard", "grams", "tags", "multi", "keys", "low")}
-    for b in range(1 << bits):
+    for b in np.flatnonzero((np.diff(g) > 0) | (np.diff(k) > 0)).tolist():
         gs, ks = slice(g[b], g[b + 1]), slice(k[b], k[b + 1])
-        if g[b] == g[b + 1] and k[b] == k[b + 1]:
-            continue
         out["bucket"].append(b)
         out["shard"].append(shard)
         out["grams"].append(_low48(names[gs]))
@@ -236,7 +234,7 @@ class _Search:
 
     # round 1: 16 bytes at anchors
     def _round1(self, shard: _Shard):
-        return _unique(shard.grams[shard.at], shard.doc)
+        return _unique(R.spread(shard.grams[shard.at]), shard.doc)
 
     def ask_grams(self, key, packed):
         names, _, multi, _ = self._round1(self.open(packed))
@@ -327,7 +325,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     out, shard_col = free_name(docs, out), free_name(docs, "shard")
     total = docs.agg(F.sum(F.octet_length(quoted(text_col)))).first()[0] or 0
     n_shards = max(8, total // SHARD_BYTES)
-    bits = max(4, int(np.ceil(np.log2(n_shards))) - 1)
+    bits = max(8, int(n_shards).bit_length() - 2)
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     keyed = docs.withColumn(shard_col, F.pmod(F.xxhash64(quoted(id_col), quoted(text_col)), F.lit(n_shards)).cast("int"))
     packed = keyed.mapInArrow(_packer(shard_col), "shard int, rows binary")
