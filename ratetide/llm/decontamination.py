@@ -7,7 +7,9 @@ window has a fingerprint in common.  Fingerprints are joined, and each match is
 extended along its diagonal, word by word: hashes only propose, equal words
 decide.  Items shorter than a window are proposed by the hash of all their
 words instead; documents hash as many words at every place for those lengths
-only that occur.
+only that occur.  A bitmap of fixed size marks the documents with a match, so
+that other texts are not shuffled; where it fills up, more texts are, and the
+results are the same.
 
 Words are maximal runs outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z
 are lower-cased.  A null text has no words, an item without words no window.
@@ -25,6 +27,7 @@ from .common import free_name, let, lower_ascii, quoted, words_of, written
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 WINDOW, GRAM = 13, 6
+BITMAP = 1 << 25  # bits of the candidate filter: 4 MB at most, whatever the corpus
 
 
 def item_words(text: Column) -> Column:
@@ -123,10 +126,30 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
             F.coalesce(F.sort_array(F.array_distinct(F.flatten(F.transform(hits, lambda c: c.ids)))),
                        F.array().cast("array<string>")).alias("items")))
 
-    joined = keyed.join(candidates, keyed[key] == candidates["doc_key"], "left")
+    # only texts that may have a candidate are shuffled to it
+    place, slot, bits, maybe = (free_name(docs, x) for x in ("place", "bitmap_slot", "bitmap", "maybe"))
+    marked = keyed.withColumn(place, F.pmod(quoted(key), F.lit(BITMAP)) + 1).withColumn(slot, F.bitmap_bucket_number(quoted(place)))
+    marked = marked.join(F.broadcast(_bitmap(candidates, slot, bits)), slot, "left")  # BITMAP bits at most
+    marked = marked.withColumn(maybe, _bit(quoted(bits), F.bitmap_bit_position(quoted(place))))
+    plain = marked.where(~quoted(maybe)).withColumn(found, F.lit(None).cast(candidates.schema[found].dataType))
+    likely = marked.where(quoted(maybe)).join(candidates.hint("shuffle_hash"), F.col("doc_key") == quoted(key), "left")
+    columns = [quoted(c) for c in (*docs.columns, found)]
+    joined = plain.select(*columns).unionAll(likely.select(*columns))
     return joined.select(*(quoted(c) for c in docs.columns), let(item_words(quoted(text_col)), judged).alias(out))
 
 
+def _bitmap(candidates: DataFrame, slot: str, bits: str) -> DataFrame:
+    """Which places of a fixed number of bits the candidate documents take."""
+    place = candidates.select((F.pmod("doc_key", F.lit(BITMAP)) + 1).alias("place"))
+    return place.groupBy(F.bitmap_bucket_number("place").alias(slot)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias(bits))
+
+
+def _bit(bitmap: Column, position: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bitmap, (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.call_function("getbit", byte, F.pmod(position, F.lit(8)).cast("int")) == 1, F.lit(False))
+
+
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:
     """A twentieth of the words or more are hit."""
     return (n_hit > 0) & (20 * n_hit >= n_words)
