@@ -91,7 +91,9 @@ def _bigrams(words):
 
 def templates(spark: SparkSession, threshold: float = THRESHOLD, fixed=TEMPLATES) -> DataFrame:
     """One row per template and bigram, with the sizes that can reach the threshold."""
-    made = spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(fixed)], "template int, licence string, text string")
+    made = spark.range(1).select(F.inline(F.array(*(
+        F.struct(F.lit(i).alias("template"), F.lit(s).alias("licence"), F.lit(t).alias("text"))
+        for i, (s, t) in enumerate(fixed)))))
     return (made.withColumn("grams", let(item_words(F.col("text")), _bigrams)).withColumn("size", F.size("grams"))
             .select("template", "licence", "size",
                     F.ceil(F.col("size") * threshold / (2 - threshold) - 1e-9).alias("least"),
