@@ -43,9 +43,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token_ids (little-endian unsigned 32-bit), n_tokens and whether the
     ids decode to the text."""
-    path = vocabulary()
     ids, decoded = free_name(docs, "token_ids"), free_name(docs, "decoded")
-    coded = bpe.decode(bpe.encode(docs, path, out=ids), path, ids_col=ids, out=decoded)
+    coded = bpe.encode(docs, vocabulary(), out=ids, decoded=decoded)
     return coded.select(*(quoted(c) for c in docs.columns), quoted(ids),
                         (F.octet_length(quoted(ids)) / 4).cast("long").alias(free_name(docs, "n_tokens")),
                         (quoted(decoded) == F.coalesce("text", F.lit(""))).alias(free_name(docs, "round_trip")))

@@ -26,7 +26,8 @@ from .common import free_name
 
 #: The pre-tokenizer's pattern of this vocabulary.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE = 1 << 19  # remembered pieces and fragments, each
+CACHE = 1 << 18  # remembered pieces; fragments of cut pieces: a quarter
+ROWS = 1024      # texts at a time
 
 
 def byte_alphabet() -> list[str]:
@@ -73,7 +74,7 @@ class Codec:
             regex.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.latin = str.maketrans({chr(b): c for b, c in enumerate(alphabet)})
         self.findall = regex.compile(PIECES).findall
-        self.pieces, self.fragments = _Memo(self._piece), _Memo(self._fragment)
+        self.pieces, self.fragments = _Memo(self._piece, CACHE), _Memo(self._fragment, CACHE // 4)
 
     def _fragment(self, raw: bytes) -> bytes:
         return _packed(t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.latin)))
@@ -99,18 +100,22 @@ class Codec:
         """The text of the ids; special tokens stay."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
+    def text_of(self, packed: bytes | None) -> str:
+        """``decode`` of packed ids."""
+        return self.decode(np.frombuffer(packed or b"", "<u4").tolist())
+
 
 def _packed(ids) -> bytes:
     return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(list(ids), "<u4").tobytes()
 
 
 class _Memo(dict):
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, key):
-        if len(self) >= CACHE:
+        if len(self) >= self.most:
             self.clear()
         self[key] = value = self.make(key)
         return value
@@ -120,28 +125,37 @@ def _columns(df: DataFrame) -> str:
     return "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in df.schema)
 
 
-def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out: str = "token_ids") -> DataFrame:
+def _slices(batches):
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield batch.slice(i, ROWS)
+
+
+def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out: str = "token_ids",
+           decoded: str | None = None) -> DataFrame:
     """``docs`` with the token ids as little-endian unsigned 32-bit integers in
-    one binary column."""
+    one binary column, and, if ``decoded`` names a column, the text that
+    ``decode`` makes of them, in the same pass."""
     out = free_name(docs, out)
+    back = free_name(docs, decoded) if decoded else None
 
     def run(batches):
         codec = Codec.of(vocabulary)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [codec.encode(t) for t in batch.column(text_col).to_pylist()]
-            yield batch.append_column(out, pa.array(ids, pa.binary()))
+            batch = batch.append_column(out, pa.array(ids, pa.binary()))
+            yield batch.append_column(back, pa.array(map(codec.text_of, ids), pa.string())) if back else batch
 
-    return docs.mapInArrow(run, f"{_columns(docs)}`{out}` binary")
+    return docs.mapInArrow(run, f"{_columns(docs)}`{out}` binary" + (f", `{back}` string" if back else ""))
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """``df`` with the text of the ids that ``encode`` gave."""
+    """``df`` with the text of the ids that ``encode`` gave (null: empty)."""
     out = free_name(df, out)
 
     def run(batches):
         codec = Codec.of(vocabulary)
-        for batch in batches:
-            texts = [codec.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(ids_col).to_pylist()]
-            yield batch.append_column(out, pa.array(texts, pa.string()))
+        for batch in _slices(batches):
+            yield batch.append_column(out, pa.array(map(codec.text_of, batch.column(ids_col).to_pylist()), pa.string()))
 
     return df.mapInArrow(run, f"{_columns(df)}`{out}` string")

@@ -99,8 +99,7 @@ def op9_simhash(spark, sf_dir):
 
 def op10_bpe(spark, sf_dir):
     """Token ids of every document, and the text decoded from them."""
-    path = vocabulary()
-    coded = bpe.decode(bpe.encode(_texts(spark, sf_dir), path).drop("text"), path)
+    coded = bpe.encode(_texts(spark, sf_dir), vocabulary(), decoded="decoded")
     return coded.select("doc_id", F.expr("octet_length(token_ids) div 4").alias("n_tokens"),
                         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
