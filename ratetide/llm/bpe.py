@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import free_name
+from .common import free_name, numbered, schema_of
 
 #: The pre-tokenizer's pattern of this vocabulary.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -121,10 +121,6 @@ class _Memo(dict):
         return value
 
 
-def _columns(df: DataFrame) -> str:
-    return "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in df.schema)
-
-
 def _slices(batches):
     for batch in batches:
         for i in range(0, batch.num_rows, ROWS):
@@ -136,26 +132,26 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out: str =
     """``docs`` with the token ids as little-endian unsigned 32-bit integers in
     one binary column, and, if ``decoded`` names a column, the text that
     ``decode`` makes of them, in the same pass."""
-    out = free_name(docs, out)
-    back = free_name(docs, decoded) if decoded else None
+    names = [*docs.columns, free_name(docs, out), *([free_name(docs, decoded)] if decoded else [])]
+    plain, text_at = numbered(docs), docs.columns.index(text_col)
 
     def run(batches):
         codec = Codec.of(vocabulary)
         for batch in _slices(batches):
-            ids = [codec.encode(t) for t in batch.column(text_col).to_pylist()]
-            batch = batch.append_column(out, pa.array(ids, pa.binary()))
-            yield batch.append_column(back, pa.array(map(codec.text_of, ids), pa.string())) if back else batch
+            ids = [codec.encode(t) for t in batch.column(text_at).to_pylist()]
+            batch = batch.append_column("ids", pa.array(ids, pa.binary()))
+            yield batch.append_column("back", pa.array(map(codec.text_of, ids), pa.string())) if decoded else batch
 
-    return docs.mapInArrow(run, f"{_columns(docs)}`{out}` binary" + (f", `{back}` string" if back else ""))
+    return plain.mapInArrow(run, schema_of(plain, "ids binary", *(["back string"] if decoded else []))).toDF(*names)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of the ids that ``encode`` gave (null: empty)."""
-    out = free_name(df, out)
+    plain, ids_at = numbered(df), df.columns.index(ids_col)
 
     def run(batches):
         codec = Codec.of(vocabulary)
         for batch in _slices(batches):
-            yield batch.append_column(out, pa.array(map(codec.text_of, batch.column(ids_col).to_pylist()), pa.string()))
+            yield batch.append_column("back", pa.array(map(codec.text_of, batch.column(ids_at).to_pylist()), pa.string()))
 
-    return df.mapInArrow(run, f"{_columns(df)}`{out}` string")
+    return plain.mapInArrow(run, schema_of(plain, "back string")).toDF(*df.columns, free_name(df, out))

@@ -32,6 +32,17 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ...: Arrow functions take no names
+    with dots."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def schema_of(df: DataFrame, *more: str) -> str:
+    """The columns of ``df`` and ``more`` as a schema string."""
+    return ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in df.schema), *more])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; every other character stays as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

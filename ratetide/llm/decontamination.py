@@ -53,11 +53,14 @@ def _winnowed(words: Column, window: int, gram: int) -> Column:
         F.array().cast("array<bigint>"))
 
 
+def _tagged(k: int, hashes: Column) -> Column:
+    return F.transform(hashes, lambda h: F.struct(F.lit(k).alias("k"), h.alias("h")))
+
+
 def _fingerprints(words: Column, window: int, gram: int, short: list[int]) -> Column:
     """(k, hash) of a document: winnowed grams, and all grams of short items' lengths."""
-    tagged = lambda k, hashes: F.transform(hashes, lambda h: F.struct(F.lit(k).alias("k"), h.alias("h")))
-    return F.concat(tagged(gram, _winnowed(words, window, gram)),
-                    *(tagged(k, F.array_distinct(_grams(words, k))) for k in short))
+    return F.concat(_tagged(gram, _winnowed(words, window, gram)),
+                    *(_tagged(k, F.array_distinct(_grams(words, k))) for k in short))
 
 
 def _hit_positions(words: Column, candidate: Column, window: int, gram: int, short: list[int]) -> Column:
@@ -99,12 +102,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     classes = written(classes, "decontam-items")
     # at most window - 1 numbers come to the driver
     short = sorted(r[0] for r in classes.select(F.size("item_words").alias("n")).where(F.col("n") < window).distinct().collect())
-    own = F.when(F.size("item_words") >= window,
-                 F.transform(_winnowed(F.col("item_words"), window, gram),
-                             lambda h: F.struct(F.lit(gram).alias("k"), h.alias("h"))))
+    own = F.when(F.size("item_words") >= window, _tagged(gram, _winnowed(F.col("item_words"), window, gram)))
     for k in short:
-        own = own.when(F.size("item_words") == k, F.transform(
-            _grams(F.col("item_words"), k), lambda h, k=k: F.struct(F.lit(k).alias("k"), h.alias("h"))))
+        own = own.when(F.size("item_words") == k, _tagged(k, _grams(F.col("item_words"), k)))
     item_prints = classes.select("class", F.inline(own))
 
     keyed = docs.withColumn(key, F.xxhash64(quoted(id_col), quoted(text_col)))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats_np as R
-from .common import free_name, quoted
+from .common import free_name, numbered, quoted, schema_of
 
 SHARD_BYTES = 4 << 20  # of text in a shard, about; a task holds some 20 times as much
 _ASK = "bucket int, shard int, grams binary, tags binary, multi binary, keys binary, low binary"
@@ -40,27 +40,23 @@ _REPLY = "shard int, round int, bucket int, gram_bits binary, key_bits binary"
 
 
 # --------------------------------------------------------------- packing
-def _packer(shard_col: str):
-    def pack(batches):
-        for batch in batches:
-            shards = batch.column(shard_col).to_numpy(zero_copy_only=False)
-            order = np.argsort(shards, kind="stable")
-            cuts = np.flatnonzero(np.diff(shards[order])) + 1
-            rest = batch.drop_columns([shard_col])
-            out_shard, out_blob = [], []
-            for rows in np.split(order, cuts):
-                if not len(rows):
-                    continue
-                part = rest.take(pa.array(rows))
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(
-                        compression=pa.Codec("zstd", 3))) as w:
-                    w.write_batch(part)
-                out_shard.append(int(shards[rows[0]]))
-                out_blob.append(sink.getvalue().to_pybytes())
-            yield pa.record_batch({"shard": pa.array(out_shard, pa.int32()),
-                                   "rows": pa.array(out_blob, pa.binary())})
-    return pack
+def _pack(batches):
+    """Rows of a shard in a batch, as one compressed Arrow stream."""
+    for batch in batches:
+        shards = batch.column("shard").to_numpy(zero_copy_only=False)
+        order = np.argsort(shards, kind="stable")
+        rest = batch.drop_columns(["shard"])
+        out_shard, out_blob = [], []
+        for rows in np.split(order, np.flatnonzero(np.diff(shards[order])) + 1):
+            if not len(rows):
+                continue
+            part = rest.take(pa.array(rows))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as w:
+                w.write_batch(part)
+            out_shard.append(int(shards[rows[0]]))
+            out_blob.append(sink.getvalue().to_pybytes())
+        yield pa.record_batch({"shard": pa.array(out_shard, pa.int32()), "rows": pa.array(out_blob, pa.binary())})
 
 
 def _unpack(packed: pa.Table) -> pa.Table:
@@ -303,9 +299,9 @@ class _Search:
             kept.append(shard.data[s:s + n][~(_whole_characters(shard.data[s:s + n], g) if self.as_text else g)].tobytes())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         out = shard.rows
-        return (out.append_column("__n_bytes", pa.array(shard.lens, pa.int64()))
-                   .append_column("__spans", pa.array(spans, kind))
-                   .append_column("__kept", pa.array(kept, pa.binary()).cast(pa.string() if self.as_text else pa.binary())))
+        return (out.append_column("n_bytes", pa.array(shard.lens, pa.int64()))
+                   .append_column("spans", pa.array(spans, kind))
+                   .append_column("kept", pa.array(kept, pa.binary()).cast(pa.string() if self.as_text else pa.binary())))
 
 
 def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
@@ -322,14 +318,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept`` is a string, and characters of which a byte remains stay whole."""
     if span < 2 * R.GRAM:
         raise ValueError(f"span must be {2 * R.GRAM} or more")
-    out, shard_col = free_name(docs, out), free_name(docs, "shard")
+    out = free_name(docs, out)
     total = docs.agg(F.sum(F.octet_length(quoted(text_col)))).first()[0] or 0
     n_shards = max(8, total // SHARD_BYTES)
     bits = max(8, int(n_shards).bit_length() - 2)
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    keyed = docs.withColumn(shard_col, F.pmod(F.xxhash64(quoted(id_col), quoted(text_col)), F.lit(n_shards)).cast("int"))
-    packed = keyed.mapInArrow(_packer(shard_col), "shard int, rows binary")
-    search = _Search(span, bits, id_col, text_col, as_text)
+    rows = numbered(docs)
+    id_at, text_at = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    keyed = rows.withColumn("shard", F.pmod(F.xxhash64(id_at, text_at), F.lit(n_shards)).cast("int"))
+    packed = keyed.mapInArrow(_pack, "shard int, rows binary")
+    search = _Search(span, bits, id_at, text_at, as_text)
 
     shards = packed.groupBy("shard")
     with_replies = lambda df: shards.cogroup(df.groupBy("shard"))
@@ -339,12 +336,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lambda key, docs, replies: search.ask_sides(key, docs, replies), _ASK), 2))
     three = two.union(answered(with_replies(two).applyInArrow(
         lambda key, docs, replies: search.ask_windows(key, docs, replies), _ASK), 3))
-
-    columns = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in kinds.items())
     found = with_replies(three).applyInArrow(
         lambda key, docs, replies: search.cut(key, docs, replies),
-        f"{columns}, __n_bytes bigint, __spans array<struct<start: bigint, end: bigint>>, "
-        f"__kept {'string' if as_text else 'binary'}")
-    return found.select(*(quoted(c) for c in docs.columns),
-                        F.struct(F.col("__n_bytes").alias("n_bytes"), F.col("__spans").alias("spans"),
-                                 F.col("__kept").alias("kept")).alias(out))
+        schema_of(rows, "n_bytes bigint", "spans array<struct<start: bigint, end: bigint>>",
+                  f"kept {'string' if as_text else 'binary'}"))
+    return found.select(*rows.columns, F.struct("n_bytes", "spans", "kept")).toDF(*docs.columns, out)
