@@ -105,7 +105,7 @@ def q_regional_sensitivity(spark, sf_dir):
 # ----------------------------------------------------------------- filters / projections
 @register("filter_active_after_dedup")
 def q_filter_active_after_dedup(spark, sf_dir):
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     latest = dedup_latest(raw, ["transaction_id"], ["transaction_date"])
     return (latest.filter(F.col("record_status") == "A")
                   .select("transaction_id", "transaction_date", "price", "record_status"))
@@ -113,21 +113,21 @@ def q_filter_active_after_dedup(spark, sf_dir):
 
 @register("filter_min_date")
 def q_filter_min_date(spark, sf_dir):
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     return (raw.filter(F.left("transaction_date", F.lit(10)) >= F.lit("1997-01-01"))
                .select("transaction_id", "transaction_date", "record_status"))
 
 
 @register("filter_between")
 def q_filter_between(spark, sf_dir):
-    return (bindings.landed(spark, sf_dir)["rates"]
+    return (bindings.raw_table(spark, sf_dir, "rates")
             .filter(F.col("base_rate").between(0, 20))
             .select("effective_date", "base_rate", "loaded_at"))
 
 
 @register("case_label")
 def q_case_label(spark, sf_dir):
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     return (raw.groupBy("property_type", property_type_label("property_type")
                         .alias("property_type_label"))
                .agg(F.count(F.lit(1)).alias("n")))
@@ -135,14 +135,14 @@ def q_case_label(spark, sf_dir):
 
 @register("bucket_dimension")
 def q_bucket_dimension(spark, sf_dir):
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     b = bucket_dimension(raw, "county", bindings.county_map(spark, sf_dir), "broad_region")
     return b.groupBy("county", "broad_region").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("fn_parse_date")
 def q_fn_parse_date(spark, sf_dir):
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     return raw.select("transaction_id", "transaction_date",
                       parse_txn_date("transaction_date").alias("parsed_date"),
                       month_start(parse_txn_date("transaction_date")).alias("parsed_month"))
@@ -150,7 +150,7 @@ def q_fn_parse_date(spark, sf_dir):
 
 @register("fn_normalize")
 def q_fn_normalize(spark, sf_dir):
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     return (raw.select(normalize_key("county").alias("county_key"),
                        normalize_key("postcode").alias("postcode"))
                .groupBy("county_key", "postcode").agg(F.count(F.lit(1)).alias("n")))
@@ -189,9 +189,7 @@ def q_join_left_month(spark, sf_dir):
     rfm = rates.rate_for_month(g.transaction_months, "transaction_month", g.int_rates_reconciled)
     t = g.stg_transactions.select("transaction_id",
                                   month_start("transaction_date").alias("transaction_month"))
-    from .operators.broadcast import sized_broadcast
-
-    return t.join(sized_broadcast(rfm, name="rfm"), "transaction_month", "left")
+    return t.join(writers.materialize(rfm, "rfm"), "transaction_month", "left")
 
 
 @register("join_calendar_lag")
@@ -295,7 +293,7 @@ def q_agg_having(spark, sf_dir):
 # ----------------------------------------------------------------- windows / sets
 @register("win_dedup_latest")
 def q_win_dedup_latest(spark, sf_dir):
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     return dedup_latest(raw, ["transaction_id"], ["transaction_date"])
 
 
@@ -333,7 +331,7 @@ def q_detect_changes(spark, sf_dir):
 def q_asof_partitioned(spark, sf_dir):
     """As-of per series: each (ticker, month) of the yield series gets the
     latest daily yield at or before the month start, per ticker."""
-    y = bindings.landed(spark, sf_dir)["yields"].filter(F.col("date").isNotNull())
+    y = bindings.raw_table(spark, sf_dir, "yields").filter(F.col("date").isNotNull())
     daily = (y.groupBy("ticker", "date").agg(F.max("yield_pct").alias("yield_pct")))
     months = daily.select("ticker", month_start("date").alias("month"))
     return asof_lookup(months, "month", daily, "date", "yield_pct", how="left",
@@ -372,7 +370,7 @@ def q_sink_append_then_dedup(spark, sf_dir):
     from .plans.staging import stg_rates
 
     path = scratch_path(spark, "rates_append")
-    raw = bindings.landed(spark, sf_dir)["rates"]
+    raw = bindings.raw_table(spark, sf_dir, "rates")
     writers.append(raw, path)
     writers.append(raw, path)
     return stg_rates(spark.read.parquet(path))
@@ -382,7 +380,7 @@ def q_sink_append_then_dedup(spark, sf_dir):
 def q_sink_overwrite(spark, sf_dir):
     """Append, then a truncate-load replaces the whole table."""
     path = scratch_path(spark, "rates_overwrite")
-    raw = bindings.landed(spark, sf_dir)["rates"]
+    raw = bindings.raw_table(spark, sf_dir, "rates")
     writers.append(raw, path)
     writers.overwrite(raw.filter(F.col("base_rate") <= 20), path)
     return spark.read.parquet(path)
@@ -434,7 +432,7 @@ def q_monthly_incremental(spark, sf_dir):
     (a reload moved the sale into a later month) are kept, as a MERGE
     keeps them."""
     path = scratch_path(spark, "monthly_incremental")
-    raw = bindings.landed(spark, sf_dir)["transactions"]
+    raw = bindings.raw_table(spark, sf_dir, "transactions")
     hist = ModelGraph.from_testdata(spark, sf_dir)
     hist.raw["transactions"] = raw.filter(F.left("transaction_date", F.lit(10)) < "2000-01-01")
     run_monthly_incremental(spark, lambda since: hist.int_transactions_with_rates, path)
@@ -537,9 +535,8 @@ def event_messages_from_events(spark, sf_dir) -> DataFrame:
     'purchase' complete; 'view' with a numeric-string rate; 'click' without
     published_at; 'signup' without new_rate; 'error' not JSON at all."""
     e = bindings.table(spark, sf_dir, "events")
-    eid = F.concat(F.lit("e"), (F.col("event_id") % 500).cast("string")).alias("event_id")
-    eff = F.date_add(F.lit("1997-01-01").cast("date"),
-                     ((F.col("event_id") * 7) % 1600).cast("int")).alias("effective_date")
+    eid = F.concat(F.lit("e"), F.expr("event_id div 20").cast("string")).alias("event_id")
+    eff = bindings.event_day(1).alias("effective_date")
     prev = (F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double"))
              .otherwise(F.col("value") / 25).alias("previous_rate"))
     new = (F.col("value") / 20).alias("new_rate")
@@ -627,7 +624,7 @@ LANDED_RUN = "2024-01-31"
 
 def _land_transactions(spark, sf_dir) -> str:
     root = scratch_path(spark, "landed_transactions")
-    raw = bindings.landed(spark, sf_dir)["transactions"].withColumns({
+    raw = bindings.raw_table(spark, sf_dir, "transactions").withColumns({
         "year": F.left("transaction_date", F.lit(4)), "run_date": F.lit(LANDED_RUN)})
     SF.write_transactions_csv(raw, root, partition_by=["year", "run_date"])
     return root
@@ -644,7 +641,7 @@ def q_src_transactions_csv(spark, sf_dir):
 def q_src_year_range(spark, sf_dir):
     """Backfill read over the landed yearly folders, first to last year."""
     root = _land_transactions(spark, sf_dir)
-    span = (bindings.landed(spark, sf_dir)["transactions"]
+    span = (bindings.raw_table(spark, sf_dir, "transactions")
             .agg(F.min(F.left("transaction_date", F.lit(4))).alias("lo"),
                  F.max(F.left("transaction_date", F.lit(4))).alias("hi")).first())
     return (SF.read_year_range(spark, root, int(span["lo"]), int(span["hi"]))
@@ -654,7 +651,7 @@ def q_src_year_range(spark, sf_dir):
 @register("src_rates_json")
 def q_src_rates_json(spark, sf_dir):
     root = scratch_path(spark, "landed_rates")
-    writers.write_ndjson(bindings.landed(spark, sf_dir)["rates"], f"{root}/run_date={LANDED_RUN}")
+    writers.write_ndjson(bindings.raw_table(spark, sf_dir, "rates"), f"{root}/run_date={LANDED_RUN}")
     return SF.read_rates_json(spark, root).select("effective_date", "base_rate", "source",
                                                   "loaded_at")
 
@@ -663,7 +660,7 @@ def q_src_rates_json(spark, sf_dir):
 def q_src_yields_json(spark, sf_dir):
     """Yields landed under date=<run>/ with a data column `date` (name clash)."""
     root = scratch_path(spark, "landed_yields")
-    writers.write_ndjson(bindings.landed(spark, sf_dir)["yields"], f"{root}/date={LANDED_RUN}")
+    writers.write_ndjson(bindings.raw_table(spark, sf_dir, "yields"), f"{root}/date={LANDED_RUN}")
     return SF.read_yields_json(spark, root)
 
 

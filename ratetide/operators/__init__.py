@@ -3,4 +3,3 @@ from .bucket import bucket_dimension, county_lookup  # noqa: F401
 from .calendar import calendar_lag  # noqa: F401
 from .changes import detect_changes  # noqa: F401
 from .dedup import dedup_latest  # noqa: F401
-from .broadcast import sized_broadcast  # noqa: F401

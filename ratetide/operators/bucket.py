@@ -20,17 +20,15 @@ def bucket_dimension(df: DataFrame, source_col: str | Column, mapping, out_col:
     ``mapping`` is either a dict (a fixed list, e.g. the county map: becomes a
     literal map lookup inside the projection, no join) or a DataFrame with
     ``map_key``/``map_value`` (a data-driven dimension: deduplicated on the
-    key, materialised and broadcast only after its size is measured).
+    key and joined; Spark's size estimate picks the join).
     """
     key = normalize_key(source_col if isinstance(source_col, Column) else F.col(source_col))
     if isinstance(mapping, dict):
         lit_map = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
         return df.withColumn(out_col, F.coalesce(F.try_element_at(lit_map, key), F.lit(default)))
-    from .broadcast import sized_broadcast
-
     dim = (mapping.groupBy(F.col(map_key).alias("_bk"))
                   .agg(F.min(F.col(map_value)).alias("_bv")))
-    joined = df.join(sized_broadcast(dim, name="dimension"), key == F.col("_bk"), "left")
+    joined = df.join(dim, key == F.col("_bk"), "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("_bv"), F.lit(default)))
                   .drop("_bk", "_bv"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_start, parse_txn_date
-from ..operators.broadcast import sized_broadcast
+from ..sinks.writers import materialize
 from .rates import rate_for_month
 
 
@@ -39,16 +39,17 @@ def int_transactions_with_rates(stg_txn: DataFrame, reconciled: DataFrame,
     The as-of lookup runs on distinct months only (``months``: any superset
     of the transaction months, default derived from ``stg_txn``); the fact
     side then needs two equi-joins against month-grain tables.  Those are
-    bounded by the calendar (12 rows a year); ``sized_broadcast`` checks the
-    materialised size before hinting, so the fact rows are not shuffled here.
+    bounded by the calendar (12 rows a year).  The context is written once;
+    its file size then lets ``spark.sql.autoBroadcastJoinThreshold`` decide, in
+    bytes and before the fact side is shuffled.
     """
     if months is None:
         months = transaction_months(stg_txn)
     rfm = rate_for_month(months, "transaction_month", reconciled)
     yields = monthly_yields(stg_yields).withColumnRenamed("yield_month", "transaction_month")
     # one month-grain context (rfm covers every transaction month): written
-    # once, broadcast after a size check, joined once to the fact rows
-    ctx = sized_broadcast(rfm.join(yields, "transaction_month", "left"), name="month_ctx")
+    # once, joined once to the fact rows
+    ctx = materialize(rfm.join(yields, "transaction_month", "left"), "month_ctx")
     t = stg_txn.withColumn("transaction_month", month_start("transaction_date"))
     joined = t.join(ctx, "transaction_month", "left")
     return joined.select(

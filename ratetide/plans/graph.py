@@ -1,4 +1,6 @@
-"""The model graph wired to concrete raw inputs (lazy: nothing runs here)."""
+"""The model graph wired to concrete raw inputs: lazy frames, but for the month
+context of the enriched facts and the monthly mart, which are written when the
+models that use them are first asked for."""
 
 from __future__ import annotations
 
@@ -14,7 +16,7 @@ from . import enrich, marts, rates, staging
 
 @dataclass
 class ModelGraph:
-    """Raw tables in, every model out as a lazy DataFrame.
+    """Raw tables in, every model out as a DataFrame.
 
     ``raw`` holds the four raw tables (``transactions``, ``rates``,
     ``rate_events``, ``yields``); ``county_map`` is a dict or a
@@ -30,10 +32,9 @@ class ModelGraph:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, **kw) -> "ModelGraph":
-        """Graph over the raw tables bound from the driver's test tables
-        (landed once per session, see ``bindings.landed``)."""
-        raw = dict(bindings.landed(spark, sf_dir))
-        return cls(spark, raw, county_map=bindings.county_lookup_dict(spark, sf_dir), **kw)
+        """Graph over the raw tables bound from the driver's test tables."""
+        return cls(spark, bindings.raw_tables(spark, sf_dir),
+                   county_map=bindings.county_map(spark, sf_dir), **kw)
 
     # ---- staging
     @cached_property

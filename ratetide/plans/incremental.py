@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.writers import _path_exists, merge_upsert
+from ..sinks.writers import has_data, merge_upsert
 from .marts import MONTHLY_COLUMNS, monthly_transactions_by_region
 
 MONTHLY_KEYS = ["month", "region", "property_type"]
@@ -17,9 +17,9 @@ def incremental_cutoff(spark: SparkSession, target_path: str, month_col: str = "
                        overlap_months: int = 1) -> dt.date | None:
     """First month to reprocess: ``max(month) - overlap`` of the target, as a
     literal (so the downstream filter prunes statically).  ``None`` when the
-    target is missing or empty, which means a full load (the reference's
+    target is missing or holds no rows, which means a full load (the reference's
     NULL cutoff would load nothing)."""
-    if not _path_exists(spark, target_path):
+    if not has_data(spark, target_path):
         return None
     row = (spark.read.parquet(target_path)
            .agg(F.trunc(F.add_months(F.max(month_col), -int(overlap_months)), "MM")

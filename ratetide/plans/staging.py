@@ -10,17 +10,6 @@ from ..functions.fixed_values import MIN_TRANSACTION_DATE
 from ..operators.bucket import bucket_dimension, county_lookup
 from ..operators.dedup import dedup_latest
 
-# Versions that tie on date (and load time) are ranked by the columns that
-# decide downstream results; ranking by every column would force every
-# consumer's scan to read all 16 columns.
-TIE_BREAK = ["record_status", "price", "property_type", "county"]
-
-STG_TRANSACTION_COLUMNS = [
-    "transaction_id", "price", "transaction_date", "postcode", "property_type", "old_new",
-    "duration", "paon", "saon", "street", "locality", "town_city", "district", "region",
-    "broad_region", "ppd_category", "record_status",
-]
-
 
 def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSACTION_DATE,
                      strict_dates: bool = True, since: str | None = None) -> DataFrame:
@@ -30,9 +19,9 @@ def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSA
 
     ``county_map``: dict (fixed county list, default) or DataFrame(key, value).
     Ingestion columns ``run_date``/``loaded_at`` on the raw rows, when
-    present, break ties between reloads of the same version, then
-    ``TIE_BREAK`` (status, price, type, county); reloads identical in all of
-    these differ only in descriptive text and either may be kept.
+    present, break ties between reloads of the same version, then every
+    other column, so the kept row never depends on file or row order.  The
+    wider scan this takes is paid once: the pipeline writes this table.
 
     ``since`` (``yyyy-MM-dd``) keeps only transactions dated on/after it and
     is applied *before* the dedup shuffle: the version order is the date
@@ -43,7 +32,7 @@ def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSA
     if since is not None:
         raw = raw.filter(F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(str(since)))
     order = ["transaction_date"] + [c for c in ("run_date", "loaded_at") if c in raw.columns]
-    deduped = dedup_latest(raw, ["transaction_id"], order, tie_break=TIE_BREAK)
+    deduped = dedup_latest(raw, ["transaction_id"], order)
     kept = deduped.filter((F.col("record_status") == "A")
                           & (F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(min_date)))
     mapping = county_lookup() if county_map is None else county_map

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -45,8 +46,9 @@ def get_session(master: str | None = None, app: str = "ratetide",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` wins.  Only when nothing is set
-    (local tests) a fresh private folder is created.
+    The cluster's ``spark.checkpoint.dir`` wins.  Only a local master may go
+    without it (tests): it gets a fresh private folder, which executors on
+    other machines could not see.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,17 +57,47 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="ratetide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint dir for written tables."""
+    """A fresh folder below the shared checkpoint dir for written tables.  It
+    belongs to the application: ``release_scratch`` deletes what is left, at
+    the latest when the driver's interpreter ends."""
     import uuid
 
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    root = _scratch_root(spark)
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(release_scratch, spark)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SCRATCH: set[str] = set()
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables (frames that read them are
+    unusable afterwards)."""
+    from py4j.protocol import Py4JError
+
+    if spark.sparkContext._jsc is None:  # already stopped
+        return
+    try:
+        root = _scratch_root(spark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except (Py4JError, OSError):  # the JVM ended first
+        return
+    _SCRATCH.discard(root)
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,

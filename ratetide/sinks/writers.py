@@ -81,13 +81,18 @@ def upsert_rows(existing: DataFrame, delta: DataFrame, keys: Sequence[str]) -> D
 
 
 def schema_sync(existing: DataFrame, delta: DataFrame) -> DataFrame:
-    """Union with the delta's column set: missing columns NULL, extra dropped."""
+    """Union with the delta's columns and types: missing ones NULL, extra ones dropped."""
     cols = delta.columns
-    present = [F.col(c) if c in existing.columns
-               else F.lit(None).cast(delta.schema[c].dataType).alias(c) for c in cols]
+    present = [(F.col(c) if c in existing.columns else F.lit(None))
+               .cast(delta.schema[c].dataType).alias(c) for c in cols]
     return existing.select(*present).unionByName(delta)
 
 
+def _columns(df: DataFrame, partition_col: str) -> dict[str, str | None]:
+    """Names and types; a partition column's type is read from folder names."""
+    return {f.name: None if f.name == partition_col else f.dataType.simpleString() for f in df.schema}
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and read
     it back: lineage is cut (a lost executor re-reads the files) and, unlike
@@ -99,11 +104,40 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Is there a data file below ``path``?  (An empty write leaves a folder
+    with a marker file only, from which no schema can be read.)"""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        if files.next().getPath().getName()[:1] not in "_.":
+            return True
+    return False
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
+                  cluster_cols: Sequence[str] = ()) -> None:
+    """Write the whole table beside ``path``, then swap the folders: the old
+    table stays whole (as ``<path>.old-...``) until the new one stands."""
+    import uuid
+
+    tag = uuid.uuid4().hex[:8]
+    fs, target = _fs(spark, path)
+    new, old = (_fs(spark, f"{path.rstrip('/')}.{w}-{tag}")[1] for w in ("new", "old"))
+    write_partitioned(df, new.toString(), partition_col, cluster_cols)
+    if not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        fs.rename(old, target)
+        raise OSError(f"cannot move the new table to {path}")
+    fs.delete(old, True)
 
 
 def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequence[str],
@@ -121,29 +155,27 @@ def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys:
     (a literal lower bound of the delta's partitions) adds static partition
     pruning of the target scan.
     """
-    if not _path_exists(spark, target_path):
+    if not has_data(spark, target_path):
         write_partitioned(delta, target_path, partition_col, cluster_cols)
         return
     # the delta is used three times below (touched partitions, anti-join
     # keys, union): write it once so its upstream plan runs once
     delta = materialize(delta, "upsert_delta_in")
-    existing_cols = spark.read.parquet(target_path).columns
-    if sorted(existing_cols) != sorted(delta.columns):
-        # column set changed: every partition must carry the new schema, so
-        # the whole table is rewritten (lineage cut by the checkpoint first).
+    if _columns(spark.read.parquet(target_path), partition_col) != _columns(delta, partition_col):
+        # columns or types changed: every partition must carry the new schema,
+        # so the whole table is written anew beside the old one and swapped in
         merged = upsert_rows(spark.read.parquet(target_path), delta, keys)
-        write_partitioned(materialize(merged, "upsert_full"), target_path, partition_col,
-                          cluster_cols)
+        replace_table(spark, merged, target_path, partition_col, cluster_cols)
         return
     if replace_partitions:
         merged = delta
     else:
         existing = spark.read.parquet(target_path)
         if since is not None:
-            existing = existing.filter(F.col(partition_col) >= F.lit(since))
-        touched = delta.select(partition_col).distinct()
-        # touched partitions are bounded by the calendar: broadcast semi join
-        # lets the scan skip untouched partitions' rows before the anti join.
-        old = existing.join(F.broadcast(touched), partition_col, "left_semi")
+            existing = existing.filter((F.col(partition_col) >= F.lit(since))
+                                       | F.col(partition_col).isNull())
+        # null-safe: rows without a partition value are rewritten with theirs
+        touched = delta.select(F.col(partition_col).alias("_touched")).distinct()
+        old = existing.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
         merged = materialize(upsert_rows(old, delta, keys), "upsert_delta")
     write_partitioned(merged, target_path, partition_col, cluster_cols, dynamic=True)

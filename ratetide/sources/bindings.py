@@ -3,7 +3,7 @@
 The reference's own landed data is not available; these derivations turn the
 TPC-H-like tables into raw tables with the same schemas.  Every derived
 table grows with the input tables.  The same definitions are written in SQL
-for the DuckDB oracle (``oracle/duckdb_sql.py``); keep both in step.
+for the DuckDB oracle (``oracle_sql.py``); keep both in step.
 
 * ``raw_transactions``  orders + customer + nation + region; every 10th order
   (by key) is reloaded a second time 30 days later at price + 1, and every
@@ -12,10 +12,12 @@ for the DuckDB oracle (``oracle/duckdb_sql.py``); keep both in step.
   tab-padded county, every 37th customer none.
 * ``county_map``        nation name -> region name; MIDDLE EAST nations are
   left unmapped so they fall into the catch-all bucket.
-* ``raw_rates``         'view' events: date = 1997-01-01 + id % 1600 days,
-  rate = value / 10 (up to ~34, so the 0..20 range filter bites).
-* ``raw_rate_events``   'purchase' events: id 'e' || id % 500 (replays),
-  date = 1997-01-01 + (id * 7) % 1600 days, new = value / 20.
+* ``raw_rates``         'view' events: ten ids share a date, dates are five
+  days apart, rate = value / 10 (up to ~34, so the 0..20 range filter bites).
+* ``raw_rate_events``   'purchase' events: twenty ids share an event id
+  (replays), dates as above but a day later for odd tens, new = value / 20.
+  Dates and ids grow with the events, dates up to the calendar's end.  The
+  other event types only reach the message stream (``catalog``).
 * ``raw_yields``        lineitem: ship date, discount * 100, return flag,
   loaded_at = 2002-01-01 + orderkey seconds.
 """
@@ -30,18 +32,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-_READS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table ``name``; the relation is resolved once per session
-    (schema and file listing are driver work: about 80 ms a table)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    """The parquet table ``name``."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,14 +86,21 @@ def county_map(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select(F.upper("n_name").alias("key"), F.col("r_name").alias("value")))
 
 
-def _epoch():
-    return F.lit("1997-01-01").cast("date")
+#: Days from the first rate date to the end of year 9936: dates fold there.
+CALENDAR_DAYS = 2_900_000
+
+
+def event_day(shift: int = 0):
+    """The rate date of an event: ten ids a date, five days apart; ``shift``
+    moves every second date, so two series share half of their dates."""
+    days = f"((event_id div 10) * 5 + (event_id div 10) % 2 * {shift}) % {CALENDAR_DAYS}"
+    return F.date_add(F.lit("1997-01-01").cast("date"), F.expr(f"cast({days} as int)"))
 
 
 def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
     return e.select(
-        F.date_add(_epoch(), (F.col("event_id") % 1600).cast("int")).alias("effective_date"),
+        event_day().alias("effective_date"),
         (F.col("value") / 10).alias("base_rate"),
         F.lit("events").alias("source"),
         F.col("ts").cast("timestamp").alias("loaded_at"),
@@ -110,8 +110,8 @@ def raw_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_rate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
     return e.select(
-        F.concat(F.lit("e"), (F.col("event_id") % 500).cast("string")).alias("event_id"),
-        F.date_add(_epoch(), ((F.col("event_id") * 7) % 1600).cast("int")).alias("effective_date"),
+        F.concat(F.lit("e"), F.expr("event_id div 20").cast("string")).alias("event_id"),
+        event_day(1).alias("effective_date"),
         F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double"))
          .otherwise(F.col("value") / 25).alias("previous_rate"),
         (F.col("value") / 20).alias("new_rate"),
@@ -130,7 +130,6 @@ def raw_yields(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LANDED: dict = {}
 RAW_BUILDERS = {
     "transactions": raw_transactions,
     "rates": raw_rates,
@@ -139,40 +138,11 @@ RAW_BUILDERS = {
 }
 
 
-def landed(spark: SparkSession, sf_dir: str, files: int | None = None) -> dict[str, DataFrame]:
-    """The four raw tables landed once per session as multi-file Parquet in
-    the shared checkpoint folder, like the load step that puts landed files
-    into raw tables; the models then scan them in parallel instead of
-    re-deriving them from the test tables in every query."""
-    from ..session import scratch_path
-
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    got = _LANDED.get(key)
-    if got is not None:
-        return got
-    n = files or max(8, spark.sparkContext.defaultParallelism)
-    root = scratch_path(spark, "landed")
-    out = {}
-    for name, build in RAW_BUILDERS.items():
-        path = f"{root}/{name}"
-        build(spark, sf_dir).repartition(n).write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    _LANDED[key] = out
-    return out
-
-
-_COUNTY_DICTS: dict = {}
-
-
-def county_lookup_dict(spark: SparkSession, sf_dir: str, max_rows: int = 10_000) -> dict:
-    """The bound county map as a literal lookup (like the fixed county list):
-    nation is a fixed 25-row table, so it is read once per session, with a
-    guard on its size, and the staging projection needs no join."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    got = _COUNTY_DICTS.get(key)
-    if got is None:
-        rows = county_map(spark, sf_dir).limit(max_rows + 1).collect()
-        if len(rows) > max_rows:
-            raise ValueError("county map larger than a dimension; pass it as a DataFrame")
-        got = _COUNTY_DICTS[key] = {r["key"]: r["value"] for r in rows}
-    return got
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw table, derived lazily: a query scans what it needs of the test
+    tables and nothing is written for it."""
+    return RAW_BUILDERS[name](spark, sf_dir)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}

@@ -7,7 +7,8 @@ when the key is absent).  Anything else goes to a quarantine sink with a
 reason instead of being redelivered forever.
 
 Delivery is at-least-once; the sink is an append-only Parquet table with one
-folder per micro-batch (rewritten on replay, so exactly-once per batch).  Replays are
+folder per checkpoint and micro-batch (rewritten on replay, so exactly-once per
+batch; a new checkpoint never touches folders of an earlier one).  Replays are
 removed downstream by ``stg_rate_events`` (latest ``published_at`` wins).
 """
 
@@ -83,6 +84,22 @@ def read_message_stream(spark: SparkSession, source_dir: str,
     return r.load(source_dir)
 
 
+def _ingest_id(spark: SparkSession, checkpoint_root: str) -> str:
+    """The id of the ingest that owns a checkpoint: kept as an empty file in the
+    checkpoint folder, made on the first start."""
+    import uuid
+
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root.rstrip('/')}/ingest_id")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(folder):
+        for status in fs.listStatus(folder):
+            return status.getPath().getName()
+    made = uuid.uuid4().hex[:16]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, made)
+    fs.create(path).close()
+    return made
+
+
 def start_ingest(spark: SparkSession, source_dir: str | None, sink_path: str,
                  quarantine_path: str, checkpoint_root: str, available_now: bool = True,
                  processing_time: str = "10 seconds", default_ts: str | None = None,
@@ -91,22 +108,25 @@ def start_ingest(spark: SparkSession, source_dir: str | None, sink_path: str,
     outputs (valid events, quarantine).
 
     Each micro-batch is parsed once, persisted, and written to
-    ``<sink>/batch_id=N`` and ``<quarantine>/batch_id=N`` with overwrite: a
+    ``ingest=<id>/batch_id=N`` below sink and quarantine with overwrite: a
     batch replayed after a failure rewrites its own folders, so the tables
-    stay exactly-once.  The checkpoint (in a shared folder) records which
+    stay exactly-once.  The id lies in the checkpoint folder; batch numbers of
+    a fresh checkpoint start at 0 again, but under a new id.  The checkpoint (in a shared folder) records which
     source files / offsets are done, so a restart resumes where it stopped.
     ``source`` overrides the file source (e.g. ``read_kafka_messages``).
     """
     stream = source if source is not None else read_message_stream(spark, source_dir)
     parsed = parse_messages(stream, default_ts=default_ts)
 
+    ingest = _ingest_id(spark, checkpoint_root)
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             valid_events(batch).write.mode("overwrite").parquet(
-                f"{sink_path.rstrip('/')}/batch_id={batch_id}")
+                f"{sink_path.rstrip('/')}/ingest={ingest}/batch_id={batch_id}")
             bad_events(batch).write.mode("overwrite").parquet(
-                f"{quarantine_path.rstrip('/')}/batch_id={batch_id}")
+                f"{quarantine_path.rstrip('/')}/ingest={ingest}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
