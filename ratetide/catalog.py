@@ -19,6 +19,7 @@ from .operators.bucket import bucket_dimension
 from .operators.calendar import calendar_lag
 from .operators.changes import detect_changes
 from .operators.dedup import dedup_latest
+from .operators.median import exact_median
 from .plans import enrich, marts, rates
 from .plans.graph import ModelGraph
 from .sources import bindings
@@ -223,8 +224,7 @@ def q_agg_approx_median(spark, sf_dir):
 @register("agg_exact_median")
 def q_agg_exact_median(spark, sf_dir):
     t = _g(spark, sf_dir).stg_transactions
-    med = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY price)").cast("bigint")
-    return t.groupBy("broad_region", "property_type").agg(med.alias("median_price"))
+    return exact_median(t, ["broad_region", "property_type"], "price", out="median_price")
 
 
 @register("agg_monthly_yield")
@@ -415,6 +415,21 @@ def q_sink_schema_sync(spark, sf_dir):
     return r6(spark.read.parquet(path), "avg_price", "avg_base_rate")
 
 
+@register("sink_upsert_null_partition")
+def q_sink_upsert_null_partition(spark, sf_dir):
+    """Upsert into a table with rows that have no partition value (flats carry
+    no month here): rows of that partition whose key is not in the delta stay."""
+    t = _g(spark, sf_dir).stg_transactions
+    rows = (t.groupBy(F.when(F.col("property_type") != "F", month_start("transaction_date")).alias("month"),
+                      "town_city", "property_type").agg(F.count(F.lit(1)).alias("n")))
+    path = scratch_path(spark, "null_partition")
+    keys = ["month", "town_city", "property_type"]
+    writers.merge_upsert(spark, path, rows, keys)
+    delta = rows.filter(F.col("town_city") < "G").withColumn("n", F.col("n") * 10)
+    writers.merge_upsert(spark, path, delta, keys)
+    return spark.read.parquet(path).select(*rows.columns)
+
+
 @register("sink_partitioned")
 def q_sink_partitioned(spark, sf_dir):
     """Mart written partitioned by month, clustered by region/type; read back."""
@@ -445,6 +460,16 @@ def q_monthly_incremental(spark, sf_dir):
     return r6(spark.read.parquet(path).select(*MONTHLY_COLUMNS), *_MONTHLY_AVGS)
 
 
+@register("incremental_after_empty")
+def q_incremental_after_empty(spark, sf_dir):
+    """A first load without rows, then an incremental run: a full load."""
+    path = scratch_path(spark, "monthly_empty")
+    g = _g(spark, sf_dir)
+    run_monthly_incremental(spark, lambda since: g.int_transactions_with_rates.filter("false"), path)
+    run_monthly_incremental(spark, lambda since: g.int_transactions_with_rates, path)
+    return r6(spark.read.parquet(path).select(*MONTHLY_COLUMNS), *_MONTHLY_AVGS)
+
+
 @register("incremental_cutoff")
 def q_incremental_cutoff(spark, sf_dir):
     """The delta an incremental run computes against a history target."""
@@ -596,24 +621,61 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_detect_changes(spark, sf_dir):
     """Daily batch rates replayed as a stream through the stateful change
     detector (state = last rate per series)."""
+    return _detected(spark, sf_dir).select("event_id", "effective_date", "previous_rate", "new_rate")
+
+
+def _rate_series(spark, sf_dir) -> DataFrame:
+    """Batch rates as observed series, one for each year."""
+    return _g(spark, sf_dir).stg_rates.select(
+        F.concat(F.lit("policy-"), F.year("effective_date")).alias("series"), "effective_date", "base_rate")
+
+
+def _detected(spark, sf_dir) -> DataFrame:
     root = scratch_path(spark, "changes")
-    obs = (_g(spark, sf_dir).stg_rates
-           .select(F.lit("policy").alias("series"), "effective_date", "base_rate"))
-    obs.write.json(f"{root}/in")
+    # a series arrives in one file, so in order; a trigger takes two files
+    _rate_series(spark, sf_dir).repartition("series").write.json(f"{root}/in")
     stream = (spark.readStream.schema("series string, effective_date date, base_rate double")
-              .json(f"{root}/in"))
-    q = (SC.detect_changes_stream(stream).writeStream.format("parquet").outputMode("append")
-         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/_ckpt")
+              .option("maxFilesPerTrigger", 2).json(f"{root}/in"))
+    q = (SC.detect_changes_stream(stream, published_at=DEFAULT_TS).writeStream.format("parquet")
+         .outputMode("append").option("path", f"{root}/out").option("checkpointLocation", f"{root}/_ckpt")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("event_id", "effective_date",
-                                                     "previous_rate", "new_rate")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_reconcile")
+def q_stream_reconcile(spark, sf_dir):
+    """Detected changes published as messages, ingested into the event table,
+    staged, and reconciled with the batch rates (the stream wins a date)."""
+    from .plans.staging import stg_rate_events
+
+    root = scratch_path(spark, "reconcile")
+    SE.event_messages(_detected(spark, sf_dir)).write.text(f"{root}/in")
+    SE.start_ingest(spark, f"{root}/in", f"{root}/events", f"{root}/quarantine",
+                    f"{root}/_checkpoints").awaitTermination()
+    events = stg_rate_events(spark.read.parquet(f"{root}/events"))
+    return rates.int_rates_reconciled(_g(spark, sf_dir).stg_rates, events).select(
+        "effective_date", "base_rate", "source_type", "effective_month")
+
+
+@register("stream_ingest_twice")
+def q_stream_ingest_twice(spark, sf_dir):
+    """Two ingests with checkpoints of their own into one event table: the
+    second adds to the first."""
+    root = scratch_path(spark, "twice")
+    messages = event_messages_from_events(spark, sf_dir)
+    even = F.crc32("value") % 2 == 0
+    for name, part in (("a", messages.filter(even)), ("b", messages.filter(~even))):
+        part.write.text(f"{root}/in-{name}")
+        SE.start_ingest(spark, f"{root}/in-{name}", f"{root}/events", f"{root}/quarantine",
+                        f"{root}/_checkpoints-{name}", default_ts=DEFAULT_TS).awaitTermination()
+    return spark.read.parquet(f"{root}/events").select(*SE.EVENT_COLUMNS)
 
 
 @register("detect_changes_ids")
 def q_detect_changes_ids(spark, sf_dir):
     """Batch twin of the stream detector, with the same deterministic ids."""
-    return rates.latest_change_events(_g(spark, sf_dir).stg_rates).drop("series")
+    return rates.latest_change_events(_rate_series(spark, sf_dir), series_col="series").drop("series")
 
 
 # ----------------------------------------------------------------- sources
@@ -666,8 +728,8 @@ def q_src_yields_json(spark, sf_dir):
 
 def _daily_series_lines(spark, sf_dir) -> DataFrame:
     """A public-series style file derived from events: a header, one line per
-    day (the day's largest value; '.' when that event is an error) and blank
-    lines."""
+    day (the day's largest value; '.' when that event is an error), blank lines
+    and, as its newest lines, a NaN and one with three fields."""
     e = bindings.table(spark, sf_dir, "events")
     day = F.to_date("ts").cast("string")
     best = (e.groupBy(day.alias("d"))
@@ -676,7 +738,8 @@ def _daily_series_lines(spark, sf_dir) -> DataFrame:
     text = F.concat_ws(",", F.col("d"), F.when(F.col("b.event_type") == "error", F.lit("."))
                        .otherwise(F.col("b.value").cast("string")))
     lines = best.select(text.alias("value"))
-    extra = lines.sparkSession.createDataFrame([("observation_date,SERIES",), ("",)], "value string")
+    extra = lines.sparkSession.createDataFrame(
+        [("observation_date,SERIES",), ("",), ("9998-01-02,NaN",), ("9998-01-03,4.3,x",)], "value string")
     return lines.unionByName(extra)
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .fixed_values import PROPERTY_TYPE_LABELS
 
-# Java's \s: space, \t, \n, \x0B, \f, \r.  Spark's trim() removes spaces only.
-_EDGE_WHITESPACE = r"^\s+|\s+$"
+# FIXED VALUES: the characters with Unicode's White_Space property.  Spark's
+# trim() removes spaces only, Java's \s only the ASCII ones.
+WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(col: Column | str) -> Column:
@@ -16,8 +18,8 @@ def _c(col: Column | str) -> Column:
 
 
 def strip_ws(col: Column | str) -> Column:
-    """Trim all leading/trailing whitespace (tabs and newlines included)."""
-    return F.regexp_replace(_c(col), _EDGE_WHITESPACE, "")
+    """Trim all leading/trailing white space (tabs, newlines, no-break spaces)."""
+    return F.btrim(_c(col), F.lit(WHITE_SPACE))
 
 
 def normalize_key(col: Column | str) -> Column:

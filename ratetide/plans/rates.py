@@ -72,14 +72,18 @@ def rate_change_events(reconciled: DataFrame, include_true_bp: bool = False) ->
     return changes.select(*cols).orderBy("effective_date")
 
 
-def latest_change_events(series: DataFrame, series_name: str = "policy") -> DataFrame:
+def latest_change_events(series: DataFrame, series_name: str = "policy",
+                         series_col: str | None = None) -> DataFrame:
     """Batch twin of the streaming change detector: the first observation and
     every observation whose rate differs from the previous one, with the
-    same deterministic event id the streaming detector assigns."""
-    ev = detect_changes(series, "effective_date", "base_rate", emit_first=True)
+    same deterministic event id the streaming detector assigns.  ``series_col``
+    names the series of each row (default: all are ``series_name``)."""
+    name = F.col(series_col) if series_col else F.lit(series_name)
+    ev = detect_changes(series, "effective_date", "base_rate", emit_first=True,
+                        partition_by=[series_col] if series_col else [])
     return ev.select(
-        F.lit(series_name).alias("series"),
-        deterministic_id(F.lit(series_name), F.col("effective_date").cast("string"),
+        name.alias("series"),
+        deterministic_id(name, F.col("effective_date").cast("string"),
                          fixed6("base_rate")).alias("event_id"),
         "effective_date", "previous_rate", F.col("base_rate").alias("new_rate"))
 

@@ -9,7 +9,8 @@ for the DuckDB oracle (``oracle_sql.py``); keep both in step.
   (by key) is reloaded a second time 30 days later at price + 1, and every
   20th order's reload carries status 'C' (exercises latest-wins and
   dedup-before-filter).  A third of customers have a lower-case,
-  tab-padded county, every 37th customer none.
+  tab-padded county, a fifth of the others one in no-break and em spaces,
+  every 37th customer none.
 * ``county_map``        nation name -> region name; MIDDLE EAST nations are
   left unmapped so they fall into the catch-all bucket.
 * ``raw_rates``         'view' events: ten ids share a date, dates are five
@@ -71,6 +72,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_custkey") % 37 == 0, F.lit(None).cast("string"))
          .when(F.col("o_custkey") % 3 == 0,
                F.concat(F.lit(" "), F.lower("n_name"), F.lit("\t")))
+         .when(F.col("o_custkey") % 5 == 0,
+               F.concat(F.lit("\xa0"), F.col("n_name"), F.lit("\u2003")))
          .otherwise(F.col("n_name")).alias("county"),
         F.when(F.col("o_orderstatus") == "F", "A").otherwise("B").alias("ppd_category"),
         F.when((F.col("_version") == 1) & (F.col("o_orderkey") % 20 == 0), "C")

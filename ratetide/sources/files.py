@@ -78,8 +78,9 @@ def read_year_range(spark: SparkSession, root: str, start: int, end: int,
 # ---------------------------------------------------------------- public series files
 def read_series_lines(spark: SparkSession, paths) -> DataFrame:
     """Two-column series text (``date,value``): blank lines and the
-    ``observation...`` header skipped; only lines with exactly two fields
-    are kept; ``value`` stays text (parse with ``numeric_value``)."""
+    ``observation...`` header skipped.  Lines without exactly two fields keep
+    their place but have no value, so a tail counts them; ``value`` stays
+    text (parse with ``numeric_value``)."""
     lines = spark.read.text(paths)
     return series_from_lines(lines)
 
@@ -87,13 +88,16 @@ def read_series_lines(spark: SparkSession, paths) -> DataFrame:
 def series_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     t = F.trim(F.col(col))
     parts = F.split(t, ",")
-    kept = lines.filter((t != "") & ~t.startswith("observation") & (F.size(parts) == 2))
+    kept = lines.filter((t != "") & ~t.startswith("observation"))
     return kept.select(F.trim(parts[0]).alias("observation_date"),
-                       F.trim(parts[1]).alias("value"))
+                       F.when(F.size(parts) == 2, F.trim(F.get(parts, F.lit(1)))).alias("value"))
 
 
 def numeric_value(c: str = "value"):
-    return F.col(c).try_cast("double")
+    """The text as a number; NULL for other text and for NaN (which Spark
+    would rank above every number)."""
+    v = F.col(c).try_cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def latest_positive(series: DataFrame, date_col: str = "observation_date",
@@ -113,7 +117,7 @@ def series_tail(series: DataFrame, n: int, ticker: str, loaded_at=None,
     the driver merges), *then* non-numeric ones dropped; 4-dp values."""
     tail = series.orderBy(F.col(date_col).desc(), F.col(value_col).desc()).limit(int(n))
     ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
-    return (tail.select(F.to_date(date_col).alias("date"),
+    return (tail.select(F.try_to_date(date_col).alias("date"),
                         F.round(numeric_value(value_col), 4).alias("yield_pct"))
                 .filter(F.col("yield_pct").isNotNull())
                 .select("date", "yield_pct", F.lit(ticker).alias("ticker"),
@@ -132,8 +136,8 @@ def normalise_market_data(df: DataFrame, date_col: str, close_col: str, ticker:
 
 
 def first_nonempty(sources: Sequence[DataFrame]) -> DataFrame:
-    """The first source with at least one row (``isEmpty`` is a LIMIT 1
-    probe, not a scan); all empty -> error."""
+    """The first source with at least one row; all empty -> error.  ``isEmpty``
+    stops at the first row; a source without rows is read to its end."""
     for df in sources:
         if not df.isEmpty():
             return df

@@ -32,23 +32,31 @@ def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
     frames = [b for b in batches if len(b)]
     if not frames:
         return
-    pdf = pd.concat(frames, ignore_index=True).sort_values("effective_date", kind="stable")
-    out = []
-    for d, r in zip(pdf["effective_date"], pdf["base_rate"]):
-        if r is None or pd.isna(r):
-            continue
-        if last is None or float(r) != last:
-            eid = hashlib.sha256(f"{series}|{d}|{float(r):.6f}".encode()).hexdigest()
-            out.append((series, eid, d, last, float(r)))
-            last = float(r)
-    state.update((last,))
-    yield pd.DataFrame(out, columns=["series", "event_id", "effective_date", "previous_rate",
-                                     "new_rate"])
-
-
-def detect_changes_stream(observations: DataFrame, series_col: str = "series") -> DataFrame:
+    pdf = pd.concat(frames, ignore_index=True).dropna(subset=["base_rate"])
+    pdf = pdf.sort_values("effective_date", kind="stable")
+    if not len(pdf):
+        return
+    before = pdf["base_rate"].shift()
+    if last is not None:
+        before.iloc[0] = last
+    pdf = pdf.assign(previous_rate=before)[before.isna() | (before != pdf["base_rate"])]
+    if len(pdf):
+        state.update((float(pdf["base_rate"].iloc[-1]),))
+    ids = [hashlib.sha256(f"{series}|{d}|{r:.6f}".encode()).hexdigest()
+           for d, r in zip(pdf["effective_date"], pdf["base_rate"])]
+    yield pd.DataFrame({"series": series, "event_id": ids, "effective_date": pdf["effective_date"].tolist(),
+                        "previous_rate": pdf["previous_rate"].tolist(), "new_rate": pdf["base_rate"].tolist()})
+
+
+def detect_changes_stream(observations: DataFrame, series_col: str = "series",
+                          published_at: str | None = None) -> DataFrame:
     """``observations``: streaming (or batch) rows ``(series, effective_date,
-    base_rate)``.  Returns the change events (append mode)."""
+    base_rate)``.  Returns the change events (append mode) with the time of
+    publication (now, unless given), ready for ``events.event_messages``.
+    Bound a trigger at the source (``maxFilesPerTrigger``,
+    ``maxOffsetsPerTrigger``): what one brings of a series is one group."""
+    now = F.current_timestamp() if published_at is None else F.lit(published_at).cast("timestamp")
     obs = observations.select(F.col(series_col).alias("series"), "effective_date", "base_rate")
     return obs.groupBy("series").applyInPandasWithState(
-        _changes, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _changes, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        GroupStateTimeout.NoTimeout).withColumn("published_at", now)
