@@ -1,7 +1,7 @@
 """Command line: the batch DAG, the event ingest and the rate backfill.
 
     python -m ratetide run --transactions DIR --rates DIR --yields DIR \\
-        --rate-events DIR --out DIR [--targets a,b | --scheduled] [--warn]
+        --rate-events DIR --out DIR [--targets a,b | --scheduled SOURCE] [--warn]
     python -m ratetide ingest --source DIR --sink DIR --quarantine DIR \\
         --checkpoint DIR [--continuous SECONDS]
     python -m ratetide backfill-rates --out DIR
@@ -22,14 +22,20 @@ def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="python -m ratetide")
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run", help="build models (all, --targets, or --scheduled)")
-    for name in ("transactions", "rates", "yields", "rate-events", "out"):
-        r.add_argument(f"--{name}", required=True)
+    for name in ("transactions", "rates", "yields", "rate-events"):
+        r.add_argument(f"--{name}", help="needed by models that read it")
+    r.add_argument("--out", required=True)
     r.add_argument("--targets", default=None, help="comma-separated model names")
-    r.add_argument("--scheduled", action="store_true", help="the daily/monthly subset")
+    r.add_argument("--scheduled", default=None, choices=("transactions", "rates", "yields"),
+                   help="what a load of this source refreshes; other tables stay as they are")
     r.add_argument("--warn", action="store_true", help="record failed checks, do not abort")
     r.add_argument("--no-checks", action="store_true")
-    r.add_argument("--gate-raw", action="store_true",
-                   help="gate the newest landed transaction and rate batches first")
+    r.add_argument("--no-raw-gate", action="store_true",
+                   help="do not validate the newest landed transaction and rate batches first")
+    r.add_argument("--split-csv", action="store_true",
+                   help="transaction files have no line breaks inside fields: read them in parallel")
+    r.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="default: sized to the bytes of the input files")
     r.add_argument("--full-refresh", action="store_true", help="rebuild the monthly mart")
     i = sub.add_parser("ingest", help="stream rate-change messages into the event table")
     for name in ("source", "sink", "quarantine", "checkpoint"):
@@ -47,25 +53,26 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
 
     spark = spark or get_session()
     if args.cmd == "run":
-        from .plans.runner import SCHEDULED, run_pipeline
+        from .plans.runner import SCHEDULES, run_pipeline
+        from .session import input_bytes, shuffle_partitions_for
         from .sources import files
 
-        raw = {
-            "transactions": files.read_transactions_csv(spark, args.transactions),
-            "rates": files.read_rates_json(spark, args.rates),
-            "yields": files.read_yields_json(spark, args.yields),
-            "rate_events": spark.read.parquet(args.rate_events),
+        readers = {
+            "transactions": lambda p: files.read_transactions_csv(spark, p, multiline=not args.split_csv),
+            "rates": lambda p: files.read_rates_json(spark, p),
+            "yields": lambda p: files.read_yields_json(spark, p),
+            "rate_events": lambda p: spark.read.parquet(p),
         }
-        targets = (SCHEDULED if args.scheduled
+        given = {n: getattr(args, n) for n in readers if getattr(args, n)}
+        spark.conf.set("spark.sql.shuffle.partitions", args.shuffle_partitions or shuffle_partitions_for(
+            input_bytes(spark, given.values())))
+        raw = {n: readers[n](p) for n, p in given.items()}
+        targets = (SCHEDULES[args.scheduled] if args.scheduled
                    else args.targets.split(",") if args.targets else None)
-        from .quality.suites import SUITES
-
-        raw_suites = ({"transactions": SUITES["raw_transactions"],
-                       "rates": SUITES["raw_rates"]} if args.gate_raw else None)
         res = run_pipeline(spark, raw, args.out, targets=targets, check=not args.no_checks,
-                           raw_suites=raw_suites,
+                           raw_suites={} if args.no_raw_gate else None,
                            on_failure="warn" if args.warn else "raise",
-                           incremental=not args.full_refresh)
+                           incremental=not args.full_refresh, reuse_tables=bool(args.scheduled))
         out = {"tables": res.paths,
                "failed_checks": {t: [c for c in rows if not c["success"]]
                                  for t, rows in res.checks.items()}}

@@ -484,9 +484,6 @@ def q_incremental_cutoff(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- data quality
-DQ_QUERIES: dict[str, list] = {}
-
-
 def _dq_tables(spark, sf_dir):
     """Table name -> zero-argument builder (only the checked tables are built)."""
     g = _g(spark, sf_dir)
@@ -500,7 +497,6 @@ def _dq_tables(spark, sf_dir):
 
 def _dq(key: str, spec: list[tuple[str, list]]):
     """Register a check query: ``spec`` = [(table, checks), ...]."""
-    DQ_QUERIES[key] = spec
 
     def run(spark, sf_dir):
         tabs = _dq_tables(spark, sf_dir)
@@ -788,17 +784,44 @@ def q_dag_full_run(spark, sf_dir):
 
 @register("dag_scheduled_run")
 def q_dag_scheduled_run(spark, sf_dir):
-    """A scheduled (daily) run: staging, reconciled rates and the change
-    events only; the change-event table is read back."""
-    from .plans.runner import SCHEDULED, run_pipeline
+    """A scheduled rate load: rates, reconciled rates and the change events
+    only; the change-event table is read back."""
+    from .plans.runner import SCHEDULES, run_pipeline
 
     g = _g(spark, sf_dir)
-    res = run_pipeline(spark, g.raw, scratch_path(spark, "scheduled"), targets=SCHEDULED,
-                       county_map=g.county_map)
-    assert "monthly_transactions_by_region" not in res.paths
+    raw = {k: g.raw[k] for k in ("rates", "rate_events")}  # all that a rate load needs
+    res = run_pipeline(spark, raw, scratch_path(spark, "scheduled"), targets=SCHEDULES["rates"],
+                       on_failure="warn", reuse_tables=True)
+    assert set(res.paths) == {"rate_change_events"}
     return spark.read.parquet(res.paths["rate_change_events"])
 
 
+@register("dag_incremental_run")
+def q_dag_incremental_run(spark, sf_dir):
+    """A full run over transactions dated before 2000, then an incremental one
+    over all: the staged table equals a full restage."""
+    from .plans.runner import run_pipeline
+
+    g = _g(spark, sf_dir)
+    out = scratch_path(spark, "dag_incremental")
+    early = g.raw["transactions"].filter(F.left("transaction_date", F.lit(10)) < "2000-01-01")
+    for tx in (early, g.raw["transactions"]):
+        run_pipeline(spark, g.raw | {"transactions": tx}, out, targets=["stg_transactions"],
+                     county_map=g.county_map, on_failure="warn")
+    return spark.read.parquet(f"{out}/stg_transactions").drop("transaction_month")
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    """The gate's view of two landed batches: checks of the newest one."""
+    root = scratch_path(spark, "landed_batches")
+    tx = bindings.raw_table(spark, sf_dir, "transactions").withColumn(
+        "run_date", F.when(F.col("old_new") == "Y", "2024-01-31").otherwise("2024-02-29"))
+    SF.write_transactions_csv(tx, root, partition_by=["run_date"])
+    newest = Q.newest_partition(SF.read_transactions_csv(spark, root), "run_date")
+    return Q.run_checks(newest, [c for c in S.RAW_TRANSACTIONS if not isinstance(c, Q.RowCountBetween)])
+
+
 @register("win_lead_intervals")
 def q_win_lead_intervals(spark, sf_dir):
     """Step-function intervals of the reconciled rate series:

@@ -3,9 +3,10 @@
 Staging and intermediate models are lazy views except ``stg_transactions``,
 which is written once, partitioned by transaction month: every later read
 prunes months, and an incremental run reads only the recent partitions.
-Marts are written as tables (the monthly mart incrementally).  After each
-write the table's checks run on the written data and a failure raises
-``DataQualityError``, so no downstream model reads a bad table.
+Staging and the monthly mart are refreshed incrementally, the other marts are
+written whole.  Raw batches are gated, and each model's checks run once it is
+built; a failed check of severity "error" raises ``DataQualityError``, so no
+downstream model reads bad rows.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_start
-from ..quality.checks import DataQualityError, gate, newest_partition, run_checks
-from ..quality.suites import SUITES
-from ..sinks.writers import write_partitioned
+from ..quality.checks import DataQualityError, evaluate, newest_partition
+from ..quality.suites import RAW_GATES, SUITES
+from ..sinks.writers import drop_partitions, has_data, materialize, write_partitioned
 from . import enrich, marts, rates, staging
-from .incremental import run_monthly_incremental
+from .incremental import incremental_cutoff, run_monthly_incremental
 
 # model -> upstream models / raw inputs
 DAG: dict[str, tuple[str, ...]] = {
@@ -38,20 +39,32 @@ DAG: dict[str, tuple[str, ...]] = {
 }
 TABLES = {"stg_transactions", "monthly_transactions_by_region", "rate_change_events",
           "rate_lag_analysis", "regional_sensitivity"}
-# what the scheduled (daily / monthly) runs refresh; the rest only on full runs
-SCHEDULED = ("stg_transactions", "stg_rates", "stg_yields", "stg_rate_events",
-             "int_rates_reconciled", "rate_change_events")
+# what each source's scheduled load refreshes; the marts only on full runs
+SCHEDULES: dict[str, tuple[str, ...]] = {
+    "transactions": ("stg_transactions", "stg_rates", "stg_yields", "stg_rate_events"),
+    "rates": ("stg_rates", "int_rates_reconciled", "rate_change_events"),
+    "yields": ("stg_yields", "int_transactions_with_rates"),
+}
+
+
+def raw_inputs(targets: Iterable[str] | None, have: Iterable[str] = ()) -> list[str]:
+    """Raw inputs that ``targets`` and what lies upstream of them read; tables
+    in ``have`` are read as they are and need nothing."""
+    need = {d for m in closure(targets, have) for d in DAG[m] if d.startswith("raw:") and m not in have}
+    return sorted(d[4:] for d in need)
 
 
-def closure(targets: Iterable[str] | None) -> list[str]:
-    """Targets plus everything upstream, in dependency order."""
+def closure(targets: Iterable[str] | None, have: Iterable[str] = ()) -> list[str]:
+    """Targets plus everything upstream, in dependency order; nothing upstream
+    of a table in ``have``."""
     wanted: set[str] = set()
 
     def visit(m: str):
         if m in wanted or m.startswith("raw:"):
             return
-        for d in DAG[m]:
-            visit(d)
+        if m not in have:
+            for d in DAG[m]:
+                visit(d)
         wanted.add(m)
 
     for t in (targets or DAG):
@@ -70,42 +83,61 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
                  raw_suites: dict | None = None, check: bool = True,
                  lags=(1, 2, 3, 6), min_months: int = 12,
                  incremental: bool = True, overlap_months: int = 1,
-                 on_failure: str = "raise") -> PipelineResult:
+                 on_failure: str = "raise", reuse_tables: bool = False) -> PipelineResult:
     """Build ``targets`` (default: all models) and their upstream models.
 
     ``raw``: DataFrames for ``transactions``, ``rates``, ``rate_events``,
-    ``yields`` (only those the closure needs).  ``raw_suites`` (e.g.
-    ``{"transactions": SUITES["raw_transactions"]}``) gates raw inputs
-    before staging (the newest ``run_date`` batch when landed by run).  ``on_failure='warn'`` records failed model checks in
-    the result instead of raising (like tests that run after the build).
-    Returns the written table paths and check results.
+    ``yields`` (only those the closure needs).  With ``check`` the newest
+    landed batch of each gated raw input (``raw_suites``, default
+    ``RAW_GATES``) is validated before staging and every model, view or table,
+    after it is built.  ``on_failure='warn'`` records failed checks in the
+    result instead of raising.  ``incremental`` restages and upserts recent
+    months only, where a table of earlier runs exists.  ``reuse_tables`` reads
+    tables upstream of the targets as earlier runs left them (a scheduled load
+    of one source).  Returns the written table paths and check results.
     """
     out_root = out_root.rstrip("/")
+    targets = list(targets) if targets else list(DAG)
+    have = {m for m in TABLES - set(targets) if reuse_tables and has_data(spark, f"{out_root}/{m}")}
+    needed = raw_inputs(targets, have)
+    if missing := [n for n in needed if n not in raw]:
+        raise ValueError(f"raw inputs missing: {', '.join(missing)}")
     res = PipelineResult()
-    for name, suite in (raw_suites or {}).items():
-        landed = raw[name]
-        if "run_date" in landed.columns:  # validate the newest landed batch only
-            landed = newest_partition(landed, "run_date")
-        gate(landed, suite)
     frames: dict[str, DataFrame] = {}
 
-    def checked(name: str, df: DataFrame) -> DataFrame:
-        if check and name in SUITES:
-            rows = [r.asDict() for r in run_checks(df, SUITES[name]).collect()]
-            res.checks[name] = rows
-            bad = [r for r in rows if not r["success"]]
-            if bad and on_failure == "raise":
-                raise DataQualityError(bad)
+    def checked(name: str, df: DataFrame, suite) -> DataFrame:
+        if check and suite:
+            res.checks[name], errors = evaluate(df, suite)
+            if errors and on_failure == "raise":
+                raise DataQualityError(errors)
         return df
 
-    for m in closure(targets):
+    for name, suite in (RAW_GATES if raw_suites is None else raw_suites).items():
+        if name in needed:
+            landed = raw[name]
+            if "run_date" in landed.columns:  # validate the newest landed batch only
+                landed = newest_partition(landed, "run_date")
+            checked(f"raw_{name}", landed, suite)
+
+    def staged(path: str) -> DataFrame:
+        return spark.read.parquet(path).drop("transaction_month")
+
+    def enriched(since):
+        t = spark.read.parquet(f"{out_root}/stg_transactions")
+        if since is not None:  # partition pruning on the staged table
+            t = t.filter(F.col("transaction_month") >= F.lit(since))
+        return enrich.int_transactions_with_rates(
+            t.drop("transaction_month"), frames["int_rates_reconciled"], frames["stg_yields"])
+
+    for m in closure(targets, have):
         path = f"{out_root}/{m}"
+        if m in have:
+            frames[m] = staged(path) if m == "stg_transactions" else spark.read.parquet(path)
+            continue
         if m == "stg_transactions":
-            df = staging.stg_transactions(raw["transactions"], county_map=county_map)
-            write_partitioned(df.withColumn("transaction_month", month_start("transaction_date")),
-                              path, "transaction_month", ["region", "property_type"],
-                              split_cols=["transaction_id"])
-            frames[m] = checked(m, spark.read.parquet(path).drop("transaction_month"))
+            stage_transactions(spark, raw["transactions"], path, county_map,
+                               overlap_months if incremental else None)
+            frames[m] = staged(path)
         elif m == "stg_rates":
             frames[m] = staging.stg_rates(raw["rates"])
         elif m == "stg_yields":
@@ -115,38 +147,56 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
         elif m == "int_rates_reconciled":
             frames[m] = rates.int_rates_reconciled(frames["stg_rates"], frames["stg_rate_events"])
         elif m == "int_transactions_with_rates":
-            frames[m] = enrich.int_transactions_with_rates(
-                frames["stg_transactions"], frames["int_rates_reconciled"], frames["stg_yields"])
+            if m not in targets:  # the monthly mart makes its own, of recent months
+                continue
+            frames[m] = enriched(None)
         elif m == "monthly_transactions_by_region":
-            stg_path = f"{out_root}/stg_transactions"
-
-            def enriched(since):
-                t = spark.read.parquet(stg_path)
-                if since is not None:  # partition pruning on the staged table
-                    t = t.filter(F.col("transaction_month") >= F.lit(since))
-                return enrich.int_transactions_with_rates(
-                    t.drop("transaction_month"), frames["int_rates_reconciled"],
-                    frames["stg_yields"])
-
             if incremental:
                 run_monthly_incremental(spark, enriched, path, overlap_months)
             else:
                 write_partitioned(marts.monthly_transactions_by_region(enriched(None)), path,
                                   "month", ["region", "property_type"])
-            frames[m] = checked(m, spark.read.parquet(path))
+            frames[m] = spark.read.parquet(path)
         elif m == "rate_change_events":
-            frames[m] = rates.rate_change_events(frames["int_rates_reconciled"])
-            frames[m].write.mode("overwrite").parquet(path)
-            frames[m] = checked(m, spark.read.parquet(path))
+            rates.rate_change_events(frames["int_rates_reconciled"]).write.mode("overwrite").parquet(path)
+            frames[m] = spark.read.parquet(path)
         elif m == "rate_lag_analysis":
-            df = marts.rate_lag_analysis(frames["monthly_transactions_by_region"],
-                                         frames["int_rates_reconciled"], lags)
-            write_partitioned(df, path, "month", ["region"])
-            frames[m] = checked(m, spark.read.parquet(path))
+            write_partitioned(marts.rate_lag_analysis(frames["monthly_transactions_by_region"],
+                                                      frames["int_rates_reconciled"], lags), path, "month", ["region"])
+            frames[m] = spark.read.parquet(path)
         elif m == "regional_sensitivity":
-            df = marts.regional_sensitivity(frames["rate_lag_analysis"], min_months)
-            df.write.mode("overwrite").parquet(path)
-            frames[m] = checked(m, spark.read.parquet(path))
+            marts.regional_sensitivity(frames["rate_lag_analysis"], min_months).write.mode("overwrite").parquet(path)
+            frames[m] = spark.read.parquet(path)
+        checked(m, frames[m], SUITES.get(m))
         if m in TABLES:
             res.paths[m] = path
     return res
+
+
+def stage_transactions(spark: SparkSession, raw: DataFrame, path: str, county_map=None,
+                       overlap_months: int | None = 1) -> None:
+    """Write the staged transactions, partitioned by month.  Where the table
+    exists and ``overlap_months`` is given, only raw rows dated from that many
+    months before its newest month are staged; those months are replaced, and
+    of the earlier ones only those that hold an older version of a
+    transaction seen again (its newest version decides, wherever it lies)."""
+    month, cluster = "transaction_month", ["region", "property_type"]
+    with_month = lambda df: df.withColumn(month, month_start("transaction_date"))
+    cutoff = None if overlap_months is None else incremental_cutoff(spark, path, month, overlap_months)
+    if cutoff is None:
+        write_partitioned(with_month(staging.stg_transactions(raw, county_map=county_map)), path, month, cluster,
+                          split_cols=["transaction_id"])
+        return
+    recent = raw.filter(F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(str(cutoff)))
+    seen = materialize(recent.select("transaction_id").distinct(), "stg_seen")
+    old = spark.read.parquet(path)
+    earlier = old.filter(F.col(month) < F.lit(cutoff))
+    stale = earlier.join(seen, "transaction_id", "left_semi").select(month).distinct()
+    kept = earlier.join(stale, month, "left_semi").join(seen, "transaction_id", "left_anti")
+    fresh = with_month(staging.stg_transactions(raw, county_map=county_map, since=str(cutoff)))
+    rows = materialize(fresh.unionByName(kept.select(*fresh.columns)), "stg_rows")
+    # months that were rewritten to nothing: one value per month of the table
+    gone = (old.filter(F.col(month) >= F.lit(cutoff)).select(month).union(stale).distinct()
+            .join(rows.select(month).distinct(), month, "left_anti").collect())
+    write_partitioned(rows, path, month, cluster, split_cols=["transaction_id"], dynamic=True)
+    drop_partitions(spark, path, month, [r[0] for r in gone])

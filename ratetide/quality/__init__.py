@@ -1,5 +1,5 @@
 from .checks import (  # noqa: F401
     AcceptedRange, Between, Check, ColumnExists, DataQualityError, InSet, NoRowsWhere, NotNull,
-    RowCountBetween, Unique, gate, newest_partition, run_checks,
+    RowCountBetween, RowsPerFile, Unique, evaluate, gate, newest_partition, run_checks,
 )
 from .suites import SUITES  # noqa: F401

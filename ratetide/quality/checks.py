@@ -17,10 +17,13 @@ check) and raises before a write.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -187,6 +190,29 @@ class NoRowsWhere(Check):
         return F.lit(1), _flag(F.expr(self.predicate))
 
 
+@dataclass(frozen=True)
+class RowsPerFile(Check):
+    """Rows of each landed file within bounds: a batch of many files may hold
+    any number.  ``evaluated`` counts files, ``failed`` those out of bounds; a
+    frame that is not read from files of one table has none."""
+
+    min_value: int | None = None
+    max_value: int | None = None
+    name = "rows_per_file"
+
+    def result(self, df: DataFrame, ord_: int) -> DataFrame:
+        n = F.col("_n")
+        bad = _flag((n < F.lit(self.min_value)) | (n > F.lit(self.max_value)))
+        try:
+            files = df.groupBy(F.input_file_name().alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+        except AnalysisException as e:  # a frame joined of several tables: no landed files
+            if e.getCondition() != "MULTI_SOURCES_UNSUPPORTED_FOR_EXPRESSION":
+                raise
+            files = df.sparkSession.createDataFrame([], "_n bigint")
+        return files.agg(F.count(F.lit(1)).alias("ev"), F.coalesce(F.sum(bad), F.lit(0)).alias("fa")).select(
+            F.inline(F.array(_result(ord_, self, F.col("ev"), F.col("fa"), F.col("fa") == 0))))
+
+
 @dataclass(frozen=True)
 class Unique(Check):
     """No duplicated non-NULL value; ``failed`` = rows holding a duplicate."""
@@ -212,7 +238,8 @@ def _sum0(name: str) -> Column:
 
 def _run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """As ``run_checks`` plus ``ord``: the index of the check in ``checks``."""
-    row = [(i, c) for i, c in enumerate(checks) if not isinstance(c, Unique)]
+    row = [(i, c) for i, c in enumerate(checks) if not isinstance(c, (Unique, RowsPerFile))]
+    files = [(i, c) for i, c in enumerate(checks) if isinstance(c, RowsPerFile)]
     uniq = [(i, c) for i, c in enumerate(checks) if isinstance(c, Unique)]
     inds = []
     for i, c in row:
@@ -228,7 +255,7 @@ def _run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             out.append(_result(i, c, c.reported(ev), fa, ok))
         return out
 
-    parts: list[DataFrame] = []
+    parts: list[DataFrame] = [c.result(df, i) for i, c in files]
     if uniq:
         # the first uniqueness check's group-by also carries the row checks
         i0, u0 = uniq[0]
@@ -260,20 +287,30 @@ def _run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def evaluate(df: DataFrame, checks: Sequence[Check]) -> tuple[list[dict], list[dict]]:
+    """All results (one row per check), and the failed ones that are errors:
+    checks of severity "warn" are reported only."""
+    rows = [r.asDict() for r in _run_checks(df, checks).orderBy("ord").collect()]
+    results = [{k: v for k, v in r.items() if k != "ord"} | {"severity": checks[r["ord"]].severity} for r in rows]
+    return results, [r for r in results if not r["success"] and r["severity"] != "warn"]
+
+
 def gate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Raise ``DataQualityError`` if any check fails; otherwise return ``df``
-    unchanged so it can be written (``gate(df, suite).write...``)."""
-    results = _run_checks(df, checks).collect()  # one row per check
-    failures = [r.asDict() for r in results
-                if not r["success"] and checks[r["ord"]].severity != "warn"]
-    if failures:
-        raise DataQualityError(failures)
+    """Raise ``DataQualityError`` if a check of severity "error" fails; otherwise
+    return ``df`` unchanged so it can be written (``gate(df, suite).write...``)."""
+    _, errors = evaluate(df, checks)
+    if errors:
+        raise DataQualityError(errors)
     return df
 
 
 def newest_partition(df: DataFrame, partition_col: str = "run_date") -> DataFrame:
-    """Restrict to the newest landed batch (max of a partition column); the
-    max is a metadata-cheap aggregate and the filter prunes partitions."""
+    """Restrict to the newest landed batch.  For landed folders
+    (``run_date=...``) the newest is read off the file list and the filter
+    prunes folders; other frames are aggregated."""
+    found = {m[1] for f in df.inputFiles() if (m := re.search(rf"/{re.escape(partition_col)}=([^/]+)/", f))}
+    if found:
+        return df.filter(F.col(partition_col).cast("string") == F.lit(unquote(max(found))))
     latest = df.agg(F.max(partition_col).alias("_latest"))
     return df.join(F.broadcast(latest), F.col(partition_col) == F.col("_latest"),
                    "left_semi")

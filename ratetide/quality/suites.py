@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .checks import (AcceptedRange, Between, ColumnExists, InSet, NoRowsWhere, NotNull,
-                     RowCountBetween, Unique)
+                     RowCountBetween, RowsPerFile, Unique)
 
+# FIXED VALUES: the bounds and value sets below are those of the pipeline's
+# expectation files and model tests.
 PROPERTY_TYPES = ("D", "S", "T", "F", "O")
 
 # landed transaction file
@@ -35,6 +37,18 @@ RAW_RATES = [
 ]
 
 
+def per_file(suite: list, min_rows: int | None = None, max_rows: int | None = None) -> list:
+    """A file suite for a batch of landed files: its row-count bounds (or the
+    given ones) hold for each file instead of for all rows."""
+    return [RowsPerFile(None, c.min_value if min_rows is None else min_rows,
+                        c.max_value if max_rows is None else max_rows)
+            if isinstance(c, RowCountBetween) else c for c in suite]
+
+
+#: Gates of raw batches in a pipeline run.
+RAW_GATES = {"transactions": per_file(RAW_TRANSACTIONS), "rates": per_file(RAW_RATES)}
+
+
 def no_future_dates(today: str | None = None) -> NoRowsWhere:
     ref = f"DATE'{today}'" if today else "current_date()"
     return NoRowsWhere("transaction_date", f"transaction_date > {ref}", "no_future_dates")

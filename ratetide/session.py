@@ -106,3 +106,12 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
     (e.g. 100 TB -> ~400k).  With AQE on, set this as the initial count and
     let ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` coalesce."""
     return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Bytes below the given paths, from the file system's summary."""
+    total = 0
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return total

@@ -122,6 +122,13 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def drop_partitions(spark: SparkSession, path: str, partition_col: str, values) -> None:
+    """Delete partition folders by value."""
+    for v in values:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{partition_col}={v}")
+        fs.delete(p, True)
+
+
 def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
                   cluster_cols: Sequence[str] = ()) -> None:
     """Write the whole table beside ``path``, then swap the folders: the old

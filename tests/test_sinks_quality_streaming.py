@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratetide.plans.incremental import incremental_cutoff
 from ratetide.quality import Between, DataQualityError, InSet, NotNull, Unique, gate, run_checks
+from ratetide.quality.suites import SUITES
 from ratetide.sinks import merge_upsert, write_ndjson
 from ratetide.sources import files as SF
 from ratetide.streaming import detect_changes_stream, parse_messages, start_ingest
@@ -183,15 +184,14 @@ def test_stream_change_detection_state_across_batches(spark, tmp_dir):
     assert out == [(D(2024, 1, 1), None, 5.0), (D(2024, 1, 4), 5.0, 4.75)]
 
 
-def test_sized_broadcast_falls_back_to_shuffle_join(spark):
-    from ratetide.operators.broadcast import sized_broadcast
+def test_month_context_join_is_left_to_spark(spark):
+    """No row-count switch: the written context's bytes decide."""
+    import subprocess
 
-    facts = spark.range(1000).withColumn("k", F.col("id") % 10)
-    dim = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
-    small = facts.join(sized_broadcast(dim), "k")
-    big = facts.join(sized_broadcast(dim, max_rows=5), "k")
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert sorted(small.collect()) == sorted(big.collect())
+    found = subprocess.run(["grep", "-rnE", "max_rows|sized_broadcast", "--include=*.py", "--exclude-dir=llm",
+                            os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "ratetide")],
+                           capture_output=True, text=True).stdout
+    assert [x for x in found.splitlines() if "quality/" not in x] == []
 
 
 def test_gate_on_newest_landed_batch(spark):
@@ -236,16 +236,22 @@ def test_current_rate_falls_back_to_history(spark):
 
 def test_pipeline_closure_and_idempotent_rerun(spark, tmp_dir):
     from ratetide.plans.graph import ModelGraph
-    from ratetide.plans.runner import SCHEDULED, closure, run_pipeline
+    from ratetide.plans.runner import SCHEDULES, closure, raw_inputs, run_pipeline
 
     assert closure(["rate_change_events"]) == ["stg_rates", "stg_rate_events",
                                                "int_rates_reconciled", "rate_change_events"]
     g = ModelGraph.from_testdata(spark, "/root/testdata/sf0.001")
-    sched = run_pipeline(spark, g.raw, f"{tmp_dir}/s", targets=SCHEDULED,
-                         county_map=g.county_map, on_failure="warn")
-    assert "monthly_transactions_by_region" not in sched.paths
+    assert raw_inputs(SCHEDULES["transactions"]) == ["rate_events", "rates", "transactions", "yields"]
+    assert raw_inputs(SCHEDULES["rates"]) == ["rate_events", "rates"]
+    assert raw_inputs(SCHEDULES["yields"], {"stg_transactions"}) == ["rate_events", "rates", "yields"]
     out = f"{tmp_dir}/w"
     first = run_pipeline(spark, g.raw, out, county_map=g.county_map, on_failure="warn")
+    assert set(SUITES) - {"raw_yields", "raw_rate_events", "int_transactions_with_rates"} <= set(first.checks)
+    yields = run_pipeline(spark, {k: v for k, v in g.raw.items() if k != "transactions"}, out,
+                          targets=SCHEDULES["yields"], on_failure="warn", reuse_tables=True)
+    assert yields.paths == {} and "int_transactions_with_rates" in yields.checks
+    with pytest.raises(ValueError, match="transactions"):
+        run_pipeline(spark, {}, f"{tmp_dir}/none", targets=["stg_transactions"])
     m1 = sorted(map(tuple, spark.read.parquet(first.paths["monthly_transactions_by_region"])
                     .collect()), key=repr)
     run_pipeline(spark, g.raw, out, county_map=g.county_map, on_failure="warn")
@@ -260,12 +266,13 @@ def test_command_line_run_over_landed_files(spark, tmp_dir):
     from ratetide.sources import bindings
 
     sf = "/root/testdata/sf0.001"
-    land = bindings.landed(spark, sf)
+    land = bindings.raw_tables(spark, sf)
     SF.write_transactions_csv(land["transactions"], f"{tmp_dir}/tx")
     write_ndjson(land["rates"], f"{tmp_dir}/rates")
     write_ndjson(land["yields"], f"{tmp_dir}/yields/date=2024-01-31")
     land["rate_events"].write.parquet(f"{tmp_dir}/events")
-    args = ["run", "--transactions", f"{tmp_dir}/tx", "--rates", f"{tmp_dir}/rates",
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    args = ["run", "--shuffle-partitions", parts, "--transactions", f"{tmp_dir}/tx", "--rates", f"{tmp_dir}/rates",
             "--yields", f"{tmp_dir}/yields", "--rate-events", f"{tmp_dir}/events",
             "--out", f"{tmp_dir}/out", "--warn"]
     out = main(args, spark=spark)
@@ -274,4 +281,93 @@ def test_command_line_run_over_landed_files(spark, tmp_dir):
     assert main(["backfill-rates", "--out", f"{tmp_dir}/hist"], spark=spark)["rows"] == 69
     # landed files gated first: the bound data has NULL counties -> abort
     with pytest.raises(DataQualityError):
-        main(args[:-1] + ["--gate-raw"], spark=spark)
+        main(args[:-1], spark=spark)
+    only = [a for a in args if a != f"{tmp_dir}/tx" and a != "--transactions"]
+    assert main([*only, "--scheduled", "yields"], spark=spark)["tables"] == {}
+
+
+def _month_files(path):
+    return {d: sorted((f, os.path.getmtime(f"{path}/{d}/{f}")) for f in os.listdir(f"{path}/{d}"))
+            for d in os.listdir(path) if "=" in d}
+
+
+def test_incremental_staging_rewrites_touched_months_only(spark, tmp_dir):
+    from ratetide.plans.runner import stage_transactions
+    from ratetide.plans.staging import stg_transactions
+
+    def raw(rows):
+        tail = ", ".join(f"{c} string" for c in SF.TRANSACTION_COLUMNS if c not in ("transaction_id", "price", "transaction_date"))
+        cols = f"transaction_id string, price bigint, transaction_date string, {tail}"
+        full = [(i, p, d, "P", "D", "N", "F", "1", None, "s", None, "t", "d", "KENT", "A", s) for i, p, d, s in rows]
+        return spark.createDataFrame(full, cols)
+
+    first = [("a", 1, "2020-01-05 00:00", "A"), ("b", 2, "2020-02-05 00:00", "A"), ("c", 3, "2020-03-05 00:00", "A"),
+             ("d", 4, "2020-05-05 00:00", "A"), ("e", 5, "2020-06-05 00:00", "A"), ("f", 6, "2020-05-07 00:00", "A")]
+    more = [("b", 20, "2020-06-09 00:00", "A"), ("c", 3, "2020-06-10 00:00", "D"), ("g", 7, "2020-07-01 00:00", "A"),
+            ("d", 4, "2020-06-11 00:00", "A"), ("f", 6, "2020-07-02 00:00", "A")]
+    path = f"{tmp_dir}/stg"
+    stage_transactions(spark, raw(first), path)
+    before = _month_files(path)
+    stage_transactions(spark, raw(first + more), path)
+    after = _month_files(path)
+    got = spark.read.parquet(path).drop("transaction_month")
+    full = stg_transactions(raw(first + more))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.select(*got.columns).collect()))
+    # January is untouched; February, March and May are empty now and gone
+    assert after["transaction_month=2020-01-01"] == before["transaction_month=2020-01-01"]
+    assert set(after) == {f"transaction_month=2020-0{m}-01" for m in (1, 6, 7)}
+
+
+def test_ties_do_not_depend_on_row_order(spark):
+    from ratetide.plans.staging import stg_transactions
+
+    cols = SF.TRANSACTION_COLUMNS
+    row = dict.fromkeys(cols, "x") | {"transaction_id": "1", "price": 5, "transaction_date": "2020-01-01 00:00", "record_status": "A"}
+    kind = ", ".join(f"{c} {'bigint' if c == 'price' else 'string'}" for c in cols)
+    for c in ("postcode", "old_new", "duration", "town_city", "saon"):
+        pair = [tuple((row | {c: v})[k] for k in cols) for v in ("A", "B")]
+        kept = [stg_transactions(spark.createDataFrame(p, kind).coalesce(1)).first()[c] for p in (pair, pair[::-1])]
+        assert kept == ["B", "B"]
+
+
+def test_schema_change_swaps_the_whole_table(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    a = spark.createDataFrame([(1, "x", 1), (2, "y", 2)], "month int, k string, n int")
+    merge_upsert(spark, path, a, ["month", "k"])
+    b = spark.createDataFrame([(2, "y", 30_000_000_000)], "month int, k string, n bigint")  # a type only
+    merge_upsert(spark, path, b, ["month", "k"])
+    got = spark.read.parquet(path)
+    assert got.schema["n"].dataType.simpleString() == "bigint"
+    assert sorted((r.month, r.k, r.n) for r in got.collect()) == [(1, "x", 1), (2, "y", 30_000_000_000)]
+    assert os.listdir(tmp_dir) == ["t"]
+
+
+def test_checkpoint_folder_is_required_off_local_masters(spark):
+    from types import SimpleNamespace
+
+    from ratetide.session import ensure_checkpoint_dir
+
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
+                         getConf=lambda: SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
+
+
+def test_rows_per_file(spark, tmp_dir):
+    from ratetide.quality import RowsPerFile, evaluate
+
+    for i, n in enumerate((3, 5, 1)):
+        spark.range(n).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/f")
+    rows, errors = evaluate(spark.read.parquet(f"{tmp_dir}/f"), [RowsPerFile(None, 2, 4)])
+    assert (rows[0]["evaluated"], rows[0]["failed"], len(errors)) == (3, 2, 1)
+
+
+@pytest.mark.parametrize("width", [1, 3, 1024])
+def test_exact_median(spark, width):
+    from ratetide.operators.median import exact_median
+
+    rows = [(g, v) for g, vs in {"a": [5, 1, 1, 9], "b": [7], None: [2, 2, 8, 8, -5]}.items() for v in vs] + [("c", None)]
+    df = spark.createDataFrame(rows, "g string, v bigint")
+    want = df.groupBy("g").agg(F.expr("percentile_disc(0.5) within group (order by v)").cast("bigint").alias("m"))
+    got = {r.g: r.m for r in exact_median(df, ["g"], "v", width, "m").collect()}
+    assert got == {r.g: r.m for r in want.collect() if r.m is not None}
