@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,9 +60,12 @@ def _pack(batches):
         yield pa.record_batch({"shard": pa.array(out_shard, pa.int32()), "rows": pa.array(out_blob, pa.binary())})
 
 
-def _unpack(packed: pa.Table) -> pa.Table:
+def _unpack(packed: pa.Table, id_col: str, text_col: str) -> pa.Table:
+    """The rows of a shard, by id and text: shuffled pieces arrive in any order,
+    and each round has to see the same shard."""
     parts = [pa.ipc.open_stream(b.as_buffer()).read_all() for b in packed.column("rows").combine_chunks()]
-    return pa.concat_tables(parts)
+    rows = pa.concat_tables(parts)
+    return rows.take(pc.sort_indices(rows, [(id_col, "ascending"), (text_col, "ascending")]))
 
 
 class _Shard:
@@ -215,7 +219,7 @@ class _Search:
         self.span, self.bits, self.id_col, self.text_col, self.as_text = span, bits, id_col, text_col, as_text
 
     def open(self, packed: pa.Table) -> _Shard:
-        return _Shard(_unpack(packed), self.id_col, self.text_col, self.span)
+        return _Shard(_unpack(packed, self.id_col, self.text_col), self.id_col, self.text_col, self.span)
 
     def _bits(self, replies: pa.Table, round_no: int, column: str, asked: np.ndarray) -> np.ndarray:
         """The replies of a round in the order of the (sorted) asked names."""

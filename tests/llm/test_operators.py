@@ -281,6 +281,36 @@ def test_repeats_in_many_shards(spark, monkeypatch):
     assert (one.grams == many.grams).all() and set(one.at) == set(many.at)
 
 
+def test_rounds_see_the_same_shard_in_any_order_of_its_pieces(monkeypatch):
+    """Shuffled pieces arrive in another order in each round."""
+    import pyarrow as pa
+
+    from ratetide.llm import repeats_np
+
+    monkeypatch.setattr(repeats_np, "CHUNK", 500)
+    base = long_text(300, seed=2)
+    rows = [(i % 7, base[17 * i:17 * i + 400] + str(i % 5) * 3) for i in range(40)] + [(None, base), (3, None), (3, ""), (3, base)]
+    pieces = [next(iter(suffix_dedup._pack([pa.record_batch({
+        "shard": pa.array([0] * len(part), pa.int32()), "c0": pa.array([r[0] for r in part], pa.int64()),
+        "c1": pa.array([r[1] for r in part], pa.string())})]))) for part in (rows[:9], rows[9:11], rows[11:30], rows[30:])]
+    search = suffix_dedup._Search(50, 4, "c0", "c1", False)
+    answers, found = [], set()
+    for order in ((0, 1, 2, 3), (3, 1, 0, 2), (2, 3, 1, 0)):
+        packed = pa.Table.from_batches([pieces[i] for i in order])
+        replies = pa.table({c: pa.array([], t) for c, t in zip(
+            ("shard", "round", "bucket", "gram_bits", "key_bits"), (*[pa.int32()] * 3, *[pa.binary()] * 2), strict=True)})
+        for n, ask in enumerate((search.ask_grams, lambda k, p: search.ask_sides(k, p, replies),
+                                 lambda k, p: search.ask_windows(k, p, replies)), 1):
+            asked = ask((pa.scalar(0, pa.int32()),), packed)
+            answers.append((n, asked.to_pydict()))
+            replies = pa.concat_tables([replies, *(suffix_dedup._answer(n)(asked.slice(i, 1)) for i in range(len(asked)))])
+        done = search.cut((pa.scalar(0, pa.int32()),), packed, replies).to_pydict()
+        found.add(tuple(sorted(zip(map(str, done["c0"]), map(str, done["c1"]), done["kept"], strict=True))))
+    assert len(found) == 1
+    for n in (1, 2, 3):
+        assert all(a == next(x for k, x in answers if k == n) for k, a in answers if k == n)
+
+
 def test_repeats_clashing_and_empty(clashing, no_docs):
     out = suffix_dedup.remove_repeats(clashing)
     assert out.columns == [*clashing.columns, "repeats_"] and out.count() == len(EDGES)
