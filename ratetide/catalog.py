@@ -798,14 +798,21 @@ def q_dag_scheduled_run(spark, sf_dir):
 
 @register("dag_incremental_run")
 def q_dag_incremental_run(spark, sf_dir):
-    """A full run over transactions dated before 2000, then an incremental one
-    over all: the staged table equals a full restage."""
+    """A full run over a first batch, then an incremental one over both: the
+    staged table equals a full restage.  The first batch lacks a seventh of the
+    ids and dates from 2000 on, and its later deletions are still active, so
+    the second lands old-dated rows and deletions of the same date."""
     from .plans.runner import run_pipeline
 
     g = _g(spark, sf_dir)
     out = scratch_path(spark, "dag_incremental")
-    early = g.raw["transactions"].filter(F.left("transaction_date", F.lit(10)) < "2000-01-01")
-    for tx in (early, g.raw["transactions"]):
+    tx = g.raw["transactions"]
+    first = (tx.filter((F.left("transaction_date", F.lit(10)) < "2000-01-01")
+                       & (F.col("transaction_id").cast("bigint") % 7 != 0))
+             .withColumn("record_status", F.when(F.col("record_status") == "D", "A").otherwise(F.col("record_status")))
+             .withColumn("run_date", F.lit("2024-01-31")))
+    both = first.unionByName(tx.withColumn("run_date", F.lit("2024-02-29")))
+    for tx in (first, both):
         run_pipeline(spark, g.raw | {"transactions": tx}, out, targets=["stg_transactions"],
                      county_map=g.county_map, on_failure="warn")
     return spark.read.parquet(f"{out}/stg_transactions").drop("transaction_month")

@@ -2,9 +2,9 @@
 
 Staging and intermediate models are lazy views except ``stg_transactions``,
 which is written once, partitioned by transaction month: every later read
-prunes months, and an incremental run reads only the recent partitions.
-Staging and the monthly mart are refreshed incrementally, the other marts are
-written whole.  Raw batches are gated, and each model's checks run once it is
+prunes months.  An incremental run rewrites the staged months in which anything
+changed, whatever their age, and upserts recent months of the monthly mart; the
+other marts are written whole.  Raw batches are gated, and each model's checks run once it is
 built; a failed check of severity "error" raises ``DataQualityError``, so no
 downstream model reads bad rows.
 """
@@ -22,7 +22,7 @@ from ..quality.checks import DataQualityError, evaluate, newest_partition
 from ..quality.suites import RAW_GATES, SUITES
 from ..sinks.writers import drop_partitions, has_data, materialize, write_partitioned
 from . import enrich, marts, rates, staging
-from .incremental import incremental_cutoff, run_monthly_incremental
+from .incremental import run_monthly_incremental
 
 # model -> upstream models / raw inputs
 DAG: dict[str, tuple[str, ...]] = {
@@ -91,8 +91,10 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     landed batch of each gated raw input (``raw_suites``, default
     ``RAW_GATES``) is validated before staging and every model, view or table,
     after it is built.  ``on_failure='warn'`` records failed checks in the
-    result instead of raising.  ``incremental`` restages and upserts recent
-    months only, where a table of earlier runs exists.  ``reuse_tables`` reads
+    result instead of raising.  ``incremental``, where a table of earlier runs
+    exists, rewrites changed months only when staging, and upserts the monthly
+    mart from ``overlap_months`` before its newest month.  ``transactions``
+    always holds all landed rows: staged ones that it lacks go.  ``reuse_tables`` reads
     tables upstream of the targets as earlier runs left them (a scheduled load
     of one source).  Returns the written table paths and check results.
     """
@@ -135,8 +137,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
             frames[m] = staged(path) if m == "stg_transactions" else spark.read.parquet(path)
             continue
         if m == "stg_transactions":
-            stage_transactions(spark, raw["transactions"], path, county_map,
-                               overlap_months if incremental else None)
+            stage_transactions(spark, raw["transactions"], path, county_map, incremental)
             frames[m] = staged(path)
         elif m == "stg_rates":
             frames[m] = staging.stg_rates(raw["rates"])
@@ -174,29 +175,29 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
 
 
 def stage_transactions(spark: SparkSession, raw: DataFrame, path: str, county_map=None,
-                       overlap_months: int | None = 1) -> None:
-    """Write the staged transactions, partitioned by month.  Where the table
-    exists and ``overlap_months`` is given, only raw rows dated from that many
-    months before its newest month are staged; those months are replaced, and
-    of the earlier ones only those that hold an older version of a
-    transaction seen again (its newest version decides, wherever it lies)."""
+                       incremental: bool = True) -> None:
+    """Write the staged transactions, partitioned by month.  ``raw`` holds all
+    landed rows.  Where the table exists and ``incremental`` is set, all of
+    ``raw`` is staged again (the reference's staging is a view over all of
+    raw: rows of any date may land late) and compared with the table row by
+    row; only months in which a row came, changed or went are rewritten."""
     month, cluster = "transaction_month", ["region", "property_type"]
-    with_month = lambda df: df.withColumn(month, month_start("transaction_date"))
-    cutoff = None if overlap_months is None else incremental_cutoff(spark, path, month, overlap_months)
-    if cutoff is None:
-        write_partitioned(with_month(staging.stg_transactions(raw, county_map=county_map)), path, month, cluster,
-                          split_cols=["transaction_id"])
+    staged = staging.stg_transactions(raw, county_map=county_map)
+    fresh = staged.withColumn(month, month_start("transaction_date"))
+    if not incremental or not has_data(spark, path):
+        write_partitioned(fresh, path, month, cluster, split_cols=["transaction_id"])
         return
-    recent = raw.filter(F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(str(cutoff)))
-    seen = materialize(recent.select("transaction_id").distinct(), "stg_seen")
-    old = spark.read.parquet(path)
-    earlier = old.filter(F.col(month) < F.lit(cutoff))
-    stale = earlier.join(seen, "transaction_id", "left_semi").select(month).distinct()
-    kept = earlier.join(stale, month, "left_semi").join(seen, "transaction_id", "left_anti")
-    fresh = with_month(staging.stg_transactions(raw, county_map=county_map, since=str(cutoff)))
-    rows = materialize(fresh.unionByName(kept.select(*fresh.columns)), "stg_rows")
+    old = spark.read.parquet(path).select(*fresh.columns)
+    # ids are unique on both sides: 1 is a new row, -1 a row that went or changed
+    sides = fresh.withColumn("_side", F.lit(1)).unionByName(old.withColumn("_side", F.lit(-1)))
+    changed = materialize(sides.groupBy(*fresh.columns).agg(F.sum("_side").alias("_side")).filter("_side <> 0"),
+                          "stg_changed")
+    months = changed.select(month).distinct()
+    stale = changed.filter("_side < 0").select(F.col("transaction_id").alias("_stale"))
+    kept = (old.join(months, month, "left_semi")
+            .join(stale, F.col("transaction_id").eqNullSafe(F.col("_stale")), "left_anti"))
+    rows = materialize(kept.unionByName(changed.filter("_side > 0").drop("_side")), "stg_rows")
     # months that were rewritten to nothing: one value per month of the table
-    gone = (old.filter(F.col(month) >= F.lit(cutoff)).select(month).union(stale).distinct()
-            .join(rows.select(month).distinct(), month, "left_anti").collect())
+    gone = months.join(rows.select(month).distinct(), month, "left_anti").collect()
     write_partitioned(rows, path, month, cluster, split_cols=["transaction_id"], dynamic=True)
     drop_partitions(spark, path, month, [r[0] for r in gone])

@@ -26,8 +26,7 @@ def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSA
     ``since`` (``yyyy-MM-dd``) keeps only transactions dated on/after it and
     is applied *before* the dedup shuffle: the version order is the date
     itself, so a transaction's newest version is >= ``since`` exactly when it
-    survives the pre-filter, and the result equals filtering afterwards.  An
-    incremental run thus shuffles only recent rows.
+    survives the pre-filter, and the result equals filtering afterwards.
     """
     if since is not None:
         raw = raw.filter(F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(str(since)))

@@ -318,6 +318,37 @@ def test_incremental_staging_rewrites_touched_months_only(spark, tmp_dir):
     assert set(after) == {f"transaction_month=2020-0{m}-01" for m in (1, 6, 7)}
 
 
+def test_incremental_staging_takes_late_rows_of_any_date(spark, tmp_dir):
+    """An older year, same-date deletions and reloads, and a newer version below the newest months."""
+    from ratetide.plans.runner import stage_transactions
+    from ratetide.plans.staging import stg_transactions
+
+    tail = ", ".join(f"{c} string" for c in SF.TRANSACTION_COLUMNS if c not in ("transaction_id", "price", "transaction_date"))
+    cols = f"transaction_id string, price bigint, transaction_date string, {tail}, run_date string"
+
+    def raw(rows):
+        full = [(i, p, d, "P", "D", "N", "F", "1", None, "s", None, "t", "d", "KENT", "A", s, b) for i, p, d, s, b in rows]
+        return spark.createDataFrame(full, cols)
+
+    first = [("a", 1, "2020-01-05", "A", "1"), ("b", 2, "2020-02-05", "A", "1"), ("c", 3, "2020-03-05", "A", "1"),
+             ("d", 4, "2020-04-05", "A", "1"), ("d2", 4, "2020-04-06", "A", "1"), ("e", 5, "2021-06-05", "A", "1"),
+             (None, 6, "2020-05-01", "A", "1")]
+    more = [("old", 7, "2018-03-01", "A", "2"), ("b", 2, "2020-02-05", "D", "2"), ("c", 30, "2020-03-05", "A", "2"),
+            ("d", 40, "2020-07-01", "A", "2"), ("e", 5, "2021-06-05", "C", "2"), (None, 60, "2020-05-01", "A", "2")]
+    path = f"{tmp_dir}/stg"
+    stage_transactions(spark, raw(first), path)
+    before = _month_files(path)
+    for _ in range(2):  # a rerun over the same rows changes nothing
+        stage_transactions(spark, raw(first + more), path)
+        got = spark.read.parquet(path).drop("transaction_month")
+        full = stg_transactions(raw(first + more)).select(*got.columns)
+        key = lambda r: str(tuple(r))
+        assert sorted(map(key, got.collect())) == sorted(map(key, full.collect()))
+    after = _month_files(path)
+    assert after["transaction_month=2020-01-01"] == before["transaction_month=2020-01-01"]
+    assert set(after) == {f"transaction_month={m}-01" for m in ("2018-03", "2020-01", "2020-03", "2020-04", "2020-05", "2020-07")}
+
+
 def test_ties_do_not_depend_on_row_order(spark):
     from ratetide.plans.staging import stg_transactions
 
