@@ -38,6 +38,42 @@ def test_licences(spark, edges, no_docs):
     assert licences.scan(no_docs).count() == 0
 
 
+def test_licences_in_runs_of_words(spark):
+    """Texts over several paragraphs, whole files and notices in prose, against all runs of words."""
+    text = {s: t for s, t in licences.TEMPLATES if len(t) > 500}
+    mit, bsd2, bsd3 = text["MIT"], text["BSD-2-Clause"], text["BSD-3-Clause"]
+    parts = mit.replace("conditions: The", "conditions:\n\nThe").replace(". THE SOFTWARE IS", ".\n\nTHE SOFTWARE IS")
+    assert parts.count("\n\n") == 2
+    lines = lambda t: "\n".join(" ".join(t.split()[i:i + 11]) for i in range(0, len(t.split()), 11))
+    rows = [(1, "# Tool\n\n" + long_text(400, seed=5) + "\n\nMIT License\n\nCopyright (c) 2020 Foo\n\n" + parts + "\n\n## More\n\n" + long_text(300, seed=6)),
+            (2, "Copyright (c) 2020, Foo\nAll rights reserved.\n\n" + lines(bsd2)), (3, "Copyright (c) 2020, Foo\n\n" + lines(bsd3)),
+            (4, "It was written by the core team and released under the MIT License."),
+            (5, "Copyright 2020 Foo Authors. Licensed under the Apache License, Version 2.0."),
+            (6, "released under the sea the mit of all, license released"), (7, " ".join([PROSE, PROSE, mit[:300], OTHER])),
+            (8, "Released under the the MIT MIT License under the sea " * 3)]
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    best = {i: (r.licence, r.n_matches) for i, r in found.items()}
+    assert best[1] == ("MIT", 1) and found[1].dice == 1
+    assert best[2][0] == "BSD-2-Clause" and best[3][0] == "BSD-3-Clause" and found[2].dice == found[3].dice == 1
+    assert best[4] == ("MIT", 1) and best[5] == ("Apache-2.0", 1) and best[6] == best[7] == (None, 0)
+    for i, body in rows:
+        if i in (4, 5, 6, 7, 8):
+            want = brute_runs(body)
+            assert (found[i].dice or 0) == pytest.approx(max((d for d in want.values() if d >= 0.8), default=0))
+            assert found[i].licences == sorted({s for (s, _), d in want.items() if d >= 0.8})
+
+
+def brute_runs(text):
+    """{template: dice of its best run of words}"""
+    grams = lambda w: list(zip(w, w[1:]))  # noqa: B905, E731
+    have, out = grams(brute.item_words(text)), {}
+    for s, t in licences.TEMPLATES:
+        want = set(grams(brute.item_words(t)))
+        runs = (set(have[i:j]) for i in range(len(have)) for j in range(i + 1, min(len(have), i + len(want) * 3 // 2) + 1))
+        out[s, t] = max((2 * len(r & want) / (len(r) + len(want)) for r in runs), default=0)
+    return out
+
+
 # ---------------------------------------------------------- 2 decontamination
 ITEMS = [(1, PROSE), (2, "one two"), (3, None), (4, "?!"), (5, OTHER), (6, OTHER), (None, "quick brown fox"),
          (7, "müde Bäcker ihre Brötchen"), (8, "a b c d e f g")]
