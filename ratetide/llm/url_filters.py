@@ -4,7 +4,9 @@ A rule such as ``example.org/es/`` fits its host and all subdomains where the
 path starts with the rule's; the longest fitting rule decides.  Other pages get
 their host's verdict: trust is a personalised PageRank from hosts that rules
 mostly allow, distrust one over the reversed links from hosts that rules mostly
-block (a host that links to blocked ones is suspect).  A host is blocked if its
+block (a host that links to blocked ones is suspect).  Rules judge a host by
+its pages and, where these make it no seed (it may have none), by the linked
+urls that lead to it from other hosts.  A host is blocked if its
 distrust exceeds ``threshold`` times its trust; without either it is allowed.
 
 Host and path are those of the text after the first ``://`` (A-Z of the host
@@ -34,7 +36,7 @@ class Trust:
     damping: float = 0.85
     rounds: int = 20          # at most; a round is two shuffles of the host graph
     tolerance: float = 1e-6   # stop when scores change by less in all
-    seed_share: float = 0.5   # a host is a seed if rules give so large a share of its pages one verdict
+    seed_share: float = 0.5   # a host is a seed if rules give so large a share of its pages, or linked urls, one verdict
     threshold: float = 1.0
 
 
@@ -54,16 +56,32 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple
     return rule, verdict
 
 
-def host_links(pages: DataFrame, host_col: str, html_col: str) -> DataFrame:
-    """(src, dst, share): links between different hosts, as a share of all that
-    leave ``src``."""
+def host_links(pages: DataFrame, host_col: str, html_col: str, rules: list[tuple[str, str]] = ()) -> DataFrame:
+    """(src, dst, share, links, allowed, blocked): links between different hosts,
+    as a share of all that leave ``src``, and how many of their urls the rules
+    allow or block."""
     found = pages.select(quoted(host_col).alias("src"), F.explode(F.regexp_extract_all(
         F.coalesce(quoted(html_col), F.lit("")), F.lit(LINK), F.lit(1))).alias("url"))
     dst = lower_ascii(F.regexp_extract("url", "//([^/?#]*)", 1))
-    counted = (found.select("src", dst.alias("dst")).where("src <> '' and dst <> '' and src <> dst")
-               .groupBy("src", "dst").agg(F.count("*").alias("links")))
+    parts = found.select("src", dst.alias("dst"), F.regexp_extract("url", "//[^/?#]*([^?#]*)", 1).alias("path"))
+    _, verdict = best_rule(F.col("dst"), F.col("path"), rules)
+    counted = (parts.where("src <> '' and dst <> '' and src <> dst").select("src", "dst", verdict.alias("verdict"))
+               .groupBy("src", "dst").agg(F.count("*").alias("links"), *(
+                   F.count_if(F.col("verdict") == v).alias(name) for v, name in (("allow", "allowed"), ("block", "blocked")))))
     out = counted.groupBy("src").agg(F.sum("links").alias("all_links"))
-    return counted.join(out, "src").select("src", "dst", (F.col("links") / F.col("all_links")).alias("share"))
+    return counted.join(out, "src").select("src", "dst", (F.col("links") / F.col("all_links")).alias("share"),
+                                           "links", "allowed", "blocked")
+
+
+def seed_hosts(hosts: DataFrame, links: DataFrame, share: float) -> DataFrame:
+    """(host, verdict): hosts of which rules give ``share`` of the pages one
+    verdict, or else of the linked urls."""
+    made = lambda df, name, verdict: df.where(F.col(name) >= share).select("host", F.lit(verdict).alias("verdict"))
+    both = lambda df: made(df, "allowed", "allow").unionByName(made(df, "blocked", "block"))
+    by_page = both(hosts)
+    linked = links.groupBy(F.col("dst").alias("host")).agg(*(
+        (F.sum(x) / F.sum("links")).alias(x) for x in ("allowed", "blocked")))
+    return by_page.unionByName(both(linked).join(by_page.select("host"), "host", "left_anti"))
 
 
 def propagate(links: DataFrame, seeds: DataFrame, trust: Trust) -> DataFrame:
@@ -100,10 +118,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "u
 
     share = lambda v: F.avg(F.coalesce((quoted(by_rule) == v).cast("double"), F.lit(0.0)))
     hosts = written(ruled.groupBy(quoted(host_col).alias("host")).agg(share("allow").alias("allowed"), share("block").alias("blocked")), "trust-hosts")
-    links = written(host_links(ruled, host_col, html_col), "trust-links")
-    good = propagate(links, hosts.where(F.col("allowed") >= trust.seed_share).select("host"), trust)
+    links = written(host_links(ruled, host_col, html_col, rules), "trust-links")
+    seeds = written(seed_hosts(hosts, links, trust.seed_share), "trust-seeds")
+    good = propagate(links, seeds.where("verdict = 'allow'").select("host"), trust)
     back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
-    bad = propagate(back, hosts.where(F.col("blocked") >= trust.seed_share).select("host"), trust)
+    bad = propagate(back, seeds.where("verdict = 'block'").select("host"), trust)
     scores = (hosts.select("host").join(good.withColumnRenamed("score", "trust"), "host", "left")
               .join(bad.withColumnRenamed("score", "distrust"), "host", "left").na.fill(0.0, ["trust", "distrust"]))
     scores = scores.select(F.col("host").alias("__host"), F.col("trust").alias("__trust"), F.col("distrust").alias("__distrust"))

@@ -196,6 +196,29 @@ def test_urls(spark):
     assert url_filters.judge_urls(none, queries.URL_RULES).count() == 0
 
 
+def test_linked_hosts_without_pages_are_seeds(spark):
+    page = lambda *links: "".join(f'<a href="{x}">t</a>' for x in links)
+    rows = [(1, "https://farm.net/a", page("https://example.org/es/1", "//X.com/de/2?q#a", "https://x.com/de/3", "https://x.com/other")),
+            (2, "https://fan.net/", page("https://good.org/a", "https://out.net/")), (3, "https://out.net/x", ""),
+            (4, "https://near.net/", page("https://half.com/fr/1", "https://half.com/", "https://half.com/x")),
+            (5, "https://y.com/", page("https://z.net/")), (6, "https://other.net/", page("https://y.com/de/1")),
+            (7, "https://z.net/", ""), (8, "https://own.com/fr/1", page("https://own.com/de/1")),
+            (9, "https://to.net/", page("https://own.com/de/1"))]
+    out = url_filters.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), queries.URL_RULES)
+    got = {r.page_id: r["filter"] for r in out.collect()}
+    # blocked and allowed hosts that nobody crawled
+    assert got[1].verdict == "block" and got[1].distrust > got[1].trust == 0
+    assert got[2].verdict == got[4].verdict == "allow" and got[2].distrust == got[4].distrust == 0
+    # a crawled host without ruled pages is judged by its linked urls, one with ruled pages by these
+    assert got[5].verdict == got[6].verdict == "block" and got[7].verdict == "allow"
+    assert got[8].trust > 0 and got[8].distrust == got[9].distrust == 0
+    # a trusted host without pages passes its trust on in no link, but counts among the seeds
+    seeds = url_filters.seed_hosts(spark.createDataFrame([("a.net", 0.0, 0.0)], "host string, allowed double, blocked double"),
+                                   spark.createDataFrame([("a.net", "good.org", 2, 2, 0), ("b.net", "good.org", 1, 0, 0), ("a.net", "no.net", 1, 0, 0)],
+                                                         "src string, dst string, links long, allowed long, blocked long"), 0.5)
+    assert [tuple(r) for r in seeds.collect()] == [("good.org", "allow")]
+
+
 def test_propagation_is_pagerank(spark):
     """Against a dense power iteration."""
     names = "abcde"
