@@ -18,6 +18,7 @@ and for the seeds.  DataFrame functions only.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,8 +35,8 @@ class Trust:
     """Parameters of the propagation."""
 
     damping: float = 0.85
-    rounds: int = 20          # at most; a round is two shuffles of the host graph
-    tolerance: float = 1e-6   # stop when scores change by less in all
+    rounds: int = 20          # with tolerance 0 only: so many, as in the SQL; a round is two shuffles of the host graph
+    tolerance: float = 1e-6   # stop when scores change by less in all and no further host is reached
     seed_share: float = 0.5   # a host is a seed if rules give so large a share of its pages, or linked urls, one verdict
     threshold: float = 1.0
 
@@ -86,21 +87,31 @@ def seed_hosts(hosts: DataFrame, links: DataFrame, share: float) -> DataFrame:
 
 def propagate(links: DataFrame, seeds: DataFrame, trust: Trust) -> DataFrame:
     """(host, score): personalised PageRank over (src, dst, share) that restarts
-    at the seed hosts.  Scores that reach hosts without links end there."""
+    at the seed hosts.  Scores that reach hosts without links end there.  Rounds
+    go on until scores change by less than the tolerance and all hosts that a
+    seed leads to have one, however many links away."""
+    if not 0 <= trust.damping < 1:
+        raise ValueError("damping must be at least 0 and below 1")
     total = seeds.agg(F.count("*")).first()[0]
     start = seeds.select("host", F.lit(1.0 / max(total, 1)).alias("score"))
     if not total or links.isEmpty():
         return start
     restart = start.select("host", ((1 - trust.damping) * F.col("score")).alias("score"))
     scores = start
-    for _ in range(trust.rounds):
+    for n in itertools.count(1):
         flow = (scores.join(links, scores["host"] == links["src"])
                 .select(F.col("dst").alias("host"), (trust.damping * F.col("score") * F.col("share")).alias("score")))
         new = written(flow.union(restart).groupBy("host").agg(F.sum("score").alias("score")), "trust-scores")
-        change = (new.union(scores.select("host", (-F.col("score")).alias("score"))).groupBy("host")
-                  .agg(F.abs(F.sum("score")).alias("x")).agg(F.sum("x")).first()[0])
+        sides = new.select("host", "score", F.lit(1).alias("side")).union(
+            scores.select("host", (-F.col("score")).alias("score"), F.lit(-1).alias("side")))
+        change, reached = (sides.groupBy("host").agg(F.abs(F.sum("score")).alias("x"), F.sum("side").alias("new"))
+                           .agg(F.sum("x"), F.sum("new")).first())
         scores = new
-        if (change or 0) < trust.tolerance:
+        if not trust.tolerance:
+            if n >= trust.rounds:
+                break
+        # the change is at most 2 damping^(n - 1), but for rounding
+        elif not reached and (change < trust.tolerance or 2 * trust.damping ** (n - 1) < trust.tolerance):
             break
     return scores
 

@@ -236,6 +236,25 @@ def test_propagation_is_pagerank(spark):
     assert np.allclose([got.get(n, 0) for n in names], score)
 
 
+def test_propagation_solves_the_linear_system(spark):
+    """A chain longer than the rounds of before, and a cycle that mixes slowly."""
+    links = {(f"h{i}", f"h{i + 1}"): 1.0 for i in range(25)} | {("c0", "c1"): 1.0, ("c1", "c0"): 0.9, ("c1", "c2"): 0.1}
+    names = sorted({n for pair in links for n in pair})
+    m = np.zeros((len(names), len(names)))
+    for (s, d), x in links.items():
+        m[names.index(d), names.index(s)] = x
+    start = np.array([(n in ("h0", "c0")) / 2 for n in names])
+    want = np.linalg.solve(np.eye(len(names)) - 0.85 * m, 0.15 * start)
+    got = url_filters.propagate(spark.createDataFrame([(*k, v) for k, v in links.items()], "src string, dst string, share double").coalesce(1),
+                                spark.createDataFrame([("h0",), ("c0",)], "host string").coalesce(1), url_filters.Trust())
+    got = {r.host: r.score for r in got.collect()}
+    assert set(got) == set(names) and min(got.values()) > 0
+    assert np.abs([got[n] for n in names] - want).sum() < 1e-5
+    with pytest.raises(ValueError):
+        url_filters.propagate(spark.createDataFrame([], "src string, dst string, share double"),
+                              spark.createDataFrame([], "host string"), url_filters.Trust(damping=1.0))
+
+
 # ------------------------------------------------------------ 7 html extraction
 @pytest.fixture(scope="module")
 def field():
