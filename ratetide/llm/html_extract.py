@@ -7,7 +7,10 @@ or not; Viterbi decodes the page.  The field is fitted with numpy on labelled
 pages, which ``labelled_pages`` makes in many layouts (articles with and without
 an article tag, menus, banners, notices, adverts, forms, sidebars, comments).
 
-Scripts, styles, templates, comments and tags are never text.  Character
+Scripts, styles, templates, frames, text areas, titles, noscript, comments and
+tags are never text; a noscript that is not closed is read as if it were not
+there.  Text in formulas, objects, graphics and media is text of the page, which
+the field judges; one that is not closed costs nothing.  Character
 references are decoded, white space in a block becomes one space, blocks are
 trimmed and joined in page order by a line feed; empty ones go.  A null page is
 an empty text.  Cut-off pages are read as far as they go, pages of any length
@@ -33,7 +36,8 @@ BLOCKS = frozenset(
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav noscript ol "
     "optgroup option p pre search section select summary table tbody td textarea tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template title svg noscript iframe textarea object canvas math audio video".split())
+RAW = frozenset("script style template title noscript iframe textarea".split())
+EMBEDS = frozenset("svg object canvas math audio video".split())  # inline, with text of their own
 #: A tag that opens closes an open one of these, up to the nearest of the others.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -49,6 +53,7 @@ class Block:
     names: list[frozenset]               # words of their class, id and role
     parts: list[str] = field(default_factory=list)
     linked: int = 0                      # characters inside links
+    embeds: set[str] = field(default_factory=set)  # formulas, objects, media that hold some of the text
 
     def text(self) -> str:
         return " ".join(entities.unescape("".join(self.parts)).split())
@@ -59,6 +64,7 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     path: list[str] = []
     names: list[frozenset] = []
+    inside: list[tuple[str, int]] = []       # open embeds and the ancestors they stand in
     now: Block | None = None
     links = at = 0
     end = len(page)
@@ -76,6 +82,8 @@ def leaf_blocks(page: str) -> list[Block]:
                 now = Block(path[:], names[:])
                 blocks.append(now)
             now.parts.append(page[at:stop])
+            if inside and not page[at:stop].isspace():
+                now.embeds.update(name for name, _ in inside)
             if links:
                 now.linked += stop - at
         if m is None:
@@ -88,13 +96,19 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag in RAW:
             if not closing and not m[3].endswith("/"):
                 close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = close.end() if close else end
+                at = close.end() if close else at if tag == "noscript" else end
+        elif tag in EMBEDS:
+            if not closing and not m[3].endswith("/"):
+                inside.append((tag, len(path)))
+            elif closing and any(name == tag for name, _ in inside):
+                del inside[max(i for i, x in enumerate(inside) if x[0] == tag):]
         elif tag in BLOCKS:
             now, links = None, 0
             if closing:
                 if tag in path:
                     cut = len(path) - 1 - path[::-1].index(tag)
                     del path[cut:], names[cut:]
+                    inside = [x for x in inside if x[1] <= cut]
                 continue
             if "p" in path:                       # any block ends an open paragraph
                 cut = len(path) - 1 - path[::-1].index("p")
@@ -106,6 +120,7 @@ def leaf_blocks(page: str) -> list[Block]:
                 if path[i] in own:
                     del path[i:], names[i:]
                     break
+            inside = [x for x in inside if x[1] <= len(path)]
             if tag not in VOID:
                 found = " ".join(next(filter(None, x), "") for x in NAMES.findall(m[3])) if m[3] else ""
                 path.append(tag)
@@ -144,7 +159,7 @@ def features(blocks: list[Block], texts: list[str]) -> list[list[str]]:
     for i, (b, t) in enumerate(zip(blocks, texts, strict=True)):
         own = b.path[-1] if b.path else "none"
         f = ["bias", "tag=" + own, "parent=" + (b.path[-2] if len(b.path) > 1 else "none")]
-        f += ["in=" + tag for tag in set(b.path)]
+        f += ["in=" + tag for tag in {*b.path, *b.embeds}]
         f += ["cue=" + c for c in {CUE_OF[w] for words in b.names for w in words if w in CUE_OF}]
         last = next((c for words in reversed(b.names) for c in sorted(CUE_OF[w] for w in words if w in CUE_OF)), None)
         f.append("last=" + str(last))

@@ -303,6 +303,28 @@ def test_extraction(spark, field):
     assert html_extract.extract(pages.limit(0), field=field).count() == 0
 
 
+def test_text_of_formulas_objects_and_media(field):
+    text = [long_text(25, seed=i).capitalize() + "." for i in range(4)]
+    paragraphs = "".join(f"<p>{x}</p>" for x in text)
+    page = lambda inner: f"<html><body><nav><ul><li><a href=/a>Home</a></ul></nav><article><h1>Title here</h1>{inner}</article><footer>&copy; site</footer>"
+    whole = "\n".join(["Title here", *text])
+    assert field.main_text(page(paragraphs)) == whole
+    # text inside
+    got = field.main_text(page(paragraphs + "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be a number that is even."))
+    assert got == whole + "\nLet x=2 be a number that is even."
+    assert field.main_text(page(f"<p>{text[0]}</p><object data=a.pdf><p>{text[1]}</p></object><p>{text[2]}</p><p>{text[3]}</p>")) == whole
+    # not closed, closed twice, closed by an ancestor, without an end
+    for tag in ("math", "object", "canvas", "audio", "video", "svg"):
+        for odd in (f"<{tag} class=ad>", f"<div><{tag}></div>", f"</{tag}>", f"<{tag}/>", f"<{tag} src=a></{tag}></{tag}>"):
+            assert field.main_text(page(f"<p>{text[0]}</p>" + odd + "".join(f"<p>{x}</p>" for x in text[1:]))) == whole, odd
+    assert field.main_text(page("<noscript><img src=a>" + paragraphs)) == whole
+    # no text
+    hidden = "<noscript>No script</noscript><svg><title>Icon</title><style>a{}</style><path d=x /></svg><iframe>frame</iframe>"
+    assert field.main_text(page(paragraphs + hidden)) == whole
+    blocks = html_extract.leaf_blocks("<div>a<div><video>b</div>c<p><svg><text>d</svg>e")
+    assert [(b.text(), b.embeds) for b in blocks] == [("a", set()), ("b", {"video"}), ("c", set()), ("de", {"svg"})]
+
+
 def test_extraction_of_the_table(spark):
     """The table's layout has the main text in article, h1 and p."""
     import html
