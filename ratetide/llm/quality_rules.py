@@ -22,6 +22,17 @@ from .common import free_name, let, quoted, words_of
 SPACE = "[ \\t-\\r]+"
 SYMBOLS, SHOUTS, SEPARATORS = "[#*$%&|<>]", "[!?¡¿]", "[|»›•·→]"
 SUSPECT = "[#*$%&|<>!?¡¿»›•·→]"  # all of them
+#: Code points that end a sentence: Unicode's Sentence_Terminal, and the ellipsis.
+SENTENCE_ENDS = (
+    "21 2E 3F 589 61D-61F 6D4 700-702 7F9 837 839 83D-83E 964-965 104A-104B 1362 1367-1368 166E 1735-1736 "
+    "17D4-17D5 1803 1809 1944-1945 1AA8-1AAB 1B4E-1B4F 1B5A-1B5B 1B5E-1B5F 1B7D-1B7F 1C3B-1C3C 1C7E-1C7F 2024 "
+    "2026 203C-203D 2047-2049 2CF9-2CFB 2E2E 2E3C 2E53-2E54 2E60-2E61 3002 A4FF A60E-A60F A6F3 A6F7 A876-A877 "
+    "A8CE-A8CF A92F A9C8-A9C9 AA5D-AA5F AAF0-AAF1 ABEB FE12 FE15-FE16 FE52 FE56-FE57 FF01 FF0E FF1F FF61 "
+    "10A56-10A57 10F55-10F59 10F86-10F89 11047-11048 110BE-110C1 11141-11143 111C5-111C6 111CD 111DE-111DF "
+    "11238-11239 1123B-1123C 112A9 113D4-113D5 1144B-1144C 115C2-115C3 115C9-115D7 11641-11642 1173C-1173E "
+    "11944 11946 11A42-11A43 11A9B-11A9C 11C41-11C42 11EF7-11EF8 11F43-11F44 16A6E-16A6F 16AF5 16B37-16B38 "
+    "16B44 16D6E-16D6F 16E98 1BC9F 1DA88")
+SENTENCE_END = "[" + "".join("-".join(f"\\x{{{c}}}" for c in x.split("-")) for x in SENTENCE_ENDS.split()) + "]"
 BOILERPLATE = (
     "all rights reserved|cookie|privacy policy|terms of (use|service)|subscribe|newsletter|sign (in|up)|log ?in|"
     "click here|read more|share (this|on)|follow us|powered by|javascript|advertisement|copyright|"
@@ -79,7 +90,7 @@ def _line_fails(line: Column, n: Column, r: LineRules) -> Column:
                 | (100 * _count_of(line, SHOUTS) > r.shout_percent * n + 100)
                 | (100 * _count_of(line, SEPARATORS) > r.nav_percent * n)))
             | ((n >= r.caps_min_words) & (F.upper(line) == line) & (F.lower(line) != line))
-            | ((n >= r.open_end_words) & ~line.rlike("[.!?…。]"))
+            | ((n >= r.open_end_words) & ~line.rlike("[.!?…。]") & ~line.rlike(SENTENCE_END))  # the common ones first: cheap
             | ((n <= r.boilerplate_words) & F.lower(line).rlike(BOILERPLATE)))
 
 

@@ -171,6 +171,16 @@ def test_quality_rules(spark, edges, clashing, no_docs):
     assert quality_rules.judge(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("end", [*".!?…。", "।", "॥", "۔", "؟", "！", "？", "｡", "．", "።", "။", "។", "։", "᠃", "꘎", "\U00011047"])
+def test_long_lines_end_in_any_script(spark, end):
+    """One-line paragraphs of 70 words: with a sentence end they stay, without they go."""
+    words = long_text(70, seed=9)
+    rows = [(1, words + end), (2, words), (3, words + "،;:" + "-")]
+    got = {r.doc_id: r.quality for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_failed_lines, got[1].kept, got[1].cleaned) == (0, True, words + end)
+    assert [(got[i].n_failed_lines, got[i].kept) for i in (2, 3)] == [(1, False)] * 2
+
+
 # ------------------------------------------------------------- 6 url filters
 def test_urls(spark):
     page = lambda *links: "".join(f'<p><a class=x href="{x}">t</a>' for x in links)
