@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, html_extract, licences, quality_model, quality_rules, sharding, simhash, suffix_dedup, url_filters
+from . import (bpe, decontamination, html_extract, licences, packing, quality_model, quality_rules, sharding, simhash,
+               suffix_dedup, url_filters)
 from .common import read_table
 
 #: The rules of the URL query.
@@ -104,6 +105,14 @@ def op10_bpe(spark, sf_dir):
                         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_packing(spark, sf_dir):
+    """Sequence and offset of every piece of every document."""
+    import public_tokenizers
+
+    pieces = packing.token_pieces(_texts(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licence_scan, op2_decontamination, op3_sharding, op4_quality_classifier, op5_quality_rules, op6_url_filters,
-    op7_html_extraction, op8_suffix_dedup, op9_simhash, op10_bpe)}
+    op7_html_extraction, op8_suffix_dedup, op9_simhash, op10_bpe, op13_packing)}
