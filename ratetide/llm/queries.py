@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontamination, html_extract, licences, packing, quality_model, quality_rules, sharding, simhash,
-               suffix_dedup, url_filters)
-from .common import read_table
+from . import (bpe, decontamination, html_extract, licences, packing, periodic_runs, quality_model, quality_rules,
+               sharding, simhash, suffix_dedup, url_filters)
+from .common import let, read_table, words_of
 
 #: The rules of the URL query.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
@@ -105,6 +105,36 @@ def op10_bpe(spark, sf_dir):
                         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with a periodic tail in each tenth document, as the contract has it."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def tail(words):
+        n = F.size(words)
+        a = (g % n).cast("int")
+        return let(F.struct(a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).cast("int").alias("p")), lambda x: F.array_join(
+            F.transform(words, lambda w, i: F.when(i < x.a, w).otherwise(F.get(words, x.a + F.pmod(i - x.a, x.p)))), " "))
+
+    words = words_of(F.col("text"), "[\\x20\\x09-\\x0D]+")
+    planted = let(words, lambda w: F.when(F.size(w) > 0, tail(w)))
+    return docs.withColumn("text", F.when(h % 10 == 0, planted).otherwise(F.col("text")))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """Number, strongest and digests of the periodic runs of every document."""
+    found = periodic_runs.periodic_runs(_planted(_texts(spark, sf_dir)))
+    runs = F.col("periodic.runs")
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate(runs, none, lambda b, r: F.when(b.isNull() | (r.length * b.period > b.length * r.period), r).otherwise(b))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    found = found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("best"),
+                         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                         F.sha2(F.col("periodic.collapsed"), 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op13_packing(spark, sf_dir):
     """Sequence and offset of every piece of every document."""
     import public_tokenizers
@@ -115,4 +145,5 @@ def op13_packing(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_licence_scan, op2_decontamination, op3_sharding, op4_quality_classifier, op5_quality_rules, op6_url_filters,
-    op7_html_extraction, op8_suffix_dedup, op9_simhash, op10_bpe, op13_packing)}
+    op7_html_extraction, op8_suffix_dedup, op9_simhash, op10_bpe, op12_periodic_runs,
+    op13_packing)}
