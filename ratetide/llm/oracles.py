@@ -170,10 +170,35 @@ SELECT doc_id, len(docs.h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
        sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
 FROM docs LEFT JOIN spans USING (r) LEFT JOIN kept USING (r)"""
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, w[i:i + k - 1] AS p, k FROM places, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(w)),
+counts AS (SELECT lang, p, k, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+frequent AS (SELECT * FROM counts WHERE f >= 10),
+cuts AS (
+  SELECT c.lang, c.p, c.k, c.f AS a, l.f AS l, r.f AS r, cut,
+         CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM frequent c, (VALUES (1), (2)) AS at(cut), frequent l, frequent r
+  WHERE cut < c.k AND l.lang = c.lang AND l.p = c.p[:cut] AND r.lang = c.lang AND r.p = c.p[cut + 1:]),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+inside AS (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, f FROM frequent WHERE k = 3),
+longer AS (SELECT lang, p, max(f) AS f FROM inside GROUP BY ALL),
+kept AS (SELECT s.lang, array_to_string(s.p, ' ') AS phrase, a, l, r, score FROM scored s
+         LEFT JOIN longer g ON g.lang = s.lang AND g.p = s.p WHERE g.f IS NULL OR 100 * g.f < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_licence_scan": licence_scan(),
     "op2_decontamination": DECONTAMINATION,
     "op5_quality_rules": QUALITY_RULES,
     "op6_url_filters": url_filters(),
     "op8_suffix_dedup": SUFFIX_DEDUP,
+    "op11_phrases": PHRASES,
 }

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontamination, html_extract, licences, packing, periodic_runs, quality_model, quality_rules,
-               sharding, simhash, suffix_dedup, url_filters)
+from . import (bpe, decontamination, html_extract, licences, packing, periodic_runs, phrases, quality_model,
+               quality_rules, sharding, simhash, suffix_dedup, url_filters)
 from .common import let, read_table, words_of
 
 #: The rules of the URL query.
@@ -105,6 +105,12 @@ def op10_bpe(spark, sf_dir):
                         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_phrases(spark, sf_dir):
+    """The best collocations of two and three words of each language."""
+    docs = read_table(spark, sf_dir, "documents").select("lang", "text")
+    return phrases.collocations(docs).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def _planted(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) with a periodic tail in each tenth document, as the contract has it."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -145,5 +151,5 @@ def op13_packing(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_licence_scan, op2_decontamination, op3_sharding, op4_quality_classifier, op5_quality_rules, op6_url_filters,
-    op7_html_extraction, op8_suffix_dedup, op9_simhash, op10_bpe, op12_periodic_runs,
+    op7_html_extraction, op8_suffix_dedup, op9_simhash, op10_bpe, op11_phrases, op12_periodic_runs,
     op13_packing)}
