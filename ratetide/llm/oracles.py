@@ -184,7 +184,7 @@ frequent AS (SELECT * FROM counts WHERE f >= 10),
 cuts AS (
   SELECT c.lang, c.p, c.k, c.f AS a, l.f AS l, r.f AS r, cut,
          CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
-  FROM frequent c, (VALUES (1), (2)) AS at(cut), frequent l, frequent r
+  FROM frequent c, (VALUES (1), (2)) AS cuts_at(cut), frequent l, frequent r
   WHERE cut < c.k AND l.lang = c.lang AND l.p = c.p[:cut] AND r.lang = c.lang AND r.p = c.p[cut + 1:]),
 scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
 inside AS (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, f FROM frequent WHERE k = 3),
