@@ -175,7 +175,7 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
 places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
 grams AS (SELECT lang, w[i:i + k - 1] AS p, k FROM places, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(w)),
 counts AS (SELECT lang, p, k, count(*) AS f FROM grams GROUP BY ALL),
