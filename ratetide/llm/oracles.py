@@ -176,21 +176,28 @@ WITH pieces AS (
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
 words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
-places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
-grams AS (SELECT lang, w[i:i + k - 1] AS p, k FROM places, (VALUES (1), (2), (3)) AS sizes(k) WHERE i + k - 1 <= len(w)),
-counts AS (SELECT lang, p, k, count(*) AS f FROM grams GROUP BY ALL),
-totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
-frequent AS (SELECT * FROM counts WHERE f >= 10),
+places AS (SELECT lang, unnest(w) AS a, unnest(w[2:]) AS b, unnest(w[3:]) AS c FROM words),
+one AS (SELECT lang, a, count(*) AS f FROM places WHERE a IS NOT NULL GROUP BY ALL),
+two AS (SELECT lang, a, b, count(*) AS f FROM places WHERE b IS NOT NULL GROUP BY ALL),
+three AS (SELECT lang, a, b, c, count(*) AS f FROM places WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang),
 cuts AS (
-  SELECT c.lang, c.p, c.k, c.f AS a, l.f AS l, r.f AS r, cut,
-         CAST(1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f) AS BIGINT) AS score
-  FROM frequent c, (VALUES (1), (2)) AS cuts_at(cut), frequent l, frequent r
-  WHERE cut < c.k AND l.lang = c.lang AND l.p = c.p[:cut] AND r.lang = c.lang AND r.p = c.p[cut + 1:]),
-scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
-inside AS (SELECT lang, unnest([p[1:2], p[2:3]]) AS p, f FROM frequent WHERE k = 3),
-longer AS (SELECT lang, p, max(f) AS f FROM inside GROUP BY ALL),
-kept AS (SELECT s.lang, array_to_string(s.p, ' ') AS phrase, a, l, r, score FROM scored s
-         LEFT JOIN longer g ON g.lang = s.lang AND g.p = s.p WHERE g.f IS NULL OR 100 * g.f < 50 * a),
+  SELECT t.lang, t.a || ' ' || t.b AS phrase, 1 AS cut, t.f AS a, l.f AS l, r.f AS r
+  FROM two t JOIN one l ON l.lang = t.lang AND l.a = t.a JOIN one r ON r.lang = t.lang AND r.a = t.b
+  WHERE t.f >= 10
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, 1, t.f, l.f, r.f
+  FROM three t JOIN one l ON l.lang = t.lang AND l.a = t.a JOIN two r ON r.lang = t.lang AND r.a = t.b AND r.b = t.c
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, 2, t.f, l.f, r.f
+  FROM three t JOIN two l ON l.lang = t.lang AND l.a = t.a AND l.b = t.b JOIN one r ON r.lang = t.lang AND r.a = t.c),
+scored AS (SELECT *, CAST(1000000::HUGEINT * a * a // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts
+           QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (SELECT lang, phrase, max(f) AS f
+           FROM (SELECT lang, a || ' ' || b AS phrase, f FROM three UNION ALL SELECT lang, b || ' ' || c, f FROM three)
+           GROUP BY ALL),
+kept AS (SELECT s.* FROM scored s LEFT JOIN longer g ON g.lang = s.lang AND g.phrase = s.phrase
+         WHERE g.f IS NULL OR 100 * g.f < 50 * s.a),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
 
