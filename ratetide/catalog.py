@@ -796,28 +796,60 @@ def q_dag_scheduled_run(spark, sf_dir):
     return spark.read.parquet(res.paths["rate_change_events"])
 
 
+def _landed_batches(spark, tx: DataFrame, name: str, batches: list[DataFrame]):
+    """Land the batches one by one as run_date folders; yields all landed rows after each."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    root, schema = scratch_path(spark, name), StructType([*tx.schema.fields, StructField("run_date", StringType())])
+    for i, batch in enumerate(batches):
+        batch.write.parquet(f"{root}/run_date=2024-{i + 1:02d}-28")
+        yield spark.read.schema(schema).parquet(root)
+
+
+def _three_batches(tx: DataFrame) -> list[DataFrame]:
+    """Batches that add up to ``tx``: the first lacks a seventh of the ids and dates
+    from 2000 on, and its later deletions are still active; the second lands all
+    rows, old-dated ones too, a fifth of the ids as deletions of the same date;
+    the third withdraws those."""
+    number = F.col("transaction_id").cast("bigint")
+    status = F.col("record_status")
+    early = (F.left("transaction_date", F.lit(10)) < "2000-01-01") & (number % 7 != 0)
+    return [tx.filter(early).withColumn("record_status", F.when(status == "D", "A").otherwise(status)),
+            tx.withColumn("record_status", F.when(number % 5 == 0, "D").otherwise(status)),
+            tx.filter(number % 5 == 0)]
+
+
 @register("dag_incremental_run")
 def q_dag_incremental_run(spark, sf_dir):
-    """A full run over a first batch, then an incremental one over both: the
-    staged table equals a full restage.  The first batch lacks a seventh of the
-    ids and dates from 2000 on, and its later deletions are still active, so
-    the second lands old-dated rows and deletions of the same date."""
+    """Staging after three landed batches, each run reading its own run_date
+    folders only: the staged table equals a full restage."""
     from .plans.runner import run_pipeline
 
     g = _g(spark, sf_dir)
     out = scratch_path(spark, "dag_incremental")
     tx = g.raw["transactions"]
-    first = (tx.filter((F.left("transaction_date", F.lit(10)) < "2000-01-01")
-                       & (F.col("transaction_id").cast("bigint") % 7 != 0))
-             .withColumn("record_status", F.when(F.col("record_status") == "D", "A").otherwise(F.col("record_status")))
-             .withColumn("run_date", F.lit("2024-01-31")))
-    both = first.unionByName(tx.withColumn("run_date", F.lit("2024-02-29")))
-    for tx in (first, both):
-        run_pipeline(spark, g.raw | {"transactions": tx}, out, targets=["stg_transactions"],
+    for landed in _landed_batches(spark, tx, "landed_versions", _three_batches(tx)):
+        run_pipeline(spark, g.raw | {"transactions": landed}, out, targets=["stg_transactions"],
                      county_map=g.county_map, on_failure="warn")
     return spark.read.parquet(f"{out}/stg_transactions").drop("transaction_month")
 
 
+@register("marts_change_driven")
+def q_marts_change_driven(spark, sf_dir):
+    """The lag mart after three batches of transactions, refreshed for changed
+    months only; the streamed rates of odd months are revised with the last."""
+    from .plans.runner import run_pipeline
+
+    g = _g(spark, sf_dir)
+    out = scratch_path(spark, "dag_changed")
+    tx, events = g.raw["transactions"], g.raw["rate_events"]
+    old = events.withColumn("new_rate", F.when(F.month("effective_date") % 2 == 1, F.col("new_rate") + 1).otherwise(F.col("new_rate")))
+    for i, landed in enumerate(_landed_batches(spark, tx, "landed_changes", _three_batches(tx))):
+        run_pipeline(spark, g.raw | {"transactions": landed, "rate_events": events if i == 2 else old}, out,
+                     targets=["rate_lag_analysis"], county_map=g.county_map, on_failure="warn", change_driven=True)
+    return r6(spark.read.parquet(f"{out}/rate_lag_analysis"), "avg_price")
+
+
 @register("dq_gate")
 def q_dq_gate(spark, sf_dir):
     """The gate's view of two landed batches: checks of the newest one."""

@@ -50,7 +50,7 @@ def rate_context(months: DataFrame, month_col: str, reconciled: DataFrame,
 
 
 def rate_lag_analysis(monthly: DataFrame, reconciled: DataFrame,
-                      lags: Sequence[int] = (1, 2, 3, 6)) -> DataFrame:
+                      lags: Sequence[int] = (1, 2, 3, 6), months: DataFrame | None = None) -> DataFrame:
     """Monthly aggregates with the rate at the month and at 1/2/3/6 calendar
     months before it, and the changes over those spans.  The context table is
     month-grain (bounded by the calendar) and joined once.  Both sides are
@@ -60,8 +60,9 @@ def rate_lag_analysis(monthly: DataFrame, reconciled: DataFrame,
 
     ``monthly`` is read twice (rows and distinct months): pass the written
     mart (``ModelGraph.monthly_table``, the runner's table), not a lazy plan
-    over the facts, or the fact-side work runs twice."""
-    ctx = rate_context(monthly, "month", reconciled, lags)
+    over the facts, or the fact-side work runs twice.  ``months`` (column
+    month) gives all months of the mart where ``monthly`` holds some only."""
+    ctx = rate_context(monthly if months is None else months, "month", reconciled, lags)
     joined = monthly.join(ctx, "month", "left")
     lag_cols = [F.col(f"rate_lag_{n}m") for n in lags]
     change_cols = [(F.col("base_rate") - F.col(f"rate_lag_{n}m")).alias(f"rate_change_{n}m")

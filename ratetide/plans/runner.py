@@ -22,7 +22,9 @@ from ..quality.checks import DataQualityError, evaluate, newest_partition
 from ..quality.suites import RAW_GATES, SUITES
 from ..sinks.writers import drop_partitions, has_data, materialize, write_partitioned
 from . import enrich, marts, rates, staging
+from .changed import MartRefresh, PendingMonths
 from .incremental import run_monthly_incremental
+from .ledger import RUN_DATE, load_versions
 
 # model -> upstream models / raw inputs
 DAG: dict[str, tuple[str, ...]] = {
@@ -83,7 +85,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
                  raw_suites: dict | None = None, check: bool = True,
                  lags=(1, 2, 3, 6), min_months: int = 12,
                  incremental: bool = True, overlap_months: int = 1,
-                 on_failure: str = "raise", reuse_tables: bool = False) -> PipelineResult:
+                 on_failure: str = "raise", reuse_tables: bool = False,
+                 change_driven: bool = False) -> PipelineResult:
     """Build ``targets`` (default: all models) and their upstream models.
 
     ``raw``: DataFrames for ``transactions``, ``rates``, ``rate_events``,
@@ -94,7 +97,10 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     result instead of raising.  ``incremental``, where a table of earlier runs
     exists, rewrites changed months only when staging, and upserts the monthly
     mart from ``overlap_months`` before its newest month.  ``transactions``
-    always holds all landed rows: staged ones that it lacks go.  ``reuse_tables`` reads
+    always holds all landed rows; with a ``run_date`` column it grows by later
+    run dates only, without one staged rows that it lacks go.  ``change_driven``
+    rebuilds the marts for the months that changed, of any age, instead of the
+    cutoff's (see ``changed.MartRefresh``).  ``reuse_tables`` reads
     tables upstream of the targets as earlier runs left them (a scheduled load
     of one source).  Returns the written table paths and check results.
     """
@@ -106,6 +112,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
         raise ValueError(f"raw inputs missing: {', '.join(missing)}")
     res = PipelineResult()
     frames: dict[str, DataFrame] = {}
+    pending = PendingMonths(spark, out_root)  # staged anew, not yet in the marts
+    refresh = None
 
     def checked(name: str, df: DataFrame, suite) -> DataFrame:
         if check and suite:
@@ -137,7 +145,7 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
             frames[m] = staged(path) if m == "stg_transactions" else spark.read.parquet(path)
             continue
         if m == "stg_transactions":
-            stage_transactions(spark, raw["transactions"], path, county_map, incremental)
+            stage_transactions(spark, raw["transactions"], path, county_map, incremental, pending.add)
             frames[m] = staged(path)
         elif m == "stg_rates":
             frames[m] = staging.stg_rates(raw["rates"])
@@ -152,7 +160,10 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
                 continue
             frames[m] = enriched(None)
         elif m == "monthly_transactions_by_region":
-            if incremental:
+            if change_driven:
+                refresh = MartRefresh(spark, out_root, frames["int_rates_reconciled"], frames["stg_yields"], lags)
+                refresh.monthly(pending.months())
+            elif incremental:
                 run_monthly_incremental(spark, enriched, path, overlap_months)
             else:
                 write_partitioned(marts.monthly_transactions_by_region(enriched(None)), path,
@@ -161,6 +172,12 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
         elif m == "rate_change_events":
             rates.rate_change_events(frames["int_rates_reconciled"]).write.mode("overwrite").parquet(path)
             frames[m] = spark.read.parquet(path)
+        elif m == "rate_lag_analysis" and refresh:
+            refresh.lag()
+            pending.clear()
+            frames[m] = spark.read.parquet(path)
+        elif m == "regional_sensitivity" and refresh and not refresh.lag_months and has_data(spark, path):
+            frames[m] = spark.read.parquet(path)
         elif m == "rate_lag_analysis":
             write_partitioned(marts.rate_lag_analysis(frames["monthly_transactions_by_region"],
                                                       frames["int_rates_reconciled"], lags), path, "month", ["region"])
@@ -175,18 +192,25 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
 
 
 def stage_transactions(spark: SparkSession, raw: DataFrame, path: str, county_map=None,
-                       incremental: bool = True) -> None:
-    """Write the staged transactions, partitioned by month.  ``raw`` holds all
-    landed rows.  Where the table exists and ``incremental`` is set, all of
-    ``raw`` is staged again (the reference's staging is a view over all of
-    raw: rows of any date may land late) and compared with the table row by
-    row; only months in which a row came, changed or went are rewritten."""
+                       incremental: bool = True, note=None) -> list | None:
+    """Write the staged transactions, partitioned by month; returns the months
+    that were rewritten (``None``: all).
+
+    Raw rows with a ``run_date`` go through the version ledger
+    (``ledger.load_versions``): only later run dates than before are read.
+    Without one nothing tells new rows from old: all of ``raw`` is staged again,
+    compared with the table row by row, and only months in which a row came,
+    changed or went are rewritten."""
+    if RUN_DATE in raw.columns:
+        return load_versions(spark, raw, path, county_map, incremental, note)
+    note = note or (lambda months: None)
     month, cluster = "transaction_month", ["region", "property_type"]
     staged = staging.stg_transactions(raw, county_map=county_map)
     fresh = staged.withColumn(month, month_start("transaction_date"))
     if not incremental or not has_data(spark, path):
+        note(None)
         write_partitioned(fresh, path, month, cluster, split_cols=["transaction_id"])
-        return
+        return None
     old = spark.read.parquet(path).select(*fresh.columns)
     # ids are unique on both sides: 1 is a new row, -1 a row that went or changed
     sides = fresh.withColumn("_side", F.lit(1)).unionByName(old.withColumn("_side", F.lit(-1)))
@@ -199,5 +223,8 @@ def stage_transactions(spark: SparkSession, raw: DataFrame, path: str, county_ma
     rows = materialize(kept.unionByName(changed.filter("_side > 0").drop("_side")), "stg_rows")
     # months that were rewritten to nothing: one value per month of the table
     gone = months.join(rows.select(month).distinct(), month, "left_anti").collect()
+    touched = sorted(r[0] for r in months.collect())
+    note(touched)
     write_partitioned(rows, path, month, cluster, split_cols=["transaction_id"], dynamic=True)
     drop_partitions(spark, path, month, [r[0] for r in gone])
+    return touched

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import normalize_key, parse_txn_date
@@ -30,10 +32,25 @@ def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSA
     """
     if since is not None:
         raw = raw.filter(F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(str(since)))
+    return stage_versions(newest_versions(raw), county_map, min_date, strict_dates)
+
+
+def newest_versions(raw: DataFrame, last: Sequence[Column] = ()) -> DataFrame:
+    """The newest raw row per transaction, deletions included: by date, then
+    ingestion columns, then every other column, then ``last`` (whose columns
+    are no part of the version)."""
     order = ["transaction_date"] + [c for c in ("run_date", "loaded_at") if c in raw.columns]
-    deduped = dedup_latest(raw, ["transaction_id"], order)
-    kept = deduped.filter((F.col("record_status") == "A")
-                          & (F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(min_date)))
+    if not last:
+        return dedup_latest(raw, ["transaction_id"], order)
+    rest = [c for c in raw.columns if c not in {"transaction_id", *order} and not c.startswith("_")]
+    return dedup_latest(raw, ["transaction_id"], [*order, *rest, *last], tie_break=[])
+
+
+def stage_versions(versions: DataFrame, county_map=None, min_date: str = MIN_TRANSACTION_DATE,
+                   strict_dates: bool = True) -> DataFrame:
+    """Staged rows of the newest versions: active ones from ``min_date`` on."""
+    kept = versions.filter((F.col("record_status") == "A")
+                           & (F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(min_date)))
     mapping = county_lookup() if county_map is None else county_map
     bucketed = bucket_dimension(kept, "county", mapping, "broad_region")
     return bucketed.select(
