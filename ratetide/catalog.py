@@ -871,3 +871,35 @@ def q_win_lead_intervals(spark, sf_dir):
     return step_intervals(rec, "effective_month", order=["effective_date"],
                           end_col="next_change_month").select(
         "effective_date", "effective_month", "base_rate", "next_change_month")
+
+
+# ------------------------------------------------- one long series, by ranges
+def _events(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+@register("win_lag_ranged")
+def q_win_lag_ranged(spark, sf_dir):
+    """Events whose type differs from that of the event before, over all events in
+    order of time: the change filter on a series of any length."""
+    from .operators.ranges import OrderedRanges
+
+    events = _events(spark, sf_dir).select("ts", "event_id", "event_type")
+    found = OrderedRanges(events, ["ts", "event_id"]).lag("event_type", "previous_type")
+    return found.filter(F.col("previous_type").isNull() | (F.col("previous_type") != F.col("event_type")))
+
+
+@register("win_lead_ranged")
+def q_win_lead_ranged(spark, sf_dir):
+    """Validity of each event up to the next one, the last open-ended."""
+    from .operators.asof import step_intervals
+
+    return step_intervals(_events(spark, sf_dir).select("ts", "event_id"), "ts", ["event_id"], "next_ts", ranges=0)
+
+
+@register("asof_ranged")
+def q_asof_ranged(spark, sf_dir):
+    """The value of the latest view at or before each moment of a purchase."""
+    events = _events(spark, sf_dir)
+    return asof_lookup(events.filter("event_type = 'purchase'"), "ts", events.filter("event_type = 'view'"), "ts", "value",
+                       order=["event_id"], ranges=0)
