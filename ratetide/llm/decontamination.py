@@ -4,12 +4,12 @@ A test item is looked for by its windows of ``window`` consecutive words (an
 item with fewer words is one window).  Both sides keep the smallest hash of
 ``gram`` words in every run of ``window - gram + 1`` of them, so each shared
 window has a fingerprint in common.  Fingerprints are joined, and each match is
-extended along its diagonal, word by word: hashes only propose, equal words
-decide.  Items shorter than a window are proposed by the hash of all their
-words instead; documents hash as many words at every place for those lengths
-only that occur.  A bitmap of fixed size marks the documents with a match, so
-that other texts are not shuffled; where it fills up, more texts are, and the
-results are the same.
+extended to all windows that the two texts share, in one pass over each: hashes
+only propose, equal words decide.  Items shorter than a window are proposed by
+the hash of all their words instead; documents hash as many words at every place
+for those lengths only that occur.  A bitmap of 16 bits for each document with a
+match, ``BITMAP`` bits at most, keeps other texts from being shuffled; where it
+is too small, more texts are, and the results are the same.
 
 Words are maximal runs outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z
 are lower-cased.  A null text has no words, an item without words no window.
@@ -27,7 +27,8 @@ from .common import free_name, let, lower_ascii, quoted, words_of, written
 
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 WINDOW, GRAM = 13, 6
-BITMAP = 1 << 25  # bits of the candidate filter: 4 MB at most, whatever the corpus
+BITMAP = 1 << 28   # bits of the candidate filter, at most: 32 MB
+BUCKETS = 4096     # buckets that an item's places are dealt to, at most
 
 
 def item_words(text: Column) -> Column:
@@ -63,29 +64,36 @@ def _fingerprints(words: Column, window: int, gram: int, short: list[int]) -> Co
                     *(_tagged(k, F.array_distinct(_grams(words, k))) for k in short))
 
 
-def _hit_positions(words: Column, candidate: Column, window: int, gram: int, short: list[int]) -> Column:
-    """Positions of ``words`` in occurrences of the candidate item's windows."""
-    item, length = candidate.item_words, F.least(F.lit(window), F.size(candidate.item_words))
+def _hit_flags(words: Column, grams: Column, item: Column, k: int) -> Column:
+    """For each run of ``k`` words (``grams``: their hashes), whether ``item`` has it.
 
-    def diagonals(k):
-        """Offsets of the item in the document by fingerprints of ``k`` words."""
-        mine = F.filter(candidate.prints, lambda p: p.k == k)
-        places = lambda doc_grams, own: F.flatten(F.transform(mine, lambda p: F.flatten(F.transform(
-            F.filter(F.transform(doc_grams, lambda g, i: F.when(g == p.h, i)), lambda i: i.isNotNull()),
-            lambda i: F.transform(F.filter(F.transform(own, lambda g, j: F.when(g == p.h, j)), lambda j: j.isNotNull()),
-                                  lambda j: i - j)))))
-        return F.when(F.size(mine) == 0, F.array().cast("array<int>")).otherwise(
-            let(_grams(words, k), lambda dg: let(_grams(item, k), lambda og: places(dg, og))))
+    Linear in both texts: hashes that both have are found by a set operation,
+    the item's places with such a hash are dealt to buckets, and a place of the
+    document looks at its bucket only.  Equal words decide."""
+    def flags(own):
+        shared = F.array_intersect(grams, F.transform(own, lambda e: e.h))
+        return let(shared, lambda both: F.when(F.size(both) > 0, let(
+            F.filter(own, lambda e: F.array_contains(both, e.h)), lambda kept: let(
+                F.least(F.size(both), F.lit(BUCKETS)), lambda n: let(
+                    F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.filter(kept, lambda e: F.pmod(e.h, n) == b)),
+                    lambda buckets: F.transform(grams, lambda h, i: F.exists(
+                        F.get(buckets, F.pmod(h, n).cast("int")),
+                        lambda e: (e.h == h) & (F.slice(item, e.j + 1, F.lit(k)) == F.slice(words, i + 1, F.lit(k))))))))))
 
-    def hits(offset):
-        same = F.transform(item, lambda w, j: F.when(offset + j >= 0, F.get(words, offset + j) == w))
-        starts = lambda eq: F.filter(F.sequence(F.lit(0), F.size(item) - length), lambda s: F.forall(
-            F.slice(eq, s + 1, length), lambda e: F.coalesce(e, F.lit(False))))
-        return F.flatten(F.transform(let(same, starts),
-                                     lambda s: F.sequence(offset + s, offset + s + length - 1)))
+    return let(F.transform(_grams(item, k), lambda h, j: F.struct(h.alias("h"), j.alias("j"))), flags)
 
-    offsets = F.array_distinct(F.concat(*(diagonals(k) for k in sorted({gram, *short}))))
-    return F.array_distinct(F.flatten(F.transform(offsets, hits)))
+
+def _hit_positions(words: Column, grams: dict[int, Column], item: Column, window: int) -> Column:
+    """Positions of ``words`` in occurrences of the item's windows, ascending."""
+    def covered(k):
+        return lambda flags: F.when(F.array_contains(flags, True), F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(
+            F.slice(flags, F.greatest(i - (k - 2), F.lit(1)), F.least(F.lit(k), i + 1)), True)))
+
+    out = F.array().cast("array<int>")
+    for k, hashes in grams.items():
+        fits = F.size(item) >= window if k == window else F.size(item) == k
+        out = F.when(fits, let(_hit_flags(words, hashes, item, k), covered(k))).otherwise(out)
+    return F.coalesce(out, F.array().cast("array<int>"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -94,7 +102,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """``docs`` with a struct column ``out`` (underscores are appended while the
     name is taken): n_words, positions (hit words, from 0, ascending) and items
     (the ids of items with occurring windows, as sorted strings)."""
-    out, key, found, w = (free_name(docs, x) for x in (out, "text_key", "candidates", "words"))
+    out, key, doc_key, found = (free_name(docs, x) for x in (out, "text_key", "doc_key", "candidates"))
     classes = (items.select(quoted(item_id_col).cast("string").alias("item_id"), item_words(quoted(item_text_col)).alias("item_words"))
                .where(F.size("item_words") > 0)
                .groupBy("item_words").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
@@ -108,17 +116,18 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     item_prints = classes.select("class", F.inline(own))
 
     keyed = docs.withColumn(key, F.xxhash64(quoted(id_col), quoted(text_col)))
-    doc_prints = keyed.select(quoted(key).alias("doc_key"), F.inline(
+    doc_prints = keyed.select(quoted(key).alias(doc_key), F.inline(
         let(item_words(quoted(text_col)), lambda x: _fingerprints(x, window, gram, short))))
-    pairs = (doc_prints.join(item_prints, ["k", "h"])
-             .groupBy("doc_key", "class").agg(F.collect_set(F.struct("k", "h")).alias("prints")))
+    pairs = doc_prints.join(item_prints, ["k", "h"]).select(doc_key, "class").distinct()
     candidates = (pairs.join(classes, "class")
-                  .groupBy("doc_key").agg(F.collect_list(F.struct("item_words", "item_ids", "prints")).alias(found)))
+                  .groupBy(doc_key).agg(F.collect_list(F.struct("item_words", "item_ids")).alias(found)))
     candidates = written(candidates, "decontam-candidates")
 
     def judged(words):
-        per_item = F.transform(quoted(found), lambda c: F.struct(
-            c.item_ids.alias("ids"), _hit_positions(words, c, window, gram, short).alias("at")))
+        sizes = sorted({window, *short})
+        per_item = let(F.struct(*(_grams(words, k).alias(f"g{k}") for k in sizes)), lambda g: F.transform(
+            quoted(found), lambda c: F.struct(c.item_ids.alias("ids"), _hit_positions(
+                words, {k: g[f"g{k}"] for k in sizes}, c.item_words, window).alias("at"))))
         empty = F.array().cast("array<int>")
         return let(F.when(quoted(found).isNotNull(), F.filter(per_item, lambda c: F.size(c.at) > 0)), lambda hits: F.struct(
             F.size(words).cast("long").alias("n_words"),
@@ -127,20 +136,21 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                        F.array().cast("array<string>")).alias("items")))
 
     # only texts that may have a candidate are shuffled to it
-    place, slot, bits, maybe = (free_name(docs, x) for x in ("place", "bitmap_slot", "bitmap", "maybe"))
-    marked = keyed.withColumn(place, F.pmod(quoted(key), F.lit(BITMAP)) + 1).withColumn(slot, F.bitmap_bucket_number(quoted(place)))
-    marked = marked.join(F.broadcast(_bitmap(candidates, slot, bits)), slot, "left")  # BITMAP bits at most
-    marked = marked.withColumn(maybe, _bit(quoted(bits), F.bitmap_bit_position(quoted(place))))
+    bits = min(BITMAP, max(1 << 15, 1 << (16 * candidates.count()).bit_length()))
+    place, slot, bitmap, maybe = (free_name(docs, x) for x in ("place", "bitmap_slot", "bitmap", "maybe"))
+    marked = keyed.withColumn(place, F.pmod(quoted(key), F.lit(bits)) + 1).withColumn(slot, F.bitmap_bucket_number(quoted(place)))
+    marked = marked.join(F.broadcast(_bitmap(candidates, doc_key, bits, slot, bitmap)), slot, "left")
+    marked = marked.withColumn(maybe, _bit(quoted(bitmap), F.bitmap_bit_position(quoted(place))))
     plain = marked.where(~quoted(maybe)).withColumn(found, F.lit(None).cast(candidates.schema[found].dataType))
-    likely = marked.where(quoted(maybe)).join(candidates.hint("shuffle_hash"), F.col("doc_key") == quoted(key), "left")
+    likely = marked.where(quoted(maybe)).join(candidates.hint("shuffle_hash"), quoted(doc_key) == quoted(key), "left")
     columns = [quoted(c) for c in (*docs.columns, found)]
     joined = plain.select(*columns).unionAll(likely.select(*columns))
     return joined.select(*(quoted(c) for c in docs.columns), let(item_words(quoted(text_col)), judged).alias(out))
 
 
-def _bitmap(candidates: DataFrame, slot: str, bits: str) -> DataFrame:
-    """Which places of a fixed number of bits the candidate documents take."""
-    place = candidates.select((F.pmod("doc_key", F.lit(BITMAP)) + 1).alias("place"))
+def _bitmap(candidates: DataFrame, doc_key: str, size: int, slot: str, bits: str) -> DataFrame:
+    """Which of ``size`` places the candidate documents take."""
+    place = candidates.select((F.pmod(quoted(doc_key), F.lit(size)) + 1).alias("place"))
     return place.groupBy(F.bitmap_bucket_number("place").alias(slot)).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias(bits))
 
