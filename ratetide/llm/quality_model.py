@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -136,7 +137,9 @@ def word_vectors(docs: DataFrame, text_col: str, s: Settings) -> np.ndarray:
                     for k in range(s.spikes):
                         total += np.bincount(x * s.dims + place[y, k], weights=sign[y, k], minlength=len(total))
         rows = np.array_split(total, _PARTS)
-        salt = int(np.random.default_rng().integers(_SALT))  # spreads the sums; any split adds up to the same
+        # spreads the sums; the same in each attempt of a task, so that parts computed
+        # again after an executor is lost go where they went before
+        salt = TaskContext.get().partitionId() % _SALT
         yield pa.record_batch({"part": pa.array(range(_PARTS), pa.int32()), "salt": pa.array([salt] * _PARTS, pa.int32()),
                                "sums": pa.array([r.tobytes() for r in rows], pa.binary())})
 
@@ -230,6 +233,21 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
+def chosen_labels(labels: DataFrame, id_col: str, label_col: str, s: Settings) -> DataFrame:
+    """(label_id, label): at most ``max_rows`` ids that are fitted on.  An id with
+    several labels counts once, with the smallest.  Where there are more ids, a cut
+    through their hashes lets some ``max_rows`` through, on each partition alike,
+    and those of the smallest hashes stay."""
+    ids = (labels.select(quoted(id_col).alias("label_id"), quoted(label_col).cast("int").alias("label"))
+           .where(F.col("label").isNotNull() & F.col("label_id").isNotNull() & ~held_out(F.col("label_id")))
+           .groupBy("label_id").agg(F.min("label").alias("label")))
+    total, hashed = ids.count(), F.xxhash64("label_id")
+    if total > s.max_rows:
+        spare = s.max_rows + 8 * int(s.max_rows ** 0.5)  # the cut is random: a few more than are taken
+        ids = ids.where(hashed < int(-(1 << 63) + (1 << 64) * min(1.0, spare / total)) - 1)
+    return ids.orderBy(hashed, "label_id").limit(s.max_rows)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality", settings: Settings | None = None) -> DataFrame:
     """(id, score) of every document: the calibrated probability of label 1.
@@ -237,11 +255,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     s = settings or Settings()
     vectors = word_vectors(docs, text_col, s)
     pools = written(pooled(docs, vectors, id_col, text_col, s), "quality-vectors")
-    chosen = (labels.select(quoted(id_col).alias("label_id"), quoted(label_col).cast("int").alias("label"))
-              .where(F.col("label").isNotNull() & F.col("label_id").isNotNull() & ~held_out(F.col("label_id")))
-              .orderBy(F.xxhash64("label_id"), "label_id", "label").limit(s.max_rows))
-    rows = (pools.join(chosen, F.col("id") == F.col("label_id"))
-            .select("id", "label", "vector").limit(2 * s.max_rows).toPandas())
+    chosen = written(chosen_labels(labels, id_col, label_col, s), "quality-labels")
+    rows = (pools.join(F.broadcast(chosen), F.col("id") == F.col("label_id"))  # max_rows ids
+            .groupBy("id", "label").agg(F.min("vector").alias("vector")).toPandas())
     rows = rows.sort_values(["id", "label"], kind="stable")
     network = None
     if len(rows):
