@@ -23,7 +23,8 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sinks.writers import _fs, drop_partitions, has_data, write_partitioned
+from ..sinks.publish import publish_partitions
+from ..sinks.writers import _fs, has_data, write_partitioned
 from . import enrich, marts
 from .rates import rate_for_month
 
@@ -132,8 +133,8 @@ class MartRefresh:
 
     def _rebuild(self, path: str, months: set[dt.date], source: set[dt.date], build) -> None:
         """Replace the given months of the table; those that the source lost go."""
-        if fill := sorted(months & source):
-            write_partitioned(build(fill), path, "month", CLUSTER, dynamic=has_data(self.spark, path))
-        elif not has_data(self.spark, path):
-            write_partitioned(build([]), path, "month", CLUSTER)
-        drop_partitions(self.spark, path, "month", sorted(months - source))
+        fill = sorted(months & source)
+        if not has_data(self.spark, path):
+            write_partitioned(build(fill), path, "month", CLUSTER)
+        elif months:
+            publish_partitions(self.spark, build(fill), path, "month", CLUSTER, drop=sorted(months))

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks.publish import recover
 from ..sinks.writers import has_data, merge_upsert
 from .marts import MONTHLY_COLUMNS, monthly_transactions_by_region
 
@@ -19,6 +20,7 @@ def incremental_cutoff(spark: SparkSession, target_path: str, month_col: str = "
     literal (so the downstream filter prunes statically).  ``None`` when the
     target is missing or holds no rows, which means a full load (the reference's
     NULL cutoff would load nothing)."""
+    recover(spark, target_path)
     if not has_data(spark, target_path):
         return None
     row = (spark.read.parquet(target_path)

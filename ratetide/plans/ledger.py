@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import month_start
 from ..operators.prefilter import semi_join_few
-from ..sinks.writers import _fs, drop_partitions, has_data, materialize, write_partitioned
+from ..sinks.publish import publish_partitions, recover
+from ..sinks.writers import _fs, has_data, materialize, write_partitioned
 from . import staging
 
 RUN_DATE = "run_date"
@@ -88,6 +89,7 @@ def load_versions(spark: SparkSession, raw: DataFrame, path: str, county_map=Non
     what hangs on them can be remembered should this load or a later step be lost.
     """
     note = note or (lambda months: None)
+    recover(spark, path)
     month, cluster = "transaction_month", ["region", "property_type"]
     ledger = VersionLedger(spark, f"{path}__versions")
 
@@ -124,10 +126,7 @@ def load_versions(spark: SparkSession, raw: DataFrame, path: str, county_map=Non
         note(touched)
         old = spark.read.parquet(path).filter(F.col(month).isin(touched)).select(*fresh.columns)
         kept = old.join(ids, F.col(ledger.key).eqNullSafe(F.col("_changed")), "left_anti")
-        rows = materialize(kept.unionByName(fresh), "stg_rows")
-        full = {r[0] for r in rows.select(month).distinct().collect()}
-        write_partitioned(rows, path, month, cluster, split_cols=["transaction_id"], dynamic=True)
-        drop_partitions(spark, path, month, [m for m in touched if m not in full])
+        publish_partitions(spark, kept.unionByName(fresh), path, month, cluster, ["transaction_id"], drop=touched)
     through = _newest_run_date(unread)
     if through is not None:
         ledger.commit(changed, through)

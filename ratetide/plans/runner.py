@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import month_start
 from ..quality.checks import DataQualityError, evaluate, newest_partition
 from ..quality.suites import RAW_GATES, SUITES
-from ..sinks.writers import drop_partitions, has_data, materialize, write_partitioned
+from ..sinks.publish import publish_partitions, recover
+from ..sinks.writers import has_data, materialize, write_partitioned
 from . import enrich, marts, rates, staging
 from .changed import MartRefresh, PendingMonths
 from .incremental import run_monthly_incremental
@@ -105,6 +106,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     of one source).  Returns the written table paths and check results.
     """
     out_root = out_root.rstrip("/")
+    for table in TABLES:  # what a lost run left half-published
+        recover(spark, f"{out_root}/{table}")
     targets = list(targets) if targets else list(DAG)
     have = {m for m in TABLES - set(targets) if reuse_tables and has_data(spark, f"{out_root}/{m}")}
     needed = raw_inputs(targets, have)
@@ -220,11 +223,8 @@ def stage_transactions(spark: SparkSession, raw: DataFrame, path: str, county_ma
     stale = changed.filter("_side < 0").select(F.col("transaction_id").alias("_stale"))
     kept = (old.join(months, month, "left_semi")
             .join(stale, F.col("transaction_id").eqNullSafe(F.col("_stale")), "left_anti"))
-    rows = materialize(kept.unionByName(changed.filter("_side > 0").drop("_side")), "stg_rows")
-    # months that were rewritten to nothing: one value per month of the table
-    gone = months.join(rows.select(month).distinct(), month, "left_anti").collect()
-    touched = sorted(r[0] for r in months.collect())
+    rows = kept.unionByName(changed.filter("_side > 0").drop("_side"))
+    touched = sorted(r[0] for r in months.collect())  # bounded by the calendar
     note(touched)
-    write_partitioned(rows, path, month, cluster, split_cols=["transaction_id"], dynamic=True)
-    drop_partitions(spark, path, month, [r[0] for r in gone])
+    publish_partitions(spark, rows, path, month, cluster, ["transaction_id"], drop=touched)
     return touched

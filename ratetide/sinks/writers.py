@@ -122,46 +122,24 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
-def drop_partitions(spark: SparkSession, path: str, partition_col: str, values) -> None:
-    """Delete partition folders by value."""
-    for v in values:
-        fs, p = _fs(spark, f"{path.rstrip('/')}/{partition_col}={v}")
-        fs.delete(p, True)
-
-
-def replace_table(spark: SparkSession, df: DataFrame, path: str, partition_col: str,
-                  cluster_cols: Sequence[str] = ()) -> None:
-    """Write the whole table beside ``path``, then swap the folders: the old
-    table stays whole (as ``<path>.old-...``) until the new one stands."""
-    import uuid
-
-    tag = uuid.uuid4().hex[:8]
-    fs, target = _fs(spark, path)
-    new, old = (_fs(spark, f"{path.rstrip('/')}.{w}-{tag}")[1] for w in ("new", "old"))
-    write_partitioned(df, new.toString(), partition_col, cluster_cols)
-    if not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(new, target):
-        fs.rename(old, target)
-        raise OSError(f"cannot move the new table to {path}")
-    fs.delete(old, True)
-
-
 def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys: Sequence[str],
                  partition_col: str = "month", replace_partitions: bool = False,
                  cluster_cols: Sequence[str] = (), since=None) -> None:
     """Upsert ``delta`` into the Parquet table at ``target_path`` partitioned
     by ``partition_col``.
 
-    Only partitions present in ``delta`` are read and rewritten (dynamic
-    partition overwrite); every other partition is untouched.  The merged
-    rows of the touched partitions are first written to a staging table in
-    the shared checkpoint folder, so the overwrite never reads the files it
-    replaces and a lost executor re-reads the staged files.  ``replace_partitions``
-    drops old keys of touched partitions instead of keeping them.  ``since``
-    (a literal lower bound of the delta's partitions) adds static partition
-    pruning of the target scan.
+    Only partitions present in ``delta`` are read and rewritten; every other
+    partition is untouched.  The merged rows of the touched partitions are
+    written once, beside the table, and then moved into it: a driver lost in
+    between leaves the old rows or the new ones (``publish``), and a lost
+    executor reads files that still stand.  ``replace_partitions`` drops old keys
+    of touched partitions instead of keeping them.  ``since`` (a literal lower
+    bound of the delta's partitions) adds static partition pruning of the target
+    scan.
     """
+    from .publish import publish_partitions, publish_table, recover
+
+    recover(spark, target_path)
     if not has_data(spark, target_path):
         write_partitioned(delta, target_path, partition_col, cluster_cols)
         return
@@ -169,10 +147,9 @@ def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys:
     # keys, union): write it once so its upstream plan runs once
     delta = materialize(delta, "upsert_delta_in")
     if _columns(spark.read.parquet(target_path), partition_col) != _columns(delta, partition_col):
-        # columns or types changed: every partition must carry the new schema,
-        # so the whole table is written anew beside the old one and swapped in
+        # columns or types changed: every partition must carry the new schema
         merged = upsert_rows(spark.read.parquet(target_path), delta, keys)
-        replace_table(spark, merged, target_path, partition_col, cluster_cols)
+        publish_table(spark, merged, target_path, partition_col, cluster_cols)
         return
     if replace_partitions:
         merged = delta
@@ -184,5 +161,5 @@ def merge_upsert(spark: SparkSession, target_path: str, delta: DataFrame, keys:
         # null-safe: rows without a partition value are rewritten with theirs
         touched = delta.select(F.col(partition_col).alias("_touched")).distinct()
         old = existing.join(touched, F.col(partition_col).eqNullSafe(F.col("_touched")), "left_semi")
-        merged = materialize(upsert_rows(old, delta, keys), "upsert_delta")
-    write_partitioned(merged, target_path, partition_col, cluster_cols, dynamic=True)
+        merged = upsert_rows(old, delta, keys)
+    publish_partitions(spark, merged, target_path, partition_col, cluster_cols)

@@ -98,7 +98,7 @@ def test_a_lost_load_is_done_again(spark, tmp_dir, monkeypatch, step):
             raise RuntimeError("lost")
 
         if step == "write":
-            m.setattr(ledger, "write_partitioned", lost)
+            m.setattr(ledger, "publish_partitions", lost)
         else:
             m.setattr(ledger.VersionLedger, "commit", lost)
         with pytest.raises(RuntimeError):
