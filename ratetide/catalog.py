@@ -544,6 +544,21 @@ def q_dq_no_future_dates(spark, sf_dir):
              .select("transaction_id", "transaction_date"))
 
 
+@register("dq_quarantine")
+def q_dq_quarantine(spark, sf_dir):
+    """Raw transactions split into good and bad rows, bad ones with all checks they
+    fail.  Tolerated shares and warnings send no row away."""
+    from .quality.quarantine import FAILED, split_rows
+
+    good, bad = split_rows(bindings.raw_table(spark, sf_dir, "transactions"), [
+        Q.NotNull("county"), Q.AcceptedRange("price", 20_000, 200_000), Q.InSet("record_status", ("A", "D")),
+        Q.Unique("transaction_id"), Q.NoRowsWhere("transaction_date", "transaction_date > '1998-06-30'", "not_later"),
+        Q.Between("price", 50_000, 100_000, mostly=0.9), Q.Unique("paon", severity="warn")])
+    cols = ["transaction_id", "transaction_date", "price", "record_status", "county"]
+    return (bad.select(*cols, F.lit("bad").alias("verdict"), F.array_join(FAILED, ",").alias(FAILED))
+            .unionByName(good.select(*cols, F.lit("good").alias("verdict"), F.lit("").alias(FAILED))))
+
+
 # ----------------------------------------------------------------- streaming
 from .streaming import changes as SC  # noqa: E402
 from .streaming import events as SE  # noqa: E402
@@ -903,3 +918,30 @@ def q_asof_ranged(spark, sf_dir):
     events = _events(spark, sf_dir)
     return asof_lookup(events.filter("event_type = 'purchase'"), "ts", events.filter("event_type = 'view'"), "ts", "value",
                        order=["event_id"], ranges=0)
+
+
+# ------------------------------------------------------------ mergeable medians
+@register("agg_sketch_median")
+def q_agg_sketch_median(spark, sf_dir):
+    """Median prices per broad region and property type out of stored monthly
+    sketches: history, then a refresh of the later months, then a roll-up of
+    sketches.  The rank of each median is then counted in the facts."""
+    from .operators.sketch import rank_error
+    from .plans.sketches import median_prices, refresh_price_sketches
+
+    path, keys = scratch_path(spark, "price_sketches"), ["broad_region", "property_type"]
+    facts = writers.materialize(_g(spark, sf_dir).stg_transactions.select(
+        month_start("transaction_date").alias("transaction_month"), "region", *keys, "price"), "sketch_facts")
+    month = F.col("transaction_month")
+    refresh_price_sketches(spark, path, facts.filter((month < F.lit("2000-01-01").cast("date")) & (F.col("price") % 3 != 0)))
+    refresh_price_sketches(spark, path, facts.filter(month >= F.lit("1997-06-01").cast("date")))
+    refresh_price_sketches(spark, path, facts.filter(month < F.lit("1997-06-01").cast("date")))
+    medians = writers.materialize(median_prices(spark, path, keys), "sketch_medians")
+    on = [medians[k].eqNullSafe(facts[k]) for k in keys]
+    count = lambda c: F.count(F.when(c, 1))
+    ranks = (facts.join(medians, on).groupBy(*[medians[k] for k in keys], "transaction_count", "median_price")
+             .agg(F.count("price").alias("rows"), count(facts.price < F.col("median_price")).alias("below"),
+                  count(facts.price <= F.col("median_price")).alias("up_to")))
+    slack = F.col("rows") * F.lit(rank_error()) + 1
+    return ranks.select(*keys, "transaction_count", (
+        (F.col("below") <= F.col("rows") / 2 + slack) & (F.col("up_to") >= F.col("rows") / 2 - slack)).alias("within_bound"))

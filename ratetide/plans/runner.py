@@ -13,19 +13,21 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import month_start
-from ..quality.checks import DataQualityError, evaluate, newest_partition
+from ..quality.checks import DataQualityError, Unique, evaluate, newest_partition
+from ..quality.quarantine import sends_away, split_rows
 from ..quality.suites import RAW_GATES, SUITES
 from ..sinks.publish import publish_partitions, recover
 from ..sinks.writers import has_data, materialize, write_partitioned
 from . import enrich, marts, rates, staging
 from .changed import MartRefresh, PendingMonths
 from .incremental import run_monthly_incremental
-from .ledger import RUN_DATE, load_versions
+from .ledger import RUN_DATE, VersionLedger, load_versions
 
 # model -> upstream models / raw inputs
 DAG: dict[str, tuple[str, ...]] = {
@@ -79,6 +81,7 @@ def closure(targets: Iterable[str] | None, have: Iterable[str] = ()) -> list[str
 class PipelineResult:
     paths: dict[str, str] = field(default_factory=dict)
     checks: dict[str, list] = field(default_factory=dict)
+    quarantined: dict[str, str] = field(default_factory=dict)  # raw input or model -> table of its bad rows
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
@@ -95,7 +98,12 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     landed batch of each gated raw input (``raw_suites``, default
     ``RAW_GATES``) is validated before staging and every model, view or table,
     after it is built.  ``on_failure='warn'`` records failed checks in the
-    result instead of raising.  ``incremental``, where a table of earlier runs
+    result instead of raising.  ``on_failure='quarantine'`` sets bad rows of the
+    gated raw inputs and of staging and intermediate models aside, with the checks
+    they fail, below ``quarantine/``; models downstream read the good rows.  What
+    no row can be blamed for (counts, columns, shares) and bad rows of marts still
+    raise.  Raw rows are judged one by one there: uniqueness of a raw input raises.
+    ``incremental``, where a table of earlier runs
     exists, rewrites changed months only when staging, and upserts the monthly
     mart from ``overlap_months`` before its newest month.  ``transactions``
     always holds all landed rows; with a ``run_date`` column it grows by later
@@ -111,6 +119,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     targets = list(targets) if targets else list(DAG)
     have = {m for m in TABLES - set(targets) if reuse_tables and has_data(spark, f"{out_root}/{m}")}
     needed = raw_inputs(targets, have)
+    if on_failure not in ("raise", "warn", "quarantine"):
+        raise ValueError(f"unknown on_failure: {on_failure}")
     if missing := [n for n in needed if n not in raw]:
         raise ValueError(f"raw inputs missing: {', '.join(missing)}")
     res = PipelineResult()
@@ -118,25 +128,50 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     pending = PendingMonths(spark, out_root)  # staged anew, not yet in the marts
     refresh = None
 
-    def checked(name: str, df: DataFrame, suite) -> DataFrame:
-        if check and suite:
-            res.checks[name], errors = evaluate(df, suite)
-            if errors and on_failure == "raise":
-                raise DataQualityError(errors)
-        return df
+    def checked(name: str, df: DataFrame, suite, spared=()) -> list:
+        """The checks of ``spared`` (which may be set aside) that failed."""
+        if not (check and suite):
+            return []
+        res.checks[name], errors = evaluate(df, suite)
+        if on_failure == "quarantine":
+            failed = [c for c, r in zip(suite, res.checks[name]) if c in spared and not r["success"]]
+            errors = [r for c, r in zip(suite, res.checks[name])
+                      if not r["success"] and c.severity != "warn" and c not in spared]
+        if errors and on_failure != "warn":
+            raise DataQualityError(errors)
+        return failed if on_failure == "quarantine" else []
 
+    def set_aside(name: str, bad: DataFrame, load: str = "all") -> None:
+        # one folder a load: a lost run that is done again writes its own anew
+        res.quarantined[name] = f"{out_root}/quarantine/{name}"
+        bad.write.mode("overwrite").parquet(f"{res.quarantined[name]}/load={quote(load, safe='')}")
+
+    raw = dict(raw)
     for name, suite in (RAW_GATES if raw_suites is None else raw_suites).items():
         if name in needed:
             landed = raw[name]
+            single = [c for c in suite if sends_away(c) and not isinstance(c, Unique)]
             if "run_date" in landed.columns:  # validate the newest landed batch only
                 landed = newest_partition(landed, "run_date")
-            checked(f"raw_{name}", landed, suite)
+            checked(f"raw_{name}", landed, suite, single)
+            if check and on_failure == "quarantine" and single:
+                unread, load = raw[name], "all"
+                if name == "transactions" and RUN_DATE in unread.columns and incremental:
+                    # staging reads later run dates only; so does this
+                    ledger = VersionLedger(spark, f"{out_root}/stg_transactions__versions")
+                    unread, load = ledger.unread(unread), ledger.mark() or "first"
+                set_aside(f"raw_{name}", split_rows(unread, single)[1], load)
+                raw[name] = split_rows(raw[name], single)[0]
 
     def staged(path: str) -> DataFrame:
         return spark.read.parquet(path).drop("transaction_month")
 
+    clean: dict[str, list] = {}  # model -> failed checks whose rows are set aside
+
     def enriched(since):
         t = spark.read.parquet(f"{out_root}/stg_transactions")
+        if clean.get("stg_transactions"):
+            t = split_rows(t, clean["stg_transactions"])[0]
         if since is not None:  # partition pruning on the staged table
             t = t.filter(F.col("transaction_month") >= F.lit(since))
         return enrich.int_transactions_with_rates(
@@ -188,7 +223,12 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
         elif m == "regional_sensitivity":
             marts.regional_sensitivity(frames["rate_lag_analysis"], min_months).write.mode("overwrite").parquet(path)
             frames[m] = spark.read.parquet(path)
-        checked(m, frames[m], SUITES.get(m))
+        suite = SUITES.get(m, ())
+        spared = [c for c in suite if sends_away(c)] if m.startswith(("stg_", "int_")) else []
+        if failed := checked(m, frames[m], suite, spared):
+            clean[m] = failed
+            frames[m], bad = split_rows(frames[m], failed)
+            set_aside(m, bad)
         if m in TABLES:
             res.paths[m] = path
     return res

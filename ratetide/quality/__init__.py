@@ -3,3 +3,4 @@ from .checks import (  # noqa: F401
     RowCountBetween, RowsPerFile, Unique, evaluate, gate, newest_partition, run_checks,
 )
 from .suites import SUITES  # noqa: F401
+from .quarantine import mark_rows, split_rows  # noqa: F401
