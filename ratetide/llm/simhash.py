@@ -9,6 +9,13 @@ every leaf that the triangle bound can't exclude (|d(x, v) - radius| within
 gives a spanning forest of its links, which joins the same components as all
 the links; components are then contracted in Spark.
 
+The upper tree has a bounded number of leaves.  A leaf in which own times visiting
+fingerprints are too many for one task is split again in Spark, one level of the
+tree a round: the vantage point is the own fingerprint with the smallest hash, the
+radius the median distance to it.  Where a split hardly shrinks a leaf (a dense
+ball, in which the bound excludes nothing) its own points are compared with all its
+points in blocks, a task for each pair of blocks.
+
 Equal texts and equal fingerprints are one node, so copies are never paired.
 A null or empty text has no words and the fingerprint zero, linked like any
 other.  Rows with a null id get a component too, but never name it; a component
@@ -17,6 +24,8 @@ of such rows only has a null name.
 
 from __future__ import annotations
 
+import functools
+import math
 from itertools import repeat
 
 import numpy as np
@@ -28,9 +37,11 @@ from pyspark.sql import functions as F
 
 from .common import free_name, quoted, written
 
-SAMPLE = 1 << 16     # fingerprints that the upper tree is fitted on, at most
+SAMPLE = 1 << 16     # fingerprints that the upper tree is fitted on, about
 LEAF = 2048          # fingerprints in a leaf of the upper tree, about
 BLOCK = 1 << 22      # distances computed at once
+WORK = 1 << 32       # distances of a leaf, at most; leaves with more are split again
+STUCK = 0.9          # a split that leaves so large a share in a half is the last
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -148,11 +159,58 @@ def leaf_links(points: np.ndarray, home: np.ndarray, reach: int) -> tuple[np.nda
     return points[linked], points[parent[linked]]
 
 
-def link_forest(prints: DataFrame, max_bits: int, sample: int = SAMPLE, leaf: int = LEAF) -> DataFrame:
+def _split_leaves(routed: DataFrame, reach: int, work: int) -> DataFrame:
+    """``routed`` (leaf, fingerprint, home) with every leaf of more than ``work``
+    distances split again, by further levels of the tree or into pairs of blocks;
+    leaves have new names.  Each pair of an own and a visiting point within
+    ``reach`` still meets in a leaf."""
+    side = max(1, math.isqrt(work))
+    todo = routed.select(F.col("leaf").cast("string").alias("leaf"), "fingerprint", "home", F.lit(None).cast("long").alias("parent_n"))
+    done = []
+    while True:
+        todo = written(todo, "simhash-routed")
+        sizes = todo.groupBy("leaf").agg(
+            F.count("*").alias("n"), F.count_if("home").alias("own"), F.first("parent_n", True).alias("parent_n"),
+            F.min_by("fingerprint", F.when(F.col("home"), F.xxhash64("fingerprint"))).alias("point"))
+        large = written(sizes.where(F.col("own") * F.col("n") > work), "simhash-large")
+        if large.isEmpty():
+            done.append(todo.select("leaf", "fingerprint", "home"))
+            break
+        done.append(todo.join(large.select("leaf"), "leaf", "left_anti").select("leaf", "fingerprint", "home"))
+        stuck = F.coalesce(F.col("n") >= STUCK * F.col("parent_n"), F.lit(False))
+
+        blocks = F.ceil(F.col("n") / side).cast("int")
+        block, of = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+        dense = todo.drop("parent_n").join(large.where(stuck).select("leaf", blocks.alias("blocks")), "leaf").withColumn("block", block)
+        name = lambda own, other: F.concat_ws("-", "leaf", own, other)
+        meets = [dense.where("home").select("fingerprint", F.explode(of).alias("with"), "leaf", "block")
+                 .select(name("block", "with").alias("leaf"), "fingerprint", F.lit(True).alias("home")),
+                 dense.select("fingerprint", F.explode(of).alias("with"), "leaf", "block", "home")
+                 .where("NOT (home AND with = block)")  # an own point is in its own block already
+                 .select(name("with", "block").alias("leaf"), "fingerprint", F.lit(False).alias("home"))]
+        done += meets
+
+        far = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("point")))
+        apart = (todo.drop("parent_n").join(large.where(~stuck).select("leaf", "point", "n"), "leaf")
+                 .withColumn("far", far).drop("point"))
+        radius = apart.where("home").groupBy("leaf").agg(F.percentile_approx("far", 0.5).alias("radius"))
+        near = F.col("far") <= F.col("radius")
+        half = lambda side, home: F.struct(F.concat("leaf", F.lit(side)).alias("leaf"), (F.col("home") & home).alias("home"))
+        halves = F.array_compact(F.array(F.when(F.col("far") - reach <= F.col("radius"), half("i", near)),
+                                         F.when(F.col("far") + reach > F.col("radius"), half("o", ~near))))
+        todo = (apart.join(radius, "leaf").select("fingerprint", "n", F.explode(halves).alias("half"))
+                .select("half.leaf", "fingerprint", "half.home", F.col("n").alias("parent_n")))
+    return functools.reduce(DataFrame.unionByName, done)
+
+
+def link_forest(prints: DataFrame, max_bits: int, sample: int = SAMPLE, leaf: int = LEAF, work: int = WORK) -> DataFrame:
     """Links (a, b) that join the same components as all pairs of the distinct
     ``fingerprint`` values within ``max_bits`` bits."""
     total = prints.count()
-    fitted = prints.orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).toPandas()["fingerprint"]
+    chosen = prints
+    if total > sample:  # by hash, so that no task has to sort or gather more than the sample
+        chosen = prints.where(F.shiftrightunsigned(F.xxhash64("fingerprint"), 1) < F.lit((sample << 63) // total))
+    fitted = chosen.select("fingerprint").toPandas()["fingerprint"].sort_values()
     tree = VPTree(fitted.to_numpy(np.int64).view(np.uint64),
                   min(-(-total // leaf), max(1, len(fitted) // 16)))
 
@@ -168,8 +226,8 @@ def link_forest(prints: DataFrame, max_bits: int, sample: int = SAMPLE, leaf: in
                           table.column("home").to_numpy(), max_bits)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
-    return (prints.select("fingerprint").mapInArrow(route, "leaf int, fingerprint long, home boolean")
-            .groupBy("leaf").applyInArrow(links, "a long, b long"))
+    routed = prints.select("fingerprint").mapInArrow(route, "leaf int, fingerprint long, home boolean")
+    return _split_leaves(routed, max_bits, work).groupBy("leaf").applyInArrow(links, "a long, b long")
 
 
 # ------------------------------------------------------------- components
