@@ -9,7 +9,8 @@ row lies can be computed from its number alone.
 Numbers come from hash buckets: rows are counted per bucket, the buckets'
 offsets are summed, and rows are ordered inside their bucket.  Rows that agree
 in all key columns are one row with a count until the end, so repeated rows
-never meet in one task.  Nulls are ordinary key values; rows that agree in all
+never meet in one task; the numbers of a row with many copies are made in
+chunks that are dealt over tasks.  Nulls are ordinary key values; rows that agree in all
 key columns are interchangeable.
 """
 
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import free_name, let, quoted, written
 
 ROUNDS = 6
+CHUNK = 1 << 16       # copies of a row numbered by one task at once
+BUCKET_ROWS = 1 << 20  # distinct rows of a bucket, about
 WALKS = 64  # a walk beyond n ends at once with probability 1 - 1/sqrt(n); 64 in a row don't occur
 
 
@@ -60,24 +63,40 @@ def permute(number: Column, n: int, seed: int) -> Column:
                lambda p: F.when(p < n, p).otherwise(F.raise_error(F.lit("cycle walking did not end"))))
 
 
-def shard(rows: DataFrame, keys: list[str], shards: int = 8, seed: int = 42, buckets: int = 1024) -> DataFrame:
-    """``rows`` (the columns of ``keys`` only) with shard and slot.  The same
-    rows, ``seed`` and ``buckets`` give the same shuffle in any session."""
+def _copies(rows: DataFrame, columns: list[Column], number: str, copies: str) -> DataFrame:
+    """A row for each copy, numbered from ``number`` on."""
+    first, last = quoted(number), quoted(number) + quoted(copies) - 1
+    few = rows.where(quoted(copies) <= CHUNK).select(*columns, F.explode(F.sequence(first, last)).alias(number))
+    chunk, end = free_name(rows, "chunk"), free_name(rows, "end")
+    chunks = (rows.where(quoted(copies) > CHUNK)
+              .select(*columns, F.explode(F.sequence(first, last, F.lit(CHUNK).cast("long"))).alias(chunk), last.alias(end))
+              .repartition(quoted(chunk)))
+    many = chunks.select(*columns, F.explode(F.sequence(quoted(chunk), F.least(quoted(chunk) + CHUNK - 1, quoted(end)))).alias(number))
+    return few.unionByName(many)
+
+
+def shard(rows: DataFrame, keys: list[str], shards: int = 8, seed: int = 42, buckets: int | None = None) -> DataFrame:
+    """``rows`` (the columns of ``keys`` only) with shard and slot (underscores are
+    appended to a name that a key has).  The same rows, ``seed`` and ``buckets``
+    give the same shuffle in any session; by default there are 1,024 buckets, and
+    twice as many each time the distinct rows outgrow them."""
     if shards < 1:
         raise ValueError("shards must be 1 or more")
-    copies, bucket, first, number = (free_name(rows, x) for x in ("copies", "bucket", "first", "number"))
+    copies, bucket, first, number, shard_col, slot_col = (
+        free_name(rows, x) for x in ("copies", "bucket", "first", "number", "shard", "slot"))
     columns = [quoted(k) for k in keys]
-    distinct = rows.groupBy(*columns).agg(F.count("*").alias(copies)).withColumn(
-        bucket, F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(buckets)).cast("int"))
-    distinct = written(distinct, "shard-rows")
+    distinct = written(rows.groupBy(*columns).agg(F.count("*").alias(copies)), "shard-rows")
+    if buckets is None:
+        buckets = max(1024, 1 << (distinct.count() // BUCKET_ROWS).bit_length())
+    distinct = distinct.withColumn(bucket, F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(buckets)).cast("int"))
     sizes = distinct.groupBy(bucket).agg(F.sum(copies).alias("rows"))
     n = sizes.agg(F.sum("rows")).first()[0] or 0
     offsets = sizes.select(quoted(bucket), (F.sum("rows").over(Window.orderBy(bucket)) - F.col("rows")).alias(first))
     inside = Window.partitionBy(bucket).orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = (distinct.withColumn(number, F.sum(copies).over(inside) - quoted(copies))
-                .join(F.broadcast(offsets), bucket)  # as many rows as buckets
-                .select(*columns, (quoted(first) + quoted(number)).alias(number), quoted(copies))
-                .select(*columns, (F.explode(F.sequence(quoted(number), quoted(number) + quoted(copies) - 1))).alias(number)))
+    counted = (distinct.withColumn(number, F.sum(copies).over(inside) - quoted(copies))
+               .join(offsets, bucket)  # as many rows as buckets
+               .select(*columns, (quoted(first) + quoted(number)).alias(number), quoted(copies)))
+    numbered = _copies(counted, columns, number, copies)
     placed = numbered.withColumn(number, permute(quoted(number), n, seed))
-    return placed.select(*columns, F.pmod(quoted(number), F.lit(shards)).cast("int").alias("shard"),
-                         _div(quoted(number), shards).alias("slot"))
+    return placed.select(*columns, F.pmod(quoted(number), F.lit(shards)).cast("int").alias(shard_col),
+                         _div(quoted(number), shards).alias(slot_col))

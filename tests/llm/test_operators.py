@@ -123,6 +123,27 @@ def test_sharding(spark, edges, no_docs):
         sharding.shard(rows, ["doc_id"], 0)
 
 
+def test_sharding_of_many_copies_and_key_names(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK", 64)
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 4)
+    rows = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("shard"), F.lit("x").alias("Slot"))
+    got = sharding.shard(rows, ["shard", "Slot"], 4)
+    assert got.columns == ["shard", "Slot", "shard_", "slot_"]
+    got = got.collect()
+    assert Counter(r[0] for r in got) == Counter(r[0] for r in rows.collect())
+    assert sorted(r[3] * 4 + r[2] for r in got) == list(range(9000))
+    again = sharding.shard(rows.repartition(7), ["shard", "Slot"], 4).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+
+
+def test_sharding_of_one_row_many_times(spark):
+    """The copies of a row are never one array."""
+    n = 1_600_000
+    got = sharding.shard(spark.range(n).select(F.lit(1).alias("k")), ["k"], 8)
+    assert [tuple(r) for r in got.groupBy("shard").agg(F.count("*"), F.max("slot")).orderBy("shard").collect()] == [
+        (s, n // 8, n // 8 - 1) for s in range(8)]
+
+
 def test_sharding_query(spark):
     got = queries.op3_sharding(spark, SF).collect()
     docs = {r.doc_id: r.text for r in table(spark, "documents").collect()}
@@ -443,9 +464,11 @@ def test_simhash(spark, edges, source):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("leaf", [4, 50, 5000])
-def test_links_join_all_near_pairs(spark, leaf):
-    """A dense cluster, a chain and random points, in trees of several depths."""
+@pytest.mark.parametrize("leaf,work,sample", [(4, simhash.WORK, simhash.SAMPLE), (50, simhash.WORK, 100), (5000, simhash.WORK, 1 << 16),
+                                              (5000, 4000, 1 << 16), (100, 900, 60)])
+def test_links_join_all_near_pairs(spark, leaf, work, sample):
+    """A dense cluster, a chain and random points, in trees of several depths; with
+    little work allowed in a leaf, leaves are split again and then compared in blocks."""
     rng = np.random.default_rng(8)
     centre = int(rng.integers(1 << 62))
     points = {centre ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(c)) for a, b, c in rng.integers(0, 63, (150, 3))}
@@ -456,12 +479,32 @@ def test_links_join_all_near_pairs(spark, leaf):
     points |= {int(x) for x in rng.integers(0, 1 << 62, 400)}
     points = sorted(points)
     df = spark.createDataFrame([(p,) for p in points], "fingerprint long").repartition(4)
-    found = {r.node: r.component for r in simhash.components(simhash.link_forest(df, 2, leaf=leaf)).collect()}
+    found = {r.node: r.component for r in simhash.components(simhash.link_forest(df, 2, sample, leaf, work)).collect()}
     groups = brute.components(points)
     sets = lambda label: {frozenset(p for p, x in zip(points, label, strict=True) if x == y) for y in set(label)}
     assert sets([found.get(p, p) for p in points]) == sets(groups)
 
 
+def test_split_leaves_are_small_and_lose_no_pair(spark):
+    rng = np.random.default_rng(3)
+    centre = int(rng.integers(1 << 62))
+    ball = sorted({centre ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 30, (400, 2))})
+    points = ball + [int(x) for x in rng.integers(0, 1 << 62, 200)]
+    visits = [(0, p, i % 5 > 0) for i, p in enumerate(points)] + [(1, p, i % 5 == 0) for i, p in enumerate(points)]
+    routed = spark.createDataFrame(visits, "leaf int, fingerprint long, home boolean").repartition(3)
+    work = 1600
+    leaves = defaultdict(list)
+    for r in simhash._split_leaves(routed, 2, work).collect():
+        leaves[r.leaf].append((r.fingerprint, r.home))
+    assert any("-" in name for name in leaves) and any("i" in name or "o" in name for name in leaves)
+    # pairs of blocks are even by hash only
+    assert max(sum(h for _, h in x) * len(x) for n, x in leaves.items() if "-" not in n) <= work
+    assert max(sum(h for _, h in x) * len(x) for n, x in leaves.items() if "-" in n) <= 6 * work
+    met = {(a, b) for x in leaves.values() for a, home in x if home for b, _ in x}
+    near = {(a, b) for a in points for b in points if bin(a ^ b).count("1") <= 2}
+    assert near <= met
+
+
 def test_keep_one(spark, edges, clashing):
     kept = simhash.keep_one(clashing)
     assert kept.columns == clashing.columns
