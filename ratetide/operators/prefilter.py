@@ -3,18 +3,16 @@ the large table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 32768    # bits of one bitmap row
 MAX_BITS = 1 << 28     # 32 MB in all
 
 
-def mark_few(df: DataFrame, keys: DataFrame, key: str, out: str = "_likely", max_bits: int = MAX_BITS) -> DataFrame:
-    """``df`` with a flag ``out``: false where ``key`` is surely not in ``keys``.
-
-    A bitmap with 16 bits per key, up to ``max_bits``, is broadcast; nothing of
-    ``df`` is shuffled.  ``keys`` is read twice: pass a written table."""
+def _with_bitmap(df: DataFrame, keys: DataFrame, key: str, max_bits: int, how: str) -> tuple[DataFrame, Column]:
+    """``df`` joined with a broadcast bitmap of 16 bits per key, up to ``max_bits``,
+    and the condition that a row's bit is set."""
     n = max(1, keys.count())
     bits = min(max_bits, max(BUCKET_BITS, 1 << (16 * n).bit_length()))
     place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
@@ -24,18 +22,26 @@ def mark_few(df: DataFrame, keys: DataFrame, key: str, out: str = "_likely", max
     marked = df.withColumn("_bucket", F.bitmap_bucket_number(place)).withColumn("_bit", F.bitmap_bit_position(place))
     byte = F.conv(F.hex(F.substring("_bits", (F.shiftright("_bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     bit = F.call_function("getbit", byte, F.pmod("_bit", F.lit(8)).cast("int"))
-    return (marked.join(F.broadcast(bitmap), "_bucket", "left")
-            .select(*df.columns, F.coalesce(bit == 1, F.lit(False)).alias(out)))
+    return marked.join(F.broadcast(bitmap), "_bucket", how), bit == 1
+
+
+def mark_few(df: DataFrame, keys: DataFrame, key: str, out: str = "_likely", max_bits: int = MAX_BITS) -> DataFrame:
+    """``df`` with a flag ``out``: false where ``key`` is surely not in ``keys``.
+    Nothing of ``df`` is shuffled.  ``keys`` is read twice: pass a written table."""
+    marked, likely = _with_bitmap(df, keys, key, max_bits, "left")
+    return marked.select(*df.columns, F.coalesce(likely, F.lit(False)).alias(out))
 
 
 def semi_join_few(df: DataFrame, keys: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows of ``df`` whose ``key`` (null-safe) is in ``keys``.
 
-    A bitmap (``mark_few``) drops nearly all other rows where they are read, so the
-    exact join that follows shuffles the likely ones only.  Where the bitmap is too
-    small for the keys more rows are shuffled; the result is the same.  ``keys`` is
-    read several times: pass a written table."""
-    likely = mark_few(df, keys, key, max_bits=max_bits).filter("_likely").drop("_likely")
+    A bitmap with 16 bits per key, up to ``max_bits``, is broadcast and drops
+    nearly all other rows where they are read, so the exact join that follows
+    shuffles the likely ones only.  Where the bitmap is too small for the keys
+    more rows are shuffled; the result is the same.  ``keys`` is read twice:
+    pass a written table."""
+    marked, bit_set = _with_bitmap(df, keys, key, max_bits, "inner")
+    likely = marked.filter(bit_set).select(*df.columns)
     # an inner join with distinct keys: the optimizer would push a semi-join
     # below the bitmap, onto the whole table
     wanted = keys.select(F.col(key).alias("_wanted")).distinct()
