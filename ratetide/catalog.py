@@ -683,6 +683,26 @@ def q_stream_ingest_twice(spark, sf_dir):
     return spark.read.parquet(f"{root}/events").select(*SE.EVENT_COLUMNS)
 
 
+@register("stream_compact")
+def q_stream_compact(spark, sf_dir):
+    """The event table of two ingests with several micro-batches each, compacted
+    after each of them (the first time without the newest batch), then staged."""
+    from .plans.staging import stg_rate_events
+    from .streaming.compact import compact_events, read_events
+
+    root = scratch_path(spark, "compact")
+    sink, table = f"{root}/events", f"{root}/compacted"
+    messages = event_messages_from_events(spark, sf_dir)
+    even = F.crc32("value") % 2 == 0
+    for name, part in (("a", messages.filter(even)), ("b", messages.filter(~even))):
+        part.repartition(4, "value").write.text(f"{root}/in-{name}")
+        source = SE.read_message_stream(spark, f"{root}/in-{name}", max_files_per_trigger=2)
+        SE.start_ingest(spark, None, sink, f"{root}/quarantine", f"{root}/_checkpoints-{name}",
+                        default_ts=DEFAULT_TS, source=source).awaitTermination()
+        compact_events(spark, sink, table, keep_newest=name == "a")
+    return stg_rate_events(read_events(spark, sink, table))
+
+
 @register("detect_changes_ids")
 def q_detect_changes_ids(spark, sf_dir):
     """Batch twin of the stream detector, with the same deterministic ids."""
@@ -710,6 +730,21 @@ def q_src_transactions_csv(spark, sf_dir):
     return SF.read_transactions_csv(spark, root).select(*SF.TRANSACTION_COLUMNS)
 
 
+@register("src_transactions_csv_split")
+def q_src_transactions_csv_split(spark, sf_dir):
+    """Landed CSV of both kinds: the files of every fourth year hold street names
+    with a line break and a quote and are read whole, the others in splits."""
+    from .sources.csv_split import read_transactions_csv_split
+
+    root = scratch_path(spark, "landed_lines")
+    year = F.left("transaction_date", F.lit(4))
+    broken = F.concat(F.lit('The "Old" House'), F.lit("\n"), F.col("street"))
+    raw = bindings.raw_table(spark, sf_dir, "transactions").withColumn(
+        "street", F.when(year.cast("int") % 4 == 0, broken).otherwise(F.col("street")))
+    SF.write_transactions_csv(raw.withColumn("year", year), root, partition_by=["year"])
+    return read_transactions_csv_split(spark, root).select(*SF.TRANSACTION_COLUMNS)
+
+
 @register("src_year_range")
 def q_src_year_range(spark, sf_dir):
     """Backfill read over the landed yearly folders, first to last year."""
