@@ -8,6 +8,8 @@ tests hold those against brute force or held-out labels.
 
 from __future__ import annotations
 
+import math
+
 from .licences import TEMPLATES, THRESHOLD
 from .quality_rules import BOILERPLATE
 from .queries import URL_RULES
@@ -117,18 +119,25 @@ def url_filters() -> str:
     rules = ", ".join(f"({_q(v)}, {_q(s)}, {_q(s.partition('/')[0])}, {_q('/' + s.partition('/')[2])})" for v, s in URL_RULES)
     lower = _LOWER.format("{0}")
     steps = []
-    for name, share, src, dst in (("trust", "allowed", "src", "dst"), ("distrust", "blocked", "dst", "src")):
-        steps.append(f"{name}_seed AS (SELECT host, 1.0 / count(*) OVER () AS score FROM hosts WHERE {share} >= {t.seed_share})")
-        before = f"{name}_seed"
-        for k in range(t.rounds):
-            steps.append(f"""{name}_{k} AS (
-  SELECT host, sum(score) AS score FROM (
-    SELECT {dst} AS host, {t.damping} * score * share AS score FROM {before} JOIN links ON {before}.host = links.{src}
-    UNION ALL SELECT host, {1 - t.damping} * score FROM {name}_seed) GROUP BY host)""")
-            before = f"{name}_{k}"
-    last = t.rounds - 1
+    # rounds: until a change is below the tolerance, and as many as a path can be long
+    settled = math.ceil(math.log(t.tolerance / 2) / math.log(t.damping)) + 1
+    for name, verdict, src, dst, share in (("trust", "allowed", "src", "dst", "share"), ("distrust", "blocked", "dst", "src", "back_share")):
+        steps.append(f"""{name}_seed AS (
+  SELECT host FROM hosts WHERE {verdict} >= {t.seed_share}
+  UNION ALL SELECT host FROM linked WHERE {verdict} >= {t.seed_share}
+    AND host NOT IN (SELECT host FROM hosts WHERE allowed >= {t.seed_share} OR blocked >= {t.seed_share})),
+{name}_rounds AS (
+  SELECT 0 AS n, host, 1.0::DOUBLE AS score FROM {name}_seed
+  UNION ALL
+  SELECT n, host, sum(score) FROM (
+    SELECT n + 1 AS n, links.{dst} AS host, {t.damping} * score * links.{share} AS score
+    FROM {name}_rounds JOIN links ON {name}_rounds.host = links.{src}
+    UNION ALL
+    SELECT n + 1, {name}_seed.host, {1 - t.damping} FROM {name}_seed JOIN {name}_rounds ON {name}_seed.host = {name}_rounds.host)
+  WHERE n <= {settled} + (SELECT count(DISTINCT src) FROM links) GROUP BY n, host),
+{name} AS (SELECT host, score FROM {name}_rounds WHERE n = (SELECT max(n) FROM {name}_rounds))""")
     return f"""
-WITH parsed AS (
+WITH RECURSIVE parsed AS (
   SELECT row_number() OVER () AS r, page_id, html,
          {lower.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1)")} AS host,
          regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
@@ -144,13 +153,19 @@ hrefs AS (
   SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''),
     '(?i)\\shref\\s*=\\s*["'']?\\s*((?:[a-z][a-z0-9+.-]*:)?//[^"''\\s>]+)', 1)) AS url FROM ruled),
 counted AS (
-  SELECT src, dst, count(*) AS n FROM (SELECT src, {lower.format("regexp_extract(url, '//([^/?#]*)', 1)")} AS dst FROM hrefs)
-  WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
-links AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS share FROM counted),
+  SELECT src, dst, count(*) AS n, count(DISTINCT r) FILTER (verdict = 'allow') AS allowed, count(DISTINCT r) FILTER (verdict = 'block') AS blocked
+  FROM (SELECT r, src, dst, arg_max(verdict, len(rule)) AS verdict FROM (
+      SELECT row_number() OVER () AS r, src, {lower.format("regexp_extract(url, '//([^/?#]*)', 1)")} AS dst,
+             regexp_extract(url, '//[^/?#]*([^?#]*)', 1) AS path FROM hrefs) h
+    LEFT JOIN rules ON (dst = name OR ends_with(dst, '.' || name)) AND starts_with(path, prefix)
+    WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY r, src, dst)
+  GROUP BY src, dst),
+links AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS share, n / sum(n) OVER (PARTITION BY dst) AS back_share FROM counted),
+linked AS (SELECT dst AS host, sum(allowed) / sum(n) AS allowed, sum(blocked) / sum(n) AS blocked FROM counted GROUP BY dst),
 {(", ".join(steps))}
 SELECT page_id, host, path, rule, coalesce(verdict, CASE
          WHEN coalesce(d.score, 0) > {t.threshold} * coalesce(t.score, 0) THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled LEFT JOIN trust_{last} t USING (host) LEFT JOIN distrust_{last} d USING (host)"""
+FROM ruled LEFT JOIN trust t USING (host) LEFT JOIN distrust d USING (host)"""
 
 
 SUFFIX_DEDUP = """

@@ -6,8 +6,11 @@ their host's verdict: trust is a personalised PageRank from hosts that rules
 mostly allow, distrust one over the reversed links from hosts that rules mostly
 block (a host that links to blocked ones is suspect).  Rules judge a host by
 its pages and, where these make it no seed (it may have none), by the linked
-urls that lead to it from other hosts.  A host is blocked if its
-distrust exceeds ``threshold`` times its trust; without either it is allowed.
+urls that lead to it from other hosts.  Each seed hands out one unit in all, over
+the links out of a host (trust) or those into it (distrust), so both scores have
+one scale and seeds elsewhere in the graph do not move a verdict.  A host is
+blocked if its distrust exceeds ``threshold`` times its trust; without either it
+is allowed.
 
 Host and path are those of the text after the first ``://`` (A-Z of the host
 lower-cased); a null url or one without ``://`` has both empty.  Links are
@@ -35,8 +38,7 @@ class Trust:
     """Parameters of the propagation."""
 
     damping: float = 0.85
-    rounds: int = 20          # with tolerance 0 only: so many, as in the SQL; a round is two shuffles of the host graph
-    tolerance: float = 1e-6   # stop when scores change by less in all and no further host is reached
+    tolerance: float = 1e-6   # stop when scores change by less for each seed and no further host is reached
     seed_share: float = 0.5   # a host is a seed if rules give so large a share of its pages, or linked urls, one verdict
     threshold: float = 1.0
 
@@ -58,9 +60,9 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple
 
 
 def host_links(pages: DataFrame, host_col: str, html_col: str, rules: list[tuple[str, str]] = ()) -> DataFrame:
-    """(src, dst, share, links, allowed, blocked): links between different hosts,
-    as a share of all that leave ``src``, and how many of their urls the rules
-    allow or block."""
+    """(src, dst, share, back_share, links, allowed, blocked): links between
+    different hosts, as a share of all that leave ``src`` and of all that lead to
+    ``dst``, and how many of their urls the rules allow or block."""
     found = pages.select(quoted(host_col).alias("src"), F.explode(F.regexp_extract_all(
         F.coalesce(quoted(html_col), F.lit("")), F.lit(LINK), F.lit(1))).alias("url"))
     dst = lower_ascii(F.regexp_extract("url", "//([^/?#]*)", 1))
@@ -69,9 +71,10 @@ def host_links(pages: DataFrame, host_col: str, html_col: str, rules: list[tuple
     counted = (parts.where("src <> '' and dst <> '' and src <> dst").select("src", "dst", verdict.alias("verdict"))
                .groupBy("src", "dst").agg(F.count("*").alias("links"), *(
                    F.count_if(F.col("verdict") == v).alias(name) for v, name in (("allow", "allowed"), ("block", "blocked")))))
-    out = counted.groupBy("src").agg(F.sum("links").alias("all_links"))
-    return counted.join(out, "src").select("src", "dst", (F.col("links") / F.col("all_links")).alias("share"),
-                                           "links", "allowed", "blocked")
+    total = lambda side, name: counted.groupBy(side).agg(F.sum("links").alias(name))
+    return counted.join(total("src", "left"), "src").join(total("dst", "come"), "dst").select(
+        "src", "dst", (F.col("links") / F.col("left")).alias("share"), (F.col("links") / F.col("come")).alias("back_share"),
+        "links", "allowed", "blocked")
 
 
 def seed_hosts(hosts: DataFrame, links: DataFrame, share: float) -> DataFrame:
@@ -86,18 +89,19 @@ def seed_hosts(hosts: DataFrame, links: DataFrame, share: float) -> DataFrame:
 
 
 def propagate(links: DataFrame, seeds: DataFrame, trust: Trust) -> DataFrame:
-    """(host, score): personalised PageRank over (src, dst, share) that restarts
-    at the seed hosts.  Scores that reach hosts without links end there.  Rounds
-    go on until scores change by less than the tolerance and all hosts that a
-    seed leads to have one, however many links away."""
-    if not 0 <= trust.damping < 1:
-        raise ValueError("damping must be at least 0 and below 1")
+    """(host, score): the sum over all seed hosts of the personalised PageRank over
+    (src, dst, share) that restarts at that seed.  Shares out of a host sum to 1;
+    scores that reach hosts without links end there.  Rounds go on until scores
+    change by less than the tolerance for each seed and all hosts that a seed
+    leads to have one, however many links away.  A round is two shuffles of the
+    host graph."""
+    if not 0 <= trust.damping < 1 or trust.tolerance <= 0:
+        raise ValueError("damping must be at least 0 and below 1, tolerance above 0")
     total = seeds.agg(F.count("*")).first()[0]
-    start = seeds.select("host", F.lit(1.0 / max(total, 1)).alias("score"))
+    scores = seeds.select("host", F.lit(1.0).alias("score"))
     if not total or links.isEmpty():
-        return start
-    restart = start.select("host", ((1 - trust.damping) * F.col("score")).alias("score"))
-    scores = start
+        return scores
+    restart = seeds.select("host", F.lit(1 - trust.damping).alias("score"))
     for n in itertools.count(1):
         flow = (scores.join(links, scores["host"] == links["src"])
                 .select(F.col("dst").alias("host"), (trust.damping * F.col("score") * F.col("share")).alias("score")))
@@ -107,13 +111,10 @@ def propagate(links: DataFrame, seeds: DataFrame, trust: Trust) -> DataFrame:
         change, reached = (sides.groupBy("host").agg(F.abs(F.sum("score")).alias("x"), F.sum("side").alias("new"))
                            .agg(F.sum("x"), F.sum("new")).first())
         scores = new
-        if not trust.tolerance:
-            if n >= trust.rounds:
-                break
-        # the change is at most 2 damping^(n - 1), but for rounding
-        elif not reached and (change < trust.tolerance or 2 * trust.damping ** (n - 1) < trust.tolerance):
-            break
-    return scores
+        # a round shrinks the change by the damping at least, but for rounding
+        settled = change < trust.tolerance * total or 2 * trust.damping ** (n - 1) < trust.tolerance
+        if settled and not reached:
+            return scores
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", html_col: str = "html",
@@ -132,13 +133,13 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], url_col: str = "u
     links = written(host_links(ruled, host_col, html_col, rules), "trust-links")
     seeds = written(seed_hosts(hosts, links, trust.seed_share), "trust-seeds")
     good = propagate(links, seeds.where("verdict = 'allow'").select("host"), trust)
-    back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
+    back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("back_share").alias("share"))
     bad = propagate(back, seeds.where("verdict = 'block'").select("host"), trust)
     scores = (hosts.select("host").join(good.withColumnRenamed("score", "trust"), "host", "left")
               .join(bad.withColumnRenamed("score", "distrust"), "host", "left").na.fill(0.0, ["trust", "distrust"]))
-    scores = scores.select(F.col("host").alias("__host"), F.col("trust").alias("__trust"), F.col("distrust").alias("__distrust"))
-    joined = ruled.join(scores, quoted(host_col) == F.col("__host"), "left")
-    by_host = F.when(F.col("__distrust") > trust.threshold * F.col("__trust"), F.lit("block")).otherwise(F.lit("allow"))
+    at, good_col, bad_col = (free_name(ruled, x) for x in ("judged_host", "trust", "distrust"))
+    joined = ruled.join(scores.toDF(at, good_col, bad_col), quoted(host_col) == quoted(at), "left")
+    by_host = F.when(quoted(bad_col) > trust.threshold * quoted(good_col), F.lit("block")).otherwise(F.lit("allow"))
     return joined.select(*(quoted(c) for c in pages.columns), F.struct(
         quoted(host_col).alias("host"), quoted(path_col).alias("path"), quoted(rule_col).alias("rule"),
-        F.col("__trust").alias("trust"), F.col("__distrust").alias("distrust"), F.coalesce(quoted(by_rule), by_host).alias("verdict")).alias(out))
+        quoted(good_col).alias("trust"), quoted(bad_col).alias("distrust"), F.coalesce(quoted(by_rule), by_host).alias("verdict")).alias(out))

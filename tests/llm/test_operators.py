@@ -250,21 +250,59 @@ def test_linked_hosts_without_pages_are_seeds(spark):
     assert [tuple(r) for r in seeds.collect()] == [("good.org", "allow")]
 
 
-def test_propagation_is_pagerank(spark):
-    """Against a dense power iteration."""
-    names = "abcde"
-    links = {("a", "b"): 0.5, ("a", "c"): 0.5, ("b", "c"): 1.0, ("c", "a"): 1.0, ("d", "e"): 1.0}
-    m = np.zeros((5, 5))
-    for (s, d), x in links.items():
-        m[names.index(d), names.index(s)] = x
-    start = np.array([0.5, 0, 0, 0.5, 0])
-    score = start.copy()
-    for _ in range(20):
-        score = 0.85 * m @ score + 0.15 * start
-    got = url_filters.propagate(spark.createDataFrame([(*k, v) for k, v in links.items()], "src string, dst string, share double"),
-                                spark.createDataFrame([("a",), ("d",)], "host string"), url_filters.Trust(tolerance=0))
-    got = {r.host: r.score for r in got.collect()}
-    assert np.allclose([got.get(n, 0) for n in names], score)
+def linked_pages(spark, rows):
+    page = lambda links: "".join(f'<p><a href="{x}">t</a>' for x in links)
+    return spark.createDataFrame([(i, url, page(links)) for i, (url, links) in enumerate(rows)], "page_id long, url string, html string")
+
+
+def test_scores_do_not_hang_on_seeds_elsewhere(spark):
+    """Each seed hands out one unit, whatever else is in the table."""
+    rows = [("https://a.org/", ["https://x.net/"]), ("https://x.net/", ["https://bad.com/"]), ("https://bad.com/de/1", []),
+            *((f"https://farm{i}.net/", ["https://spam.com/"]) for i in range(60)), ("https://spam.com/de/1", [])]
+    more = [*rows, *((f"https://far{i}.org/", []) for i in range(5)), ("https://lone.com/de/1", [])]
+    before, after = ({r.page_id: r["filter"] for r in url_filters.judge_urls(linked_pages(spark, x), queries.URL_RULES).collect()}
+                     for x in (rows, more))
+    assert all(before[i] == after[i] for i in before)
+    # trust and distrust of x.net are the same share of one seed each: a tie is allowed
+    assert np.isclose(before[1].trust, 0.85 * 0.15) and np.isclose(before[1].distrust, 0.85 * 0.15) and before[1].verdict == "allow"
+    # sixty hosts share the distrust of the one that they link to
+    farms = [before[i] for i in range(3, 63)]
+    assert all(np.isclose(f.distrust, 0.85 * 0.15 / 60) and f.verdict == "block" for f in farms)
+    assert sum(f.distrust for f in before.values()) <= 2 + 1e-6 and sum(f.trust for f in before.values()) <= 1 + 1e-6
+
+
+def test_urls_with_links_equal_their_sql(spark):
+    """A random host graph with cycles and a chain: the SQL
+    iterates the same scores on its own."""
+    import random
+
+    import duckdb
+
+    from ratetide.llm.oracles import ORACLE_SQL
+
+    rng = random.Random(4)
+    ends = ["a.net/x", "b.net/", "c.org/1", "example.org/es/2", "example.org/en/1", "d.com/de/3", "e.com/fr/4", "f.com/", "g.io/?q", "News.example.org/z"]
+    ends += [f"r{i}.{rng.choice(['net', 'com'])}{rng.choice(['/', '/de/', '/fr/', '/x'])}" for i in range(25)]
+    rows = [(f"https://{rng.choice(ends)}", [f"//{rng.choice(ends)}" for _ in range(rng.randrange(4))]) for _ in range(120)]
+    rows += [(f"https://chain{i}.net/", [f"https://chain{i + 1}.net/"]) for i in range(25)] + [("https://chain25.net/", ["https://last.com/de/1"])]
+    pages = linked_pages(spark, [*rows, (None, []), ("no scheme", ["//a.net"])])
+    got = url_filters.judge_urls(pages, queries.URL_RULES).select("page_id", "filter.host", "filter.path", "filter.rule", "filter.verdict")
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    want = con.execute(ORACLE_SQL["op6_url_filters"]).fetchall()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert {r.verdict for r in got.where("rule is null").collect()} == {"allow", "block"}
+    assert [r.verdict for r in got.where("host = 'chain0.net'").collect()] == ["block"]
+
+
+def test_url_columns_may_have_any_name(spark):
+    names = ["__host", "__trust", "__distrust", "judged_host", "trust", "distrust", "path", "by_rule", "src", "filter", "dst", "share"]
+    pages = linked_pages(spark, [("https://a.org/", ["https://b.net/"]), ("https://b.net/", [])])
+    plain = {r.page_id: r["filter"] for r in url_filters.judge_urls(pages, queries.URL_RULES).collect()}
+    wide = pages.select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    out = url_filters.judge_urls(wide, queries.URL_RULES)
+    assert out.columns == [*wide.columns, "filter_"]
+    assert {r.page_id: r["filter_"] for r in out.collect()} == plain
 
 
 def test_propagation_solves_the_linear_system(spark):
@@ -274,16 +312,17 @@ def test_propagation_solves_the_linear_system(spark):
     m = np.zeros((len(names), len(names)))
     for (s, d), x in links.items():
         m[names.index(d), names.index(s)] = x
-    start = np.array([(n in ("h0", "c0")) / 2 for n in names])
+    start = np.array([float(n in ("h0", "c0")) for n in names])
     want = np.linalg.solve(np.eye(len(names)) - 0.85 * m, 0.15 * start)
     got = url_filters.propagate(spark.createDataFrame([(*k, v) for k, v in links.items()], "src string, dst string, share double").coalesce(1),
                                 spark.createDataFrame([("h0",), ("c0",)], "host string").coalesce(1), url_filters.Trust())
     got = {r.host: r.score for r in got.collect()}
     assert set(got) == set(names) and min(got.values()) > 0
     assert np.abs([got[n] for n in names] - want).sum() < 1e-5
-    with pytest.raises(ValueError):
-        url_filters.propagate(spark.createDataFrame([], "src string, dst string, share double"),
-                              spark.createDataFrame([], "host string"), url_filters.Trust(damping=1.0))
+    for wrong in (url_filters.Trust(damping=1.0), url_filters.Trust(tolerance=0)):
+        with pytest.raises(ValueError):
+            url_filters.propagate(spark.createDataFrame([], "src string, dst string, share double"),
+                                  spark.createDataFrame([], "host string"), wrong)
 
 
 # ------------------------------------------------------------ 7 html extraction
