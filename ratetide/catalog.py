@@ -703,6 +703,21 @@ def q_stream_compact(spark, sf_dir):
     return stg_rate_events(read_events(spark, sink, table))
 
 
+@register("stream_detect_late")
+def q_stream_detect_late(spark, sf_dir):
+    """Daily batch rates in files that mix all dates, detected as they come; the
+    event table, retractions included, is replayed to the changes that stand."""
+    from .streaming.late_changes import replayed_events, start_late_detection
+
+    root = scratch_path(spark, "late")
+    series = _rate_series(spark, sf_dir).withColumn("part", F.pmod(F.crc32(F.col("effective_date").cast("string")), F.lit(3)))
+    series.repartition(3, "part").drop("part").write.json(f"{root}/in")
+    stream = (spark.readStream.schema("series string, effective_date date, base_rate double")
+              .option("maxFilesPerTrigger", 1).json(f"{root}/in"))
+    start_late_detection(stream, f"{root}/state", f"{root}/_checkpoints", published_at=DEFAULT_TS).awaitTermination()
+    return replayed_events(spark, f"{root}/state").select("event_id", "effective_date", "previous_rate", "new_rate")
+
+
 @register("detect_changes_ids")
 def q_detect_changes_ids(spark, sf_dir):
     """Batch twin of the stream detector, with the same deterministic ids."""
