@@ -62,9 +62,11 @@ class HatTrie:
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Adds counts of distinct n-grams, sorted."""
+        if not len(keys):  # the filter may leave nothing of a slice
+            return
         if self.children:
             words = self._word(keys)
-            first = np.flatnonzero(np.append(True, words[1:] != words[:-1])) if len(keys) else np.zeros(0, int)
+            first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
             own = np.ones(len(keys), bool)
             for a, b, w in zip(first.tolist(), [*first[1:].tolist(), len(keys)], words[first].tolist(), strict=True):
                 child = self.children.get(w)

@@ -122,3 +122,13 @@ def test_spill_takes_whole_subtrees():
     for k, c in trie.spill(0):
         got.update(dict(zip(k.tolist(), c.tolist(), strict=True)))
     assert got == want and len(trie) == 0
+
+
+def test_a_trie_with_subtrees_takes_an_empty_slice():
+    """The filter may leave no n-gram of a slice once the trie has burst."""
+    trie = phrases.HatTrie(2, burst=32)
+    keys = np.unique((np.arange(400) % 5 << 31) | np.arange(400))
+    trie.add(keys, np.ones(len(keys), np.int64))
+    assert trie.children
+    trie.add(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert len(trie) == len(keys)
