@@ -74,10 +74,15 @@ def publish_partitions(spark: SparkSession, rows: DataFrame, path: str, partitio
 
 
 def publish_table(spark: SparkSession, rows: DataFrame, path: str, partition_col: str,
-                  cluster_cols: Sequence[str] = ()) -> None:
-    """Replace the whole table at ``path`` by ``rows``, which may read it."""
+                  cluster_cols: Sequence[str] = (), split_cols: Sequence[str] = (), marks: Sequence[str] = ()) -> None:
+    """Replace the whole table at ``path`` by ``rows``, which may read it.
+    ``marks`` names empty files that lie in the new table's folder."""
     recover(spark, path)
-    write_partitioned(rows, _paths(path)[0], partition_col, cluster_cols)
+    following = _paths(path)[0]
+    write_partitioned(rows, following, partition_col, cluster_cols, split_cols=split_cols)
+    for name in marks:
+        fs, p = _fs(spark, f"{following}/{name}")
+        fs.create(p).close()
     _record(spark, path, {"whole": True})
     recover(spark, path)
 

@@ -1,28 +1,29 @@
 """Compaction of the streamed event table.
 
 The ingest leaves one folder per micro-batch.  ``compact_events`` merges landed
-folders into a table partitioned by the month of ``effective_date`` with one row
-per event (latest publish wins, as in staging), notes for each ingest up to which
+folders into a table partitioned by the month of ``effective_date`` (by longer
+periods where it holds many months, see ``periods``) with one row per event (latest
+publish wins, as in staging), notes for each ingest up to which
 batch the table holds it, and deletes the folders it took up.  ``read_events``
 gives the table and the folders that are not in it yet; staging takes its result
 like the raw table.
 
 Every step may be lost and repeated: the table is published as a whole set of
-months (``sinks.publish``), then the note is written, then folders go.  Folders
+periods (``sinks.publish``), then the note is written, then folders go.  Folders
 that are merged twice change nothing, as an event is kept once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import month_start
 from ..operators.dedup import dedup_latest
 from ..operators.prefilter import semi_join_few
 from ..plans.staging import stg_rate_events
 from ..sinks.publish import publish_partitions, recover
-from ..sinks.writers import _fs, has_data, materialize, write_partitioned
+from ..sinks.writers import _fs, has_data, materialize
+from .periods import fitting_width, in_periods, period_start, publish_periods, table_width
 
 EVENT_SCHEMA = ("event_id string, effective_date date, previous_rate double, new_rate double, "
                 "published_at timestamp")
@@ -105,18 +106,13 @@ def read_events(spark: SparkSession, sink_path: str, table_path: str) -> DataFra
     return _read_table(spark, table_path).drop(MONTH).unionByName(rest)
 
 
-def _in_months(months: list) -> Column:
-    known = [F.lit(m) for m in months if m is not None]
-    inside = F.col(MONTH).isin(*known) if known else F.lit(False)
-    return inside | F.col(MONTH).isNull() if None in months else inside
-
-
 def _merge(spark: SparkSession, table_path: str, new: DataFrame) -> None:
-    """Publish the months that ``new`` (one row per event) changes.
+    """Publish the periods that ``new`` (one row per event) changes.
 
     Held versions of its events are found behind a bitmap, without a shuffle of
-    the table.  An event whose date moved leaves its old month; months in which
-    every event is newer than what came are not rewritten."""
+    the table.  An event whose date moved leaves its old period; periods in which
+    every event is newer than what came are not rewritten, unless they become
+    longer."""
     held = _read_table(spark, table_path)
     versions = materialize(semi_join_few(held, new.select("event_id"), "event_id"), "compact_versions")
     both = versions.withColumn("_held", F.lit(True)).unionByName(new.withColumn("_held", F.lit(False)))
@@ -124,14 +120,19 @@ def _merge(spark: SparkSession, table_path: str, new: DataFrame) -> None:
                           tie_break=["effective_date", "previous_rate", "new_rate", "_held"])
     changed = materialize(latest.filter(~F.col("_held")).drop("_held"), "compact_changed")
     ids = changed.select("event_id")
+    width = fitting_width(spark, table_path, MONTH, changed)
+    if width > table_width(spark, table_path):
+        rows = held.join(ids, "event_id", "left_anti").unionByName(changed)
+        publish_periods(spark, rows.withColumn(MONTH, period_start("effective_date", width)), table_path, width, MONTH,
+                        ["effective_date"], ["event_id"])
+        return
     left = versions.join(ids, "event_id", "left_semi").select(MONTH)
-    # months of the calendar, so few
-    months = [r[0] for r in changed.select(MONTH).union(left).distinct().collect()]
-    if not months:
+    periods = [r[0] for r in changed.select(MONTH).union(left).distinct().collect()]
+    if not periods:
         return
-    kept = held.filter(_in_months(months)).join(ids, "event_id", "left_anti")
+    kept = held.filter(in_periods(periods, MONTH)).join(ids, "event_id", "left_anti")
     publish_partitions(spark, kept.unionByName(changed), table_path, MONTH, ["effective_date"], ["event_id"],
-                       drop=[NULL_FOLDER if m is None else m for m in months])
+                       drop=[NULL_FOLDER if p is None else p for p in periods])
 
 
 def compact_events(spark: SparkSession, sink_path: str, table_path: str, keep_newest: bool = True) -> int:
@@ -141,7 +142,7 @@ def compact_events(spark: SparkSession, sink_path: str, table_path: str, keep_ne
     ``keep_newest`` leaves the last batch of each ingest where it is: a restarted
     ingest may write it once more.  Without it no ingest may be running or be
     restarted in the middle of a batch.  Files of the table are bounded by its
-    months and their size, those of the tail by the batches since the last call.
+    periods and their size, those of the tail by the batches since the last call.
     Rows without an event id or a rate go, as in staging.
     """
     recover(spark, table_path)
@@ -149,12 +150,14 @@ def compact_events(spark: SparkSession, sink_path: str, table_path: str, keep_ne
     ready = {i: numbers[:-1] if keep_newest else numbers for i, numbers in landed.items()}
     taken = {i: t for i, numbers in ready.items() if (t := [b for b in numbers if b > held.get(i, -1)])}
     if taken:
-        new = stg_rate_events(_read_batches(spark, sink_path, taken)).withColumn(MONTH, month_start("effective_date"))
-        new = materialize(new, "compact_new")
+        new = materialize(stg_rate_events(_read_batches(spark, sink_path, taken)), "compact_new")
         if has_data(spark, table_path):
-            _merge(spark, table_path, new)
+            width = table_width(spark, table_path)
+            _merge(spark, table_path, new.withColumn(MONTH, period_start("effective_date", width)))
         else:
-            write_partitioned(new, table_path, MONTH, ["effective_date"], split_cols=["event_id"])
+            width = fitting_width(spark, table_path, MONTH, new)
+            publish_periods(spark, new.withColumn(MONTH, period_start("effective_date", width)), table_path, width, MONTH,
+                            ["effective_date"], ["event_id"])
         held |= {i: numbers[-1] for i, numbers in taken.items()}
         _note(spark, table_path, held)
     for i, numbers in ready.items():  # also what an earlier call that was lost left over
