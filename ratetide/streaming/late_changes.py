@@ -8,13 +8,15 @@ stand; they are those of the batch twin over all observations so far.
 
 Three tables below ``state_path``:
 
-* ``observations``: one row per series and date, partitioned by month;
-* ``ends``: the first and last observation of each series and month, by month;
+* ``observations``: one row per series and date, partitioned by month, or by
+  longer periods where many months are held (``periods``); ``month`` is the first
+  one of the period;
+* ``ends``: the first and last observation of each series and period, by period;
 * ``events``: a folder per ingest and micro-batch.
 
-A month is compared from its own rows; its first row looks at the last one of the
-series' month before, which ``ends`` has.  So a batch reads the months that it
-holds, a group is one series in one month, and no Python runs.  Observations
+A period is compared from its own rows; its first row looks at the last one of the
+series' period before, which ``ends`` has.  So a batch reads the periods that it
+holds, a group is one series in one period, and no Python runs.  Observations
 without a series, a date or a rate are none.  Of one date the observation of the
 later batch counts, within a batch the greatest rate.
 
@@ -27,12 +29,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import deterministic_id, fixed6, month_start
+from ..functions.columns import deterministic_id, fixed6
 from ..operators.dedup import dedup_latest
 from ..operators.prefilter import semi_join_few
 from ..sinks.publish import publish_partitions, recover
-from ..sinks.writers import _fs, has_data, materialize, write_partitioned
+from ..sinks.writers import _fs, has_data, materialize
 from .events import _ingest_id
+from .periods import fitting_width, in_periods, period_start, publish_periods, table_width
 
 OBSERVATIONS = "series string, effective_date date, base_rate double, month date"
 ENDS = "series string, first_date date, first_rate double, last_rate double, month date"
@@ -45,23 +48,24 @@ def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if has_data(spark, path) else spark.createDataFrame([], schema)
 
 
-def _publish(spark: SparkSession, rows: DataFrame, path: str) -> None:
+def _publish(spark: SparkSession, rows: DataFrame, path: str, width: int) -> None:
+    """Replace the periods that ``rows`` holds; a first write fixes their length."""
     if has_data(spark, path):
         publish_partitions(spark, rows, path, "month", ["series"])
     else:
-        write_partitioned(rows, path, "month", ["series"])
+        publish_periods(spark, rows, path, width, "month", ["series"])
 
 
 def month_ends(observations: DataFrame) -> DataFrame:
-    """First and last observation of each series and month (partial aggregates)."""
+    """First and last observation of each series and period (partial aggregates)."""
     return observations.groupBy("series", "month").agg(
         F.min("effective_date").alias("first_date"), F.min_by("base_rate", "effective_date").alias("first_rate"),
         F.max_by("base_rate", "effective_date").alias("last_rate"))
 
 
 def _changes(observations: DataFrame, ends: DataFrame) -> DataFrame:
-    """Changes inside the months of ``observations`` and at the first row of every
-    month in ``ends``."""
+    """Changes inside the periods of ``observations`` and at the first row of every
+    period in ``ends``."""
     inside = observations.select("series", "effective_date", "base_rate", F.lag("base_rate").over(
         Window.partitionBy("series", "month").orderBy("effective_date")).alias("previous_rate"))
     first = ends.select("series", F.col("first_date").alias("effective_date"), F.col("first_rate").alias("base_rate"),
@@ -85,16 +89,32 @@ def changed_events(before: DataFrame, after: DataFrame) -> DataFrame:
         "_e.*", "retracted")
 
 
+def _lengthen(spark: SparkSession, seen: str, ends_path: str, rows: DataFrame) -> int:
+    """The length of the state's periods, in months, once it is to hold ``rows``.
+    Where it grows the state is rewritten, the ends after what they come from."""
+    for path in (seen, ends_path):
+        recover(spark, path)
+    width = fitting_width(spark, seen, "month", rows)
+    if has_data(spark, seen) and table_width(spark, seen) < width:
+        longer = _table(spark, seen, OBSERVATIONS).withColumn("month", period_start("effective_date", width))
+        publish_periods(spark, longer, seen, width, "month", ["series"])
+    if has_data(spark, ends_path) and table_width(spark, ends_path) < width:
+        publish_periods(spark, month_ends(_table(spark, seen, OBSERVATIONS)), ends_path, width, "month", ["series"])
+    return width
+
+
 def apply_batch(spark: SparkSession, batch: DataFrame, state_path: str, folder: str, published_at=None) -> None:
     """One micro-batch: its events into ``events/<folder>``, then the state."""
     root = state_path.rstrip("/")
     seen, ends_path, out = f"{root}/observations", f"{root}/ends", f"{root}/events/{folder}"
     rows = batch.select("series", "effective_date", "base_rate").dropna().groupBy("series", "effective_date").agg(
         F.max("base_rate").alias("base_rate"))
-    rows = materialize(rows.withColumn("month", month_start("effective_date")), "late_rows")
-    months = [r.month for r in rows.select("month").distinct().collect()]  # of the calendar, so few
+    rows = materialize(rows, "late_rows")
+    width = _lengthen(spark, seen, ends_path, rows)
+    rows = rows.withColumn("month", period_start("effective_date", width))
+    months = [r.month for r in rows.select("month").distinct().collect()]  # MOST_FOLDERS at most
     fs, marker = _fs(spark, f"{out}/_SUCCESS")
-    touched = _table(spark, seen, OBSERVATIONS).filter(F.col("month").isin(months))
+    touched = _table(spark, seen, OBSERVATIONS).filter(in_periods(months, "month"))
     known = semi_join_few(touched, rows.select("series"), "series")
     if not fs.exists(marker):
         ends = materialize(semi_join_few(_table(spark, ends_path, ENDS), rows.select("series"), "series"), "late_ends")
@@ -105,9 +125,9 @@ def apply_batch(spark: SparkSession, batch: DataFrame, state_path: str, folder:
         changed_events(_changes(known, ends), _changes(now, ends_now)).withColumn("published_at", stamp).write.mode(
             "overwrite").parquet(out)
     if months:
-        _publish(spark, _newer(touched, rows), seen)
-        months_now = _table(spark, seen, OBSERVATIONS).filter(F.col("month").isin(months))
-        _publish(spark, month_ends(months_now), ends_path)
+        _publish(spark, _newer(touched, rows), seen, width)
+        months_now = _table(spark, seen, OBSERVATIONS).filter(in_periods(months, "month"))
+        _publish(spark, month_ends(months_now), ends_path, width)
 
 
 def _newer(known: DataFrame, rows: DataFrame) -> DataFrame:
