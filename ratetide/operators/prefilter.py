@@ -32,6 +32,13 @@ def mark_few(df: DataFrame, keys: DataFrame, key: str, out: str = "_likely", max
     return marked.select(*df.columns, F.coalesce(likely, F.lit(False)).alias(out))
 
 
+def likely_few(df: DataFrame, keys: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
+    """Rows of ``df`` whose ``key`` (null-safe) may be in ``keys``: all that are, and
+    few others.  For a join that follows; ``keys`` is read twice."""
+    marked, bit_set = _with_bitmap(df, keys, key, max_bits, "inner")
+    return marked.filter(bit_set).select(*df.columns)
+
+
 def semi_join_few(df: DataFrame, keys: DataFrame, key: str, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows of ``df`` whose ``key`` (null-safe) is in ``keys``.
 
@@ -40,8 +47,7 @@ def semi_join_few(df: DataFrame, keys: DataFrame, key: str, max_bits: int = MAX_
     shuffles the likely ones only.  Where the bitmap is too small for the keys
     more rows are shuffled; the result is the same.  ``keys`` is read twice:
     pass a written table."""
-    marked, bit_set = _with_bitmap(df, keys, key, max_bits, "inner")
-    likely = marked.filter(bit_set).select(*df.columns)
+    likely = likely_few(df, keys, key, max_bits)
     # an inner join with distinct keys: the optimizer would push a semi-join
     # below the bitmap, onto the whole table
     wanted = keys.select(F.col(key).alias("_wanted")).distinct()

@@ -35,22 +35,27 @@ def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSA
     return stage_versions(newest_versions(raw), county_map, min_date, strict_dates)
 
 
-def newest_versions(raw: DataFrame, last: Sequence[Column] = ()) -> DataFrame:
-    """The newest raw row per transaction, deletions included: by date, then
-    ingestion columns, then every other column, then ``last`` (whose columns
-    are no part of the version)."""
-    order = ["transaction_date"] + [c for c in ("run_date", "loaded_at") if c in raw.columns]
-    if not last:
-        return dedup_latest(raw, ["transaction_id"], order)
-    rest = [c for c in raw.columns if c not in {"transaction_id", *order} and not c.startswith("_")]
-    return dedup_latest(raw, ["transaction_id"], [*order, *rest, *last], tie_break=[])
+def version_order(columns: Sequence[str], key: str = "transaction_id") -> list[str]:
+    """Columns that rank the versions of a transaction, newest first: the date,
+    then ingestion columns, then every other column."""
+    order = ["transaction_date"] + [c for c in ("run_date", "loaded_at") if c in columns]
+    return order + [c for c in columns if c not in {key, *order}]
+
+
+def newest_versions(raw: DataFrame) -> DataFrame:
+    """The newest raw row per transaction, deletions included."""
+    return dedup_latest(raw, ["transaction_id"], version_order(raw.columns), tie_break=[])
+
+
+def is_staged(min_date: str = MIN_TRANSACTION_DATE) -> Column:
+    """Is the newest version of a transaction staged: active and from ``min_date`` on?"""
+    return (F.col("record_status") == "A") & (F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(min_date))
 
 
 def stage_versions(versions: DataFrame, county_map=None, min_date: str = MIN_TRANSACTION_DATE,
                    strict_dates: bool = True) -> DataFrame:
     """Staged rows of the newest versions: active ones from ``min_date`` on."""
-    kept = versions.filter((F.col("record_status") == "A")
-                           & (F.left(F.col("transaction_date"), F.lit(10)) >= F.lit(min_date)))
+    kept = versions.filter(is_staged(min_date))
     mapping = county_lookup() if county_map is None else county_map
     bucketed = bucket_dimension(kept, "county", mapping, "broad_region")
     return bucketed.select(
