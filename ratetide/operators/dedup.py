@@ -35,3 +35,14 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return (df.withColumn("_rn", F.row_number().over(w))
               .filter(F.col("_rn") == 1)
               .drop("_rn"))
+
+
+def dedup_latest_few(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``dedup_latest`` by column names for few keys of many rows each (a series):
+    rows are sorted by key only and reduced to one a key and task before the
+    shuffle.  The order of structs is that of DESC NULLS LAST on their fields."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    newest = F.max(F.struct(*order, *rest)).alias("_newest")
+    picked = [F.col(c) if c in keys else F.col("_newest")[c].alias(c) for c in df.columns]
+    return df.groupBy(*keys).agg(newest).select(*picked)

@@ -1,8 +1,9 @@
 """Run the model DAG (or the dependency closure of some targets) as Spark jobs.
 
-Staging and intermediate models are lazy views except ``stg_transactions``,
-which is written once, partitioned by transaction month: every later read
-prunes months.  An incremental run rewrites the staged months in which anything
+``stg_transactions`` is written once, partitioned by transaction month: every
+later read prunes months.  The staged and reconciled series that other models
+read are written once a run to scratch; other staging and intermediate models
+are lazy views.  An incremental run rewrites the staged months in which anything
 changed, whatever their age, and upserts recent months of the monthly mart; the
 other marts are written whole.  Raw batches are gated, and each model's checks run once it is
 built; a failed check of severity "error" raises ``DataQualityError``, so no
@@ -166,6 +167,11 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     def staged(path: str) -> DataFrame:
         return spark.read.parquet(path).drop("transaction_month")
 
+    def once(name: str, df: DataFrame) -> DataFrame:
+        """A series that its checks and the models downstream read: worked out once a run."""
+        readers = [m for m in closure(targets, have) if m not in have and name in DAG[m]]
+        return materialize(df, name) if readers else df
+
     clean: dict[str, list] = {}  # model -> failed checks whose rows are set aside
 
     def enriched(since):
@@ -186,13 +192,13 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
             stage_transactions(spark, raw["transactions"], path, county_map, incremental, pending.add)
             frames[m] = staged(path)
         elif m == "stg_rates":
-            frames[m] = staging.stg_rates(raw["rates"])
+            frames[m] = once(m, staging.stg_rates(raw["rates"]))
         elif m == "stg_yields":
-            frames[m] = staging.stg_yields(raw["yields"])
+            frames[m] = once(m, staging.stg_yields(raw["yields"]))
         elif m == "stg_rate_events":
-            frames[m] = staging.stg_rate_events(raw["rate_events"])
+            frames[m] = once(m, staging.stg_rate_events(raw["rate_events"]))
         elif m == "int_rates_reconciled":
-            frames[m] = rates.int_rates_reconciled(frames["stg_rates"], frames["stg_rate_events"])
+            frames[m] = once(m, rates.int_rates_reconciled(frames["stg_rates"], frames["stg_rate_events"]))
         elif m == "int_transactions_with_rates":
             if m not in targets:  # the monthly mart makes its own, of recent months
                 continue

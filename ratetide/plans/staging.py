@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import normalize_key, parse_txn_date
 from ..functions.fixed_values import MIN_TRANSACTION_DATE
 from ..operators.bucket import bucket_dimension, county_lookup
-from ..operators.dedup import dedup_latest
+from ..operators.dedup import dedup_latest, dedup_latest_few
 
 
 def stg_transactions(raw: DataFrame, county_map=None, min_date: str = MIN_TRANSACTION_DATE,
@@ -82,8 +82,8 @@ def stg_yields(raw: DataFrame, ticker: str | None = None) -> DataFrame:
     valid = raw.filter(F.col("date").isNotNull())
     if ticker is not None:
         valid = valid.filter(F.col("ticker") == ticker)
-    return dedup_latest(valid.select("date", "yield_pct", "ticker", "loaded_at"),
-                        ["date"], ["loaded_at"])
+    return dedup_latest_few(valid.select("date", "yield_pct", "ticker", "loaded_at"),
+                            ["date"], ["loaded_at"])
 
 
 def stg_rate_events(raw: DataFrame) -> DataFrame:
