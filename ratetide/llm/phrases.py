@@ -4,8 +4,8 @@ Each task counts the n-grams of its texts in a HAT-trie: hash containers keyed b
 word numbers hang below a shallow trie over those numbers.  A container that
 grows past its limit bursts: each first (then second) word that holds a good part
 of it gets a container of its own.  Where the trie is full, whole subtrees, the
-largest first, leave it as runs sorted by phrase.  Spark merges the runs of all
-tasks and sums the counts.  Runs are merged per whole phrase, not per first word:
+largest first, leave it as runs sorted by word numbers.  Spark merges the runs of
+all tasks and sums the counts.  Runs are merged per whole phrase, not per first word:
 one common first word would fill one partition.
 
 Lengths are counted one after the other.  A phrase that occurs ``min_count``
@@ -44,6 +44,42 @@ _BREAK = b"\xff"      # a byte that no UTF-8 text has
 
 
 # ------------------------------------------------------------------ HAT-trie
+class ArrayHash:
+    """Counts of n-grams in a hash table of two arrays, at most half full; a place
+    that is taken sends an n-gram to the next one.  Nothing is removed."""
+
+    def __init__(self):
+        self.used, self.keys, self.counts = 0, np.full(64, -1, np.int64), np.zeros(64, np.int64)
+
+    def __len__(self) -> int:
+        return self.used
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Adds counts of distinct n-grams."""
+        if 2 * (self.used + len(keys)) > len(self.keys):
+            held = self.items()
+            size = 1 << (2 * (self.used + len(keys))).bit_length()
+            self.used, self.keys, self.counts = 0, np.full(size, -1, np.int64), np.zeros(size, np.int64)
+            self.add(*held)
+        table, mask = self.keys, len(self.keys) - 1
+        place = ((keys.view(np.uint64) * np.uint64(MIX)) >> np.uint64(65 - len(table).bit_length())).astype(np.int64)
+        while len(keys):
+            at = table[place]
+            free = np.flatnonzero(at == -1)
+            if len(free):  # of several n-grams at one free place the last stays
+                table[place[free]] = keys[free]
+                at[free] = table[place[free]]
+            mine = at == keys
+            self.used += int(mine[free].sum())
+            self.counts[place[mine]] += counts[mine]
+            rest = np.flatnonzero(~mine)
+            keys, counts, place = keys[rest], counts[rest], place[rest] + 1 & mask
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        taken = np.flatnonzero(self.keys >= 0)
+        return self.keys[taken], self.counts[taken]
+
+
 class HatTrie:
     """Counts of n-grams packed into 63 bits, ``bits`` for each word number."""
 
@@ -51,7 +87,7 @@ class HatTrie:
         self.length, self.depth, self.burst = length, depth, burst
         self.shift = (63 // length) * (length - 1 - depth)
         self.children: dict[int, HatTrie] = {}
-        self.container: dict[int, int] = {}
+        self.container = ArrayHash()
         self.limit = burst
 
     def __len__(self) -> int:
@@ -74,30 +110,30 @@ class HatTrie:
                     child.add(keys[a:b], counts[a:b])
                     own[a:b] = False
             keys, counts = keys[own], counts[own]
-        container = self.container
-        have = container.get
-        for k, c in zip(keys.tolist(), counts.tolist(), strict=True):
-            container[k] = have(k, 0) + c
-        if len(container) > self.limit and self.depth < self.length - 1:
+        self.container.add(keys, counts)
+        if len(self.container) > self.limit and self.depth < self.length - 1:
             self._split()
 
     def _split(self) -> None:
         """Words that hold a sixteenth of the limit or more get containers of their own."""
-        keys = np.fromiter(self.container, np.int64, len(self.container))
+        keys, counts = self.container.items()
         words = self._word(keys)
-        often, counts = np.unique(words, return_counts=True)
-        often = often[counts >= max(1, self.burst // 16)]
-        for w in often.tolist():
-            self.children.setdefault(w, HatTrie(self.length, self.depth + 1, self.burst))
-        moved = np.isin(words, often)
-        for k, w in zip(keys[moved].tolist(), words[moved].tolist(), strict=True):
-            self.children[w].container[k] = self.container.pop(k)
+        often, number = np.unique(words, return_counts=True)
+        often = often[number >= max(1, self.burst // 16)]
+        place = np.searchsorted(often, words)
+        moved = np.append(often, -1)[place] == words
+        order = np.flatnonzero(moved)[np.argsort(place[moved], kind="stable")]
+        ends = np.searchsorted(place[order], np.arange(len(often) + 1)).tolist()
+        for w, a, b in zip(often.tolist(), ends[:-1], ends[1:], strict=True):
+            child = self.children.setdefault(w, HatTrie(self.length, self.depth + 1, self.burst))
+            child.container.add(keys[order[a:b]], counts[order[a:b]])
+        self.container = ArrayHash()
+        self.container.add(keys[~moved], counts[~moved])
         self.limit = max(self.burst, 2 * len(self.container))
 
-    def _all(self):
-        yield from self.container.items()
-        for child in self.children.values():
-            yield from child._all()
+    def _all(self) -> tuple[np.ndarray, np.ndarray]:
+        parts = [self.container.items(), *(child._all() for child in self.children.values())]
+        return np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
 
     def spill(self, most: int):
         """Takes whole subtrees out, the largest first, until at most ``most``
@@ -108,11 +144,10 @@ class HatTrie:
             if left <= most or not n:
                 break
             if w < 0:
-                held, self.container = self.container.items(), {}
+                held, self.container = self.container.items(), ArrayHash()
             else:
                 held = self.children.pop(w)._all()
-            both = np.fromiter((x for pair in held for x in pair), np.int64).reshape(-1, 2)
-            yield both[:, 0], both[:, 1]
+            yield held
             left -= n
 
 
@@ -182,11 +217,11 @@ class _Words(dict):
 
     def __init__(self, lang: str, excluded):
         super().__init__()
-        self.lang, self.excluded, self.words, self.hashes = lang, excluded, [_BREAK], [0]
+        self.prefix, self.excluded, self.words, self.hashes = lang.encode() + b"\0", excluded, [_BREAK], [0]
         self[_BREAK] = 0
 
     def __missing__(self, word):
-        h = _word_hash(self.lang, word)
+        h = xxhash.xxh64_intdigest(self.prefix + word, 42)  # as _word_hash
         if self.excluded is not None and not self.excluded.has_one(h):
             self[word] = 0
             return 0
@@ -247,11 +282,12 @@ class Counter:
     def _runs(self, most: int):
         words = pa.array(self.words.words, pa.binary())
         for keys, counts in self.trie.spill(most):
+            order = np.argsort(keys)
+            keys, counts = keys[order], counts[order]
             mask = (1 << self.bits) - 1
             columns = [words.take(pa.array(keys >> self.bits * (self.length - 1 - j) & mask)) for j in range(self.length)]
             phrases = columns[0] if self.length == 1 else pc.binary_join_element_wise(*columns, b" ")
-            order = pc.sort_indices(phrases)
-            yield phrases.take(order), pa.array(counts).take(order)
+            yield phrases, pa.array(counts)
 
     def flush(self):
         yield from self._runs(0)
