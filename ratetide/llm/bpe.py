@@ -8,7 +8,7 @@ only: across pieces the pattern looks at its neighbours.
 
 Added tokens of the file are cut out of the text first, as the library does.
 A null text counts as empty and has no ids.  Texts of any length are encoded
-whole; the fragment cache is bounded, which changes no result.
+whole; the caches are bounded and end with their task, which changes no result.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import free_name, numbered, schema_of
+from .common import free_name, give_back, numbered, schema_of
 
 #: The pre-tokenizer's pattern of this vocabulary.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE = 1 << 18  # remembered pieces; fragments of cut pieces: a quarter
+CACHE_BYTES = 1 << 24  # of remembered pieces and their ids; fragments: a quarter
 ROWS = 1024      # texts at a time
 
 
@@ -74,7 +75,7 @@ class Codec:
             regex.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.latin = str.maketrans({chr(b): c for b, c in enumerate(alphabet)})
         self.findall = regex.compile(PIECES).findall
-        self.pieces, self.fragments = _Memo(self._piece, CACHE), _Memo(self._fragment, CACHE // 4)
+        self.pieces, self.fragments = _Memo(self._piece, CACHE, CACHE_BYTES), _Memo(self._fragment, CACHE // 4, CACHE_BYTES // 4)
 
     def _fragment(self, raw: bytes) -> bytes:
         return _packed(t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.latin)))
@@ -100,6 +101,11 @@ class Codec:
         """The text of the ids; special tokens stay."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
+    def forget(self) -> None:
+        """Drops what is remembered: the worker goes on to other tasks."""
+        self.pieces.clear()
+        self.fragments.clear()
+
     def text_of(self, packed: bytes | None) -> str:
         """``decode`` of packed ids."""
         return self.decode(np.frombuffer(packed or b"", "<u4").tolist())
@@ -110,14 +116,25 @@ def _packed(ids) -> bytes:
 
 
 class _Memo(dict):
-    def __init__(self, make, most: int):
+    """Made values by key: ``most`` of them, ``most_bytes`` with their keys, at
+    most.  A value too large for that is not kept."""
+
+    def __init__(self, make, most: int, most_bytes: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.most_bytes, self.held = make, most, most_bytes, 0
+
+    def clear(self):
+        super().clear()
+        self.held = 0
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        self[key] = value = self.make(key)
+        value = self.make(key)
+        size = len(key) + len(value)
+        if size <= self.most_bytes:
+            if len(self) >= self.most or self.held + size > self.most_bytes:
+                self.clear()
+            self[key] = value
+            self.held += size
         return value
 
 
@@ -141,6 +158,8 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", out: str =
             ids = [codec.encode(t) for t in batch.column(text_at).to_pylist()]
             batch = batch.append_column("ids", pa.array(ids, pa.binary()))
             yield batch.append_column("back", pa.array(map(codec.text_of, ids), pa.string())) if decoded else batch
+        codec.forget()
+        give_back()
 
     return plain.mapInArrow(run, schema_of(plain, "ids binary", *(["back string"] if decoded else []))).toDF(*names)
 

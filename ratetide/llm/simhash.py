@@ -26,20 +26,20 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, quoted, written
+from .common import free_name, give_back, quoted, written
 
 SAMPLE = 1 << 16     # fingerprints that the upper tree is fitted on, about
 LEAF = 2048          # fingerprints in a leaf of the upper tree, about
-BLOCK = 1 << 22      # distances computed at once
+BLOCK = 1 << 20      # distances computed at once
 WORK = 1 << 32       # distances of a leaf, at most; leaves with more are split again
 STUCK = 0.9          # a split that leaves so large a share in a half is the last
 
@@ -66,9 +66,11 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 3, out: str = "fingerprint") -> DataFrame:
     """``docs`` with the 64-bit fingerprint as a (signed) long."""
-    @F.pandas_udf("long")
-    def prints(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array((fingerprint(t.as_py(), shingle) for t in texts), pa.int64(), size=len(texts))
+        give_back()
 
     return docs.withColumn(out, prints(quoted(text_col)))
 

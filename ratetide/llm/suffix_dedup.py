@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import repeats_np as R
-from .common import free_name, numbered, quoted, schema_of
+from .common import free_name, give_back, lightly, numbered, quoted, schema_of
 
-SHARD_BYTES = 4 << 20  # of text in a shard, about; a task holds some 20 times as much
+SHARD_BYTES = 4 << 20  # of text in a shard, about; a task holds some 15 times as much
 _ASK = "bucket int, shard int, grams binary, tags binary, multi binary, keys binary, low binary"
 _REPLY = "shard int, round int, bucket int, gram_bits binary, key_bits binary"
 
@@ -58,6 +58,7 @@ def _pack(batches):
             out_shard.append(int(shards[rows[0]]))
             out_blob.append(sink.getvalue().to_pybytes())
         yield pa.record_batch({"shard": pa.array(out_shard, pa.int32()), "rows": pa.array(out_blob, pa.binary())})
+    give_back()
 
 
 def _unpack(packed: pa.Table, id_col: str, text_col: str) -> pa.Table:
@@ -93,18 +94,23 @@ class _Shard:
 
         self._blocks()
 
+    def _docs(self, s: int, e: int) -> np.ndarray:
+        """The document of each byte of [s, e)."""
+        first, last = np.searchsorted(self.starts, (s, e - 1), "right") - 1
+        edges = np.concatenate(([s], self.starts[first + 1:last + 1], [e]))
+        return np.repeat(np.arange(first, last + 1, dtype=np.int32), np.diff(edges))
+
     def _blocks(self):
         """Blocks: runs of windows of one document that own the same anchor, as
         document, first and last window and anchor (positions in ``data``)."""
         n, found = len(self.data), [(np.zeros(0, np.int64),) * 4]
         self.grams = np.empty(max(n - R.GRAM + 1, 0), np.uint64)
-        doc_of = np.repeat(np.arange(len(self.lens), dtype=np.int32), self.lens)
         last = self.starts + self.lens - self.span
         for s in range(0, max(n - self.span + 1, 0), R.CHUNK):
             e = min(s + R.CHUNK, n - self.span + 1)
             grams = R.gram_names(self.data[s:e + self.span - 1])
             self.grams[s:s + len(grams)] = grams
-            docs = doc_of[s:e]
+            docs = self._docs(s, e)
             at = np.flatnonzero((np.arange(s, e) <= last[docs]) & self.known[docs])
             if not len(at):
                 continue
@@ -116,6 +122,16 @@ class _Shard:
         self.doc, self.lo, self.hi, self.at = (np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _covered(n: int, starts: list[np.ndarray], ends: list[np.ndarray]) -> np.ndarray:
+    """Which of ``n`` bytes lie in a run [start, end); runs may overlap."""
+    depth = np.zeros(n + 1, np.int32)
+    for x in starts:
+        np.add.at(depth, x, 1)
+    for x in ends:
+        np.subtract.at(depth, x, 1)
+    return np.cumsum(depth, dtype=np.int32, out=depth)[:-1] > 0
+
+
 def _unique(names: np.ndarray, tags: np.ndarray):
     """Distinct names, one tag of each, whether it has several tags, and the
     index of each name among the distinct ones."""
@@ -286,11 +302,10 @@ class _Search:
         shard = self.open(packed)
         settled, (k1, _, low, ki), ids, at = self._round3(shard, replies)
         hit = self._bits(replies, 3, "key_bits", k1)[ki] | (low[ki] < ids)
-        n = len(shard.data) + 1
-        depth = np.bincount(np.concatenate((settled[0], at[hit])), minlength=n)
-        depth -= np.bincount(np.concatenate((settled[1], at[hit])) + self.span, minlength=n)
-        gone = np.cumsum(depth, out=depth)[:-1] > 0
-        del depth
+        at = at[hit]
+        del k1, low, ki, ids, hit, shard.grams  # names are done with; they are most of a task's memory
+        gone = _covered(len(shard.data), [settled[0], at], [settled[1] + self.span, at + self.span])
+        del settled, at
         spans, kept = [], []
         for s, n in zip(shard.starts.tolist(), shard.lens.tolist(), strict=True):
             g = gone[s:s + n]
@@ -335,13 +350,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = packed.groupBy("shard")
     with_replies = lambda df: shards.cogroup(df.groupBy("shard"))
     answered = lambda asks, n: asks.groupBy("bucket").applyInArrow(_answer(n), _REPLY)
-    one = answered(shards.applyInArrow(lambda key, docs: search.ask_grams(key, docs), _ASK), 1)
+    one = answered(shards.applyInArrow(lambda key, docs: lightly(search.ask_grams, key, docs), _ASK), 1)
     two = one.union(answered(with_replies(one).applyInArrow(
-        lambda key, docs, replies: search.ask_sides(key, docs, replies), _ASK), 2))
+        lambda key, docs, replies: lightly(search.ask_sides, key, docs, replies), _ASK), 2))
     three = two.union(answered(with_replies(two).applyInArrow(
-        lambda key, docs, replies: search.ask_windows(key, docs, replies), _ASK), 3))
+        lambda key, docs, replies: lightly(search.ask_windows, key, docs, replies), _ASK), 3))
     found = with_replies(three).applyInArrow(
-        lambda key, docs, replies: search.cut(key, docs, replies),
+        lambda key, docs, replies: lightly(search.cut, key, docs, replies),
         schema_of(rows, "n_bytes bigint", "spans array<struct<start: bigint, end: bigint>>",
                   f"kept {'string' if as_text else 'binary'}"))
     return found.select(*rows.columns, F.struct("n_bytes", "spans", "kept")).toDF(*docs.columns, out)
